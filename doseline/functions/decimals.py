@@ -19,7 +19,8 @@ def truncated_quotient(numerator: Column, denominator: Column, digits: int) -> C
     """numerator / denominator of non-negative values, cut after `digits` decimals."""
     scaled = numerator.cast(HOURS) * F.lit(10**digits).cast("decimal(8,0)")
     units = F.floor(scaled / denominator.cast("decimal(10,0)")).cast("decimal(24,0)")
-    return (units * F.lit(Decimal(1).scaleb(-digits))).cast(f"decimal(28,{digits})")
+    # 22 digits hold any quotient, and leave room to multiply it without losing scale.
+    return (units * F.lit(Decimal(1).scaleb(-digits))).cast(f"decimal(22,{digits})")
 
 
 def micro_hours(minutes: Column) -> Column:

@@ -152,7 +152,7 @@ def prior_episode(
     asked = (
         current.select(*keys, F.col("auth_start").alias("_day"))
         .distinct()
-        .withColumns({"_asks": F.lit(1), "_seq": F.lit(None).cast("int")})
+        .withColumns({"_asks": F.lit(1), "_seq": F.lit(None).cast("long")})
     )
     line = Window.partitionBy(*keys).orderBy("_day", "_asks", "_seq")
     so_far = line.rowsBetween(Window.unboundedPreceding, Window.currentRow)

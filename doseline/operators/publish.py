@@ -58,31 +58,43 @@ def stratum_rows(df: DataFrame) -> DataFrame:
 def with_ids(df: DataFrame, id_col: str, after: Column | int) -> DataFrame:
     """Number rows consecutively from `after` + 1 in order of start_date and auth_no.
 
-    Rows are ranked inside blocks of a fixed range of auth_no, and the blocks' sizes are
-    summed up in order: with a 32-bit auth_no there are at most 65,536 of them per start
-    date, whatever the number of rows. Ids depend on values only, so a task that runs
-    again gives the same ones.
+    Rows are ranked inside blocks of a fixed range of auth_no. The sizes of the blocks are
+    summed up inside regions of 65,536 blocks, and only the regions, one per four billion
+    authorization numbers and start date, in a single line. Ids depend on values alone, so
+    a task that runs again gives the same ones.
     """
-    block = F.floor(F.col("auth_no") / F.lit(ID_BLOCK)).cast("long")
     rest = [c for c in df.columns if c not in ("auth_no", "start_date")]
+    block = F.floor(F.col("auth_no") / ID_BLOCK).cast("long")
     blocked = df.withColumn("_block", block)
-    ranked = blocked.withColumn(
-        "_rank",
-        F.row_number().over(
-            Window.partitionBy("start_date", "_block").orderBy("auth_no", *rest)
-        ),
+    in_block = Window.partitionBy("start_date", "_block").orderBy("auth_no", *rest)
+    ranked = blocked.withColumn("_rank", F.row_number().over(in_block))
+
+    before = (Window.unboundedPreceding, -1)
+    region = F.floor(F.col("_block") / ID_BLOCK).cast("long")
+    sizes = (
+        blocked.groupBy("start_date", "_block")
+        .agg(F.count(F.lit(1)).alias("_size"))
+        .withColumn("_region", region)
     )
-    so_far = Window.orderBy("start_date", "_block").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = blocked.groupBy("start_date", "_block").agg(F.count(F.lit(1)).alias("_size"))
-    offsets = sizes.select(
-        F.col("start_date").alias("_start"),
-        F.col("_block").alias("_b"),
-        F.coalesce(F.sum("_size").over(so_far), F.lit(0)).alias("_before"),
+    in_region = Window.partitionBy("start_date", "_region").orderBy("_block").rowsBetween(*before)
+    in_line = Window.orderBy("start_date", "_region").rowsBetween(*before)
+    regions = (
+        sizes.groupBy("start_date", "_region")
+        .agg(F.sum("_size").alias("_size"))
+        .select("start_date", "_region", F.sum("_size").over(in_line).alias("_earlier"))
+    )
+    offsets = (
+        sizes.withColumn("_inside", F.sum("_size").over(in_region))
+        .join(regions, ["start_date", "_region"])
+        .select(
+            "start_date",
+            "_block",
+            (F.coalesce("_inside", F.lit(0)) + F.coalesce("_earlier", F.lit(0))).alias("_before"),
+        )
     )
-    same = F.col("start_date").eqNullSafe(F.col("_start")) & F.col("_block").eqNullSafe(F.col("_b"))
     base = after if isinstance(after, Column) else F.lit(after)
     number = (F.col("_rank") + F.col("_before") + base).cast("long")
-    return ranked.join(offsets, same).select(number.alias(id_col), *df.columns)
+    return ranked.join(offsets, ["start_date", "_block"]).select(number.alias(id_col), *df.columns)
 
 
 def highest_id(table: DataFrame, id_col: str) -> int:

@@ -376,9 +376,7 @@ def asam_level(pop: DataFrame, asam: DataFrame, calc: Day) -> DataFrame:
     text = F.replace(F.col("level_indicated"), F.lit("-WM"), F.lit(""))
     level = F.trim(F.replace(text, F.lit("OTP"), F.lit("5"))).cast("decimal(4,1)")
     levels = latest.select("kcid", "agency_id", level.alias("ASAM"))
-    return zero_fill(attach(pop, levels, ["kcid", "agency_id"]), ["ASAM"]).withColumns(
-        _flag_no("ASAM")
-    )
+    return attach(pop, levels, ["kcid", "agency_id"], {"ASAM": 0}).withColumns(_flag_no("ASAM"))
 
 
 def injection_use(pop: DataFrame, use: DataFrame, calc: Day) -> DataFrame:

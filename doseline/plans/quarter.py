@@ -123,12 +123,14 @@ def run_quarter(
         everything, tables["au_master"], all_ratios, tables["cd_stratum_pay_corridor"],
         options.linked_since,
     )
-    linked = linkage.apply_links(everything, stages.keep(links, "links"), now)
+    # Only strata from `linked_since` on can change; older quarters are passed through.
+    is_recent = F.col("start_date") >= F.lit(options.linked_since)
+    linked = linkage.apply_links(everything.where(is_recent), links, now)
     linked = stages.keep(conform(linked, "au_stratum"), "linked")
-    shadow = publish.shadow_delta(linked, tables["au_stratum_shadow"])
-    final = linked
+    final = everything.where(~is_recent).unionByName(linked)
+    shadow = publish.shadow_delta(final, tables["au_stratum_shadow"])
     if options.reset_quarter is not None:
-        final = publish.reset_payments(linked, options.reset_quarter)
+        final = publish.reset_payments(final, options.reset_quarter)
 
     return {
         "population": pop,
