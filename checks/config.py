@@ -43,7 +43,7 @@ def _model() -> list[str]:
 
 def _tiers() -> list[str]:
     rows = []
-    levels = [("L", 0, 4, 2.5), ("M", 4.001, 9, 6.125), ("H", 9.001, 9999, 10.75)]
+    levels = [("L", 0, 9, 2.5), ("M", 9.001, 14, 6.125), ("H", 14.001, 9999, 10.75)]
     for program in PROGRAMS:
         for age in AGES:
             for level, low, high, hours in levels:

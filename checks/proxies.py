@@ -48,11 +48,14 @@ class Proxies:
             self._built[name] = conform(df, name) if name in TABLES else df
         return self._built[name]
 
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        self._stages = self._stages or Stages(self.spark)
+        return self._stages.keep(df, name)
+
     def once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         """A step that several others read, written to scratch the first time."""
         if name not in self._built:
-            self._stages = self._stages or Stages(self.spark)
-            self._built[name] = self._stages.keep(build(), name)
+            self._built[name] = self.keep(build(), name)
         return self._built[name]
 
     def all(self) -> dict[str, DataFrame]:
@@ -60,7 +63,10 @@ class Proxies:
         return {name: self[name] for name in TABLES}
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        key = f"raw:{name}"
+        if key not in self._built:
+            self._built[key] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._built[key]
 
     def _events(self, kind: str) -> DataFrame:
         return (

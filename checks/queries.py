@@ -116,7 +116,7 @@ def _dose(t: Proxies) -> DataFrame:
     return dosage.dose_totals(
         t["members"], t["au_stratum"], t["cd_stratum_tier"], t["au_master"],
         t["ea_cpt_service"], SDA_START, SDA_END,
-        keep=lambda df: t.once("dose_totals", lambda: df),
+        keep=t.keep,
     )
 
 
@@ -129,7 +129,7 @@ def _complete(t: Proxies) -> DataFrame:
     ratios = dosage.dose_ratio(
         t.once("pop", lambda: _pop(t)), t["au_stratum"], t["cd_stratum_tier"], t["au_master"],
         t["ea_cpt_service"], SDA_START, SDA_END,
-        keep=lambda df: t.once("dose_totals", lambda: df),
+        keep=t.keep,
     )
     return dosage.with_sda(leveled, ratios)
 
@@ -581,7 +581,7 @@ def prorated_hours(t: Proxies) -> DataFrame:
 def sda(t: Proxies) -> DataFrame:
     return dosage.dose_ratio(
         t["members"], t["au_stratum"], t["cd_stratum_tier"], t["au_master"],
-        t["ea_cpt_service"], SDA_START, SDA_END,
+        t["ea_cpt_service"], SDA_START, SDA_END, keep=t.keep,
     )
 
 

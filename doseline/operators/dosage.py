@@ -34,6 +34,12 @@ MEMBER_KEYS = ["kcid", "auth_no", "program", "age_group"]
 EPISODE_KEYS = ["kcid", "agency_id", "tx_focus"]
 MIN_DAYS = 28
 
+Keep = Callable[[DataFrame, str], DataFrame]
+
+
+def _pass_on(df: DataFrame, name: str) -> DataFrame:
+    return df
+
 
 def _window_strata(strata: DataFrame, tiers: DataFrame, s: date, e: date, as_of: date | None):
     """Strata touching the window, clipped to it, with the tier's hours per program."""
@@ -314,17 +320,18 @@ def dose_totals(
     s: date,
     e: date,
     tier_as_of: date | None = None,
-    keep: Callable[[DataFrame], DataFrame] = lambda df: df,
+    keep: Keep = _pass_on,
 ) -> DataFrame:
     """Per member: own totals, the authorization it continues and that one's totals.
 
-    The first two are read twice; `keep` may materialize them in between.
+    The daily hours, and the totals with their continuation, are each read twice; `keep`
+    may materialize them, so that the service table is scanned once.
     """
-    daily = service_hours(services, s, e)
+    daily = keep(service_hours(services, s, e), "daily_hours")
     current = with_expected(
         clip_strata(active_strata(members, strata, tiers, auth, s, e, tier_as_of), s, e)
     )
-    linked = keep(continued_from(auth_totals(current, daily), auth, s))
+    linked = keep(continued_from(auth_totals(current, daily), auth, s), "dose_current")
     prior = with_expected(
         clip_strata(prior_strata(linked, strata, tiers, s, e, tier_as_of), s, e, "prev_")
     )
@@ -342,7 +349,7 @@ def dose_ratio(
     e: date,
     min_days: int = MIN_DAYS,
     tier_as_of: date | None = None,
-    keep: Callable[[DataFrame], DataFrame] = lambda df: df,
+    keep: Keep = _pass_on,
 ) -> DataFrame:
     """The service-dose ratio and its parts for each authorization of the population."""
     members = pop.select(*MEMBER_KEYS).distinct()

@@ -99,7 +99,7 @@ def run_quarter(
     ratios = dosage.dose_ratio(
         pop, history, tables["cd_stratum_tier"], tables["au_master"], tables["ea_cpt_service"],
         periods.sda_start, periods.sda_end, tier_as_of=options.tier_as_of,
-        keep=lambda df: stages.keep(df, "dose_totals"),
+        keep=stages.keep,
     )
     complete = stages.keep(dosage.with_sda(leveled, ratios), "complete")
 
