@@ -146,7 +146,8 @@ def _candidates(t: Proxies) -> DataFrame:
 
 def _links(t: Proxies) -> DataFrame:
     return linkage.link_strata(
-        t["au_stratum"], t["au_master"], t["au_stratum_sda"], t["cd_stratum_pay_corridor"], SINCE
+        t["au_stratum"], t["au_master"], t["au_stratum_sda"], t["cd_stratum_pay_corridor"], SINCE,
+        keep=t.keep,
     )
 
 
@@ -545,11 +546,10 @@ def prior_episode(t: Proxies) -> DataFrame:
     {_milli('expected_units')} AS prev_svc_hrs_expected, {_milli('hour_units')} AS prev_svc_hrs FROM a_p_sums""",
 )
 def prior_totals(t: Proxies) -> DataFrame:
-    prior = dosage.prior_strata(
-        _linked(t), t["au_stratum"], t["cd_stratum_tier"], SDA_START, SDA_END
-    )
+    linked = t.once("dose_current", lambda: _linked(t))
+    prior = dosage.prior_strata(linked, t["au_stratum"], t["cd_stratum_tier"], SDA_START, SDA_END)
     clipped = dosage.clip_strata(prior, SDA_START, SDA_END, "prev_")
-    return dosage.prior_totals(dosage.with_expected(clipped), _daily(t))
+    return dosage.prior_totals(linked, dosage.with_expected(clipped), _daily(t))
 
 
 @check(

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from doseline.functions.codes import HELD_STATUSES, UNCOUNTED_SOURCES, tier_program, tx_focus
@@ -37,7 +37,7 @@ MIN_DAYS = 28
 Keep = Callable[[DataFrame, str], DataFrame]
 
 
-def _pass_on(df: DataFrame, name: str) -> DataFrame:
+def pass_on(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
@@ -128,11 +128,17 @@ def prior_strata(
     e: date,
     tier_as_of: date | None = None,
 ) -> DataFrame:
-    """The same for the authorizations that members continue."""
-    members = totals.where(F.col("prev_auth_no").isNotNull()).select(
-        "kcid", "auth_no", "program", "prev_auth_no", "prev_auth_start", "prev_auth_expire"
+    """The same for the authorizations that members continue.
+
+    Members that continue one authorization under one program share its strata, so these
+    are found once and `members` says for how many they count.
+    """
+    continued = (
+        totals.where(F.col("prev_auth_no").isNotNull())
+        .groupBy("prev_auth_no", "program", "prev_auth_start", "prev_auth_expire")
+        .agg(F.count(F.lit(1)).alias("members"))
     )
-    return _with_strata(members, "prev_auth_no", strata, tiers, s, e, tier_as_of)
+    return _with_strata(continued, "prev_auth_no", strata, tiers, s, e, tier_as_of)
 
 
 def clip_strata(df: DataFrame, s: date, e: date, prefix: str = "") -> DataFrame:
@@ -173,53 +179,47 @@ def service_hours(services: DataFrame, s: date, e: date, auths: DataFrame | None
     return daily if auths is None else daily.join(auths.distinct(), "auth_no", "left_semi")
 
 
-def hours_in_intervals(
-    strata: DataFrame, daily: DataFrame, key: str = "auth_no", rows: Column | None = None
-) -> DataFrame:
-    """Hours delivered in each distinct (authorization, start, end), and its row count.
+def _with_hours(spans: DataFrame, daily: DataFrame, key: str) -> DataFrame:
+    """Add svc_hrs to spans that carry n_strata, how many strata have the same interval.
 
     Equal intervals of one authorization each receive the hours of all of them, so
-    `svc_hrs` is the interval's sum times `n_strata`. `rows` says how many strata a row
-    of `strata` stands for, one by default.
+    `svc_hrs` is the interval's sum times `n_strata`. One without a start has no hours.
     """
-    columns = [F.col(key).alias("auth_no"), "sda_start", "sda_end"]
-    counted = F.sum(F.lit(1) if rows is None else rows).alias("n_strata")
-    spans = strata.groupBy(*columns).agg(counted)
-    summed = range_sum(
-        spans, daily, "auth_no", "sda_start", "sda_end", "event_date", "micro_hrs", "_micro"
-    )
+    points = daily.withColumnRenamed("auth_no", key)
+    summed = range_sum(spans, points, key, "sda_start", "sda_end", "event_date", "micro_hrs", "_micro")
     hours = from_micro(F.col("_micro") * F.col("n_strata")).cast(HOURS)
-    # An interval without a start matches nothing and so is given no hours.
     return summed.withColumn("svc_hrs", hours).drop("_micro")
 
 
-def stratum_totals(strata: DataFrame, daily: DataFrame, group: list[str], key: str) -> DataFrame:
-    """Days, expected and delivered hours summed over the strata of each group."""
+def hours_in_intervals(strata: DataFrame, daily: DataFrame) -> DataFrame:
+    """Hours delivered in each distinct (authorization, start, end), and its row count."""
+    spans = strata.groupBy("auth_no", "sda_start", "sda_end")
+    return _with_hours(spans.agg(F.count(F.lit(1)).alias("n_strata")), daily, "auth_no")
+
+
+def stratum_totals(
+    strata: DataFrame, daily: DataFrame, group: list[str], key: str, weight: Column
+) -> DataFrame:
+    """Days, expected and delivered hours summed over the strata of each group.
+
+    `weight` is how many members a stratum counts for. All steps are keyed by the
+    authorization, so they run on the partitioning of the join that found the strata.
+    """
     by_span = strata.groupBy(*group, "sda_start", "sda_end").agg(
         F.count(F.lit(1)).alias("_rows"),
         F.sum(F.coalesce("enroll_days", F.lit(0))).alias("_days"),
         F.sum("svc_hrs_expected").alias("_expected"),
     )
-    # Members that continue one authorization share its intervals, so rows add up over all.
-    spans = hours_in_intervals(by_span, daily, key, F.col("_rows")).select(
-        F.col("auth_no").alias("_auth"),
-        F.col("sda_start").alias("_start"),
-        F.col("sda_end").alias("_end"),
-        "svc_hrs",
-    )
-    same = (
-        (F.col(key) == F.col("_auth"))
-        & (F.col("sda_start") == F.col("_start"))
-        & (F.col("sda_end") == F.col("_end"))
-    )
-    delivered = F.coalesce("svc_hrs", F.lit(0).cast(HOURS)) * F.col("_rows")
+    # One row per program or member of the authorization shares the interval.
+    shared = Window.partitionBy(key, "sda_start", "sda_end")
+    spans = by_span.withColumn("n_strata", F.sum(F.col("_rows") * weight).over(shared))
     return (
-        by_span.join(spans, same, "left")
+        _with_hours(spans, daily, key)
         .groupBy(*group)
         .agg(
             F.sum("_days").cast("int").alias("enroll_days"),
             F.sum("_expected").cast(HOURS).alias("svc_hrs_expected"),
-            F.sum(delivered).cast(HOURS).alias("svc_hrs"),
+            F.sum(F.col("svc_hrs") * F.col("_rows")).cast(HOURS).alias("svc_hrs"),
         )
     )
 
@@ -231,14 +231,21 @@ AUTH_GROUP = [
 
 def auth_totals(strata: DataFrame, daily: DataFrame) -> DataFrame:
     """One row per current authorization with its summed days and hours."""
-    return stratum_totals(strata, daily, AUTH_GROUP, "auth_no")
+    return stratum_totals(strata, daily, AUTH_GROUP, "auth_no", F.lit(1))
 
 
-def prior_totals(strata: DataFrame, daily: DataFrame) -> DataFrame:
-    """One row per continued authorization, columns prefixed with prev_."""
-    sums = stratum_totals(strata, daily, ["kcid", "auth_no", "prev_auth_no"], "prev_auth_no")
-    return sums.withColumnsRenamed(
-        {c: f"prev_{c}" for c in ("enroll_days", "svc_hrs_expected", "svc_hrs")}
+def prior_totals(totals: DataFrame, strata: DataFrame, daily: DataFrame) -> DataFrame:
+    """One row per continued authorization and member, sums prefixed with prev_."""
+    group = ["prev_auth_no", "program", "members"]
+    sums = stratum_totals(strata, daily, group, "prev_auth_no", F.col("members")).drop("members")
+    names = ["enroll_days", "svc_hrs_expected", "svc_hrs"]
+    continued = totals.where(F.col("prev_auth_no").isNotNull()).select(
+        "kcid", "auth_no", "prev_auth_no", "program"
+    )
+    added = continued.join(sums, ["prev_auth_no", "program"]).groupBy("kcid", "auth_no", "prev_auth_no")
+    return added.agg(
+        F.sum("enroll_days").cast("int").alias("prev_enroll_days"),
+        *[F.sum(n).cast(HOURS).alias(f"prev_{n}") for n in names[1:]],
     )
 
 
@@ -320,7 +327,7 @@ def dose_totals(
     s: date,
     e: date,
     tier_as_of: date | None = None,
-    keep: Keep = _pass_on,
+    keep: Keep = pass_on,
 ) -> DataFrame:
     """Per member: own totals, the authorization it continues and that one's totals.
 
@@ -335,7 +342,7 @@ def dose_totals(
     prior = with_expected(
         clip_strata(prior_strata(linked, strata, tiers, s, e, tier_as_of), s, e, "prev_")
     )
-    sums = prior_totals(prior, daily).drop("prev_auth_no")
+    sums = prior_totals(linked, prior, daily).drop("prev_auth_no")
     return linked.join(sums, ["kcid", "auth_no"], "left")
 
 
@@ -349,7 +356,7 @@ def dose_ratio(
     e: date,
     min_days: int = MIN_DAYS,
     tier_as_of: date | None = None,
-    keep: Keep = _pass_on,
+    keep: Keep = pass_on,
 ) -> DataFrame:
     """The service-dose ratio and its parts for each authorization of the population."""
     members = pop.select(*MEMBER_KEYS).distinct()

@@ -61,10 +61,15 @@ def _merge_by_previous(df: DataFrame, keys: list[str], start: str, end: str) ->
     offsets = (
         slices.withColumn("_fresh", fresh)
         .withColumn("_through", F.sum(F.col("_fresh") + F.col("_extra")).over(across))
-        .select(*keys, "_slice", (F.col("_through") - F.col("_extra")).alias("_offset"))
+        .select(
+            *[F.col(c).alias(f"_o{c}") for c in (*keys, "_slice")],
+            (F.col("_through") - F.col("_extra")).alias("_offset"),
+        )
     )
+    # Null-safe, so that both sides read the same rows and share their shuffles.
+    same = [F.col(c).eqNullSafe(F.col(f"_o{c}")) for c in (*keys, "_slice")]
     return (
-        parts.join(offsets, [*keys, "_slice"])
+        parts.join(offsets, same)
         .groupBy(*keys, (F.col("_offset") + F.col("_part")).cast("int").alias("grp"))
         .agg(F.min(start).alias(start), F.max(end).alias(end))
     )
@@ -135,18 +140,15 @@ def prior_episode(
     per_day = F.row_number().over(
         Window.partitionBy(*keys, "expire_date").orderBy(F.desc("auth_no"))
     )
-    in_order = Window.partitionBy(*keys).orderBy("expire_date", "auth_no")
-    episode = F.struct("auth_no", "start_date", "expire_date")
     ends = (
         ended.withColumn("_n", per_day)
         .where(F.col("_n") <= 2)
-        .withColumn("_best", episode)
         .select(
             *keys,
             F.col("expire_date").alias("_day"),
             F.lit(0).alias("_asks"),
             F.col("auth_no").alias("_seq"),
-            F.struct("_best", F.lag("_best").over(in_order).alias("_next")).alias("_found"),
+            F.struct("auth_no", "start_date", "expire_date").alias("_end"),
         )
     )
     asked = (
@@ -155,10 +157,14 @@ def prior_episode(
         .withColumns({"_asks": F.lit(1), "_seq": F.lit(None).cast("long")})
     )
     line = Window.partitionBy(*keys).orderBy("_day", "_asks", "_seq")
+    before = line.rowsBetween(Window.unboundedPreceding, -1)
     so_far = line.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    earlier = F.last("_end", ignorenulls=True).over(before)
+    found = F.when(F.col("_asks") == 0, F.struct(F.col("_end").alias("_best"), "_next"))
     answers = (
         ends.unionByName(asked, allowMissingColumns=True)
-        .withColumn("_found", F.last("_found", ignorenulls=True).over(so_far))
+        .withColumn("_next", earlier)
+        .withColumn("_found", F.last(found, ignorenulls=True).over(so_far))
         .where((F.col("_asks") == 1) & F.col("_found").isNotNull())
         .select(*keys, F.col("_day").alias("auth_start"), "_found")
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from doseline.functions.codes import LINKED_PROGRAMS, MH_PROGRAMS, SUD_PROGRAMS, tx_focus
 from doseline.functions.dates import as_date
-from doseline.operators.dosage import EPISODE_KEYS, held_episodes
+from doseline.operators.dosage import EPISODE_KEYS, Keep, held_episodes, pass_on
 from doseline.operators.intervals import prior_episode
 from doseline.operators.lookups import latest_by, lookup
 
@@ -150,7 +150,7 @@ def link_prior_stratum(candidates: DataFrame, latest: DataFrame) -> DataFrame:
         F.col("last_strat").alias("pqd_strat"),
         F.col("last_stratum_sda_id").alias("pqd_sda_id"),
     )
-    return lookup(candidates, side, {"prev_auth_no": "auth_no"}, "au_stratum_id")
+    return lookup(candidates, side, "prev_auth_no", "auth_no", "au_stratum_id")
 
 
 def payment_rule(df: DataFrame, min_days: int = MIN_DAYS) -> DataFrame:
@@ -181,7 +181,7 @@ def pay_multiplier(df: DataFrame, ratios: DataFrame, corridor: DataFrame) -> Dat
     corridors overlap, the highest multiplier is taken.
     """
     sda = ratios.select("stratum_sda_id", F.col("sda").alias("new_sda"))
-    found = lookup(df, sda, {"new_stratum_sda_id": "stratum_sda_id"}, "au_stratum_id")
+    found = lookup(df, sda, "new_stratum_sda_id", "stratum_sda_id", "au_stratum_id")
     lines = corridor.select(
         tx_focus(F.col("program")).alias("_focus"),
         F.col("age_group").alias("_age"),
@@ -212,16 +212,22 @@ def link_strata(
     since: date = LINKED_SINCE,
     min_days: int = MIN_DAYS,
     max_gap: int = MAX_GAP,
+    keep: Keep = pass_on,
 ) -> DataFrame:
-    """Rule, ratio and multiplier for every stratum that awaits its link."""
-    endpoints = strata_endpoints(strata, since)
+    """Rule, ratio and multiplier for every stratum that awaits its link.
+
+    The endpoints and the candidates are each read twice; `keep` may materialize them.
+    """
+    endpoints = keep(strata_endpoints(strata, since), "stratum_endpoints")
     own = endpoints.select(
         "auth_no", "first_strat", "strat_check_end", "last_strat", "last_stratum_sda_id"
     )
     prior = endpoints.select("auth_no", "pqd_strat", "pqd_sda_id")
-    current = link_current(unlinked_strata(strata, auth, since), ratios)
-    with_prior = link_prior(current.join(own, "auth_no", "left"), auth, max_gap)
-    known = lookup(with_prior, prior, {"prev_auth_no": "auth_no"}, "au_stratum_id")
+    candidates = unlinked_strata(strata, auth, since).join(own, "auth_no", "left")
+    current = keep(link_current(candidates, ratios), "link_candidates")
+    known = lookup(
+        link_prior(current, auth, max_gap), prior, "prev_auth_no", "auth_no", "au_stratum_id"
+    )
     return pay_multiplier(payment_rule(known, min_days), ratios, corridor)
 
 

@@ -11,8 +11,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-NULL_SPREAD = 256
-
 
 def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The first row per key in `order`, which should be total.
@@ -24,29 +22,24 @@ def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> Da
     return df.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank")
 
 
-def lookup(df: DataFrame, right: DataFrame, on: dict[str, str], spread_by: str) -> DataFrame:
-    """Left join on keys that are often null on the left.
+def lookup(df: DataFrame, right: DataFrame, on: str, key: str, spread_by: str) -> DataFrame:
+    """Left join to a table with one row per `key`, where `on` is often null.
 
-    A null never matches, so null-keyed rows are spread over many partitions by
-    `spread_by` instead of meeting in one.
+    A null matches nothing, and all nulls would meet in one partition. Here each is joined
+    under a stand-in derived from `spread_by` instead, and what a stand-in may happen to
+    match is dropped again, so the result is that of the plain join. The right side keeps
+    the partitioning it has on its key.
     """
-    left_nulls = [F.col(c).isNull() for c in on]
-    any_null = left_nulls[0]
-    for is_null in left_nulls[1:]:
-        any_null = any_null | is_null
-    scatter = F.when(any_null, F.pmod(F.xxhash64(spread_by), F.lit(NULL_SPREAD)) + 1)
-    # Always 0, but not a literal: a literal would be folded out of the join keys.
-    anchor = F.pmod(F.xxhash64(*on.values()), F.lit(1))
-    left = df.withColumn("_scatter", F.coalesce(scatter, F.lit(0).cast("long")))
-    right = right.withColumn("_anchor", anchor).withColumnsRenamed(
-        {name: f"_r_{name}" for name in on.values()}
-    )
-    condition = F.col("_scatter") == F.col("_anchor")
-    for mine, theirs in on.items():
-        condition = condition & (F.col(mine) == F.col(f"_r_{theirs}"))
-    return left.join(right, condition, "left").drop(
-        "_scatter", "_anchor", *(f"_r_{name}" for name in on.values())
-    )
+    stand_in = F.xxhash64(spread_by)
+    if dict(right.dtypes)[key] == "string":
+        stand_in = F.concat(F.lit("null "), stand_in.cast("string"))
+    left = df.withColumn("_on", F.coalesce(F.col(on), stand_in))
+    side = right.withColumnRenamed(key, "_key")
+    found = [
+        F.when(F.col(on).isNotNull(), F.col(c)).alias(c) for c in right.columns if c != key
+    ]
+    joined = left.join(side, F.col("_on") == F.col("_key"), "left")
+    return joined.select(*df.columns, *found)
 
 
 def attach(df: DataFrame, right: DataFrame, on: Sequence[str], fill: dict | None = None) -> DataFrame:
@@ -74,8 +67,8 @@ def latest_with_fallback(
         person, F.col(value).alias("_other")
     )
     return (
-        df.join(anywhere, person, "left")
-        .join(mine, [person, source], "left")
+        df.join(mine, [person, source], "left")
+        .join(anywhere, person, "left")
         .withColumn(alias, F.coalesce("_own", "_other"))
         .drop("_own", "_other")
     )

@@ -67,28 +67,47 @@ def latest_scores(scores: DataFrame, calc: Day) -> DataFrame:
     return latest_by(known, ["kcid", "agency_id"], [F.desc("event_date"), F.desc("record_id")])
 
 
-def _assessment(
-    pop: DataFrame, own: DataFrame, other: DataFrame, alias: str, programs: list[str], ages: list[str]
-) -> DataFrame:
-    scored = latest_with_fallback(
-        pop, own, other, "kcid", "agency_id", "composite_score", alias
-    )
-    flag = missing_flag(
-        F.col(alias), F.col("program"), F.col("age_group"), programs, ages
-    )
+def _with_flag(scored: DataFrame, alias: str, programs: list[str], ages: list[str]) -> DataFrame:
+    flag = missing_flag(F.col(alias), F.col("program"), F.col("age_group"), programs, ages)
     return zero_fill(scored.withColumn(f"{alias}_missing_data", flag), [alias])
 
 
+def _attach_score(pop: DataFrame, own: DataFrame, other: DataFrame, alias: str) -> DataFrame:
+    return latest_with_fallback(pop, own, other, "kcid", "agency_id", "composite_score", alias)
+
+
 def adult_assessment(pop: DataFrame, adult: DataFrame, calc: Day) -> DataFrame:
     """LOCUS: own agency's latest adult score, else the person's latest anywhere, else 0."""
     latest = latest_scores(adult, calc)
-    return _assessment(pop, latest, latest, "LOCUS", ADULT_ASSESSED, ["A", "G"])
+    return _with_flag(_attach_score(pop, latest, latest, "LOCUS"), "LOCUS", ADULT_ASSESSED, ["A", "G"])
 
 
 def child_assessment(pop: DataFrame, child: DataFrame, adult: DataFrame, calc: Day) -> DataFrame:
     """CALOC: own agency's latest child score, else the latest adult score, else 0."""
     own, other = latest_scores(child, calc), latest_scores(adult, calc)
-    return _assessment(pop, own, other, "CALOC", CHILD_ASSESSED, ["C"])
+    return _with_flag(_attach_score(pop, own, other, "CALOC"), "CALOC", CHILD_ASSESSED, ["C"])
+
+
+def assessments(pop: DataFrame, adult: DataFrame, child: DataFrame, calc: Day) -> DataFrame:
+    """LOCUS and CALOC together.
+
+    The same as one after the other, but both agency scores are joined before the score
+    from anywhere, so the population is shuffled twice and not four times.
+    """
+    adults, children = latest_scores(adult, calc), latest_scores(child, calc)
+    keys = ["kcid", "agency_id"]
+    anywhere = latest_by(adults, ["kcid"], [F.desc("event_date"), F.asc("agency_id")])
+    scored = (
+        pop.join(adults.select(*keys, F.col("composite_score").alias("_adult")), keys, "left")
+        .join(children.select(*keys, F.col("composite_score").alias("_child")), keys, "left")
+        .join(anywhere.select("kcid", F.col("composite_score").alias("_any")), "kcid", "left")
+        .withColumns(
+            {"LOCUS": F.coalesce("_adult", "_any"), "CALOC": F.coalesce("_child", "_any")}
+        )
+        .drop("_adult", "_child", "_any")
+    )
+    flagged = _with_flag(scored, "LOCUS", ADULT_ASSESSED, ["A", "G"])
+    return _with_flag(flagged, "CALOC", CHILD_ASSESSED, ["C"])
 
 
 # --- Residence and coverage -----------------------------------------------------------
@@ -203,7 +222,7 @@ def chronic_conditions(
     flags follow the id, and without one the flag stays Y.
     """
     claimed = condition_flags(conditions, eligibility, claims, calc)
-    both = lookup(assessed_conditions(pop, assessed), claimed, {"p1_id": "p1_id"}, "auth_no")
+    both = lookup(assessed_conditions(pop, assessed), claimed, "p1_id", "p1_id", "auth_no")
     either = {
         c: F.greatest(F.col(f"caa_{c}"), F.coalesce(F.col(f"ccw_{c}"), F.lit(0))) for c in CONDITIONS
     }
@@ -235,13 +254,14 @@ def crisis_events(auth: DataFrame, ip: DataFrame, calc: Day) -> DataFrame:
         & F.col("status_code").isin(HELD_STATUSES)
         & (F.col("start_date").between(lo, hi) | F.col("expire_date").between(lo, hi))
     ).select("kcid", "auth_no", "program")
+    # The set holds codes, so it stays small however often they are recorded.
     types = (
-        ip.select("auth_no", "ip_type")
-        .distinct()
-        .groupBy("auth_no")
-        .agg(
-            F.count(F.lit(1)).alias("_types"),
-            F.coalesce(F.max((F.col("ip_type") == INVOLUNTARY).cast("int")), F.lit(0)).alias("_ita"),
+        ip.groupBy("auth_no")
+        .agg(F.collect_set(F.coalesce("ip_type", F.lit(""))).alias("_set"))
+        .select(
+            "auth_no",
+            F.size("_set").alias("_types"),
+            F.array_contains("_set", INVOLUNTARY).cast("int").alias("_ita"),
         )
     )
     matched = attach(recent, types, ["auth_no"], {"_types": 1, "_ita": 0})

@@ -55,10 +55,10 @@ def with_inputs(pop: DataFrame, tables: Tables, calc: date, options: Options) ->
         pop, t["ma_cond_ass"], t["mcaid_claim_ccw"], t["mcaid_elig_timevar"],
         t["mcaid_claim_header"], calc,
     )
-    df = risk.adult_assessment(df, t["ep_locus"], calc)
-    df = risk.child_assessment(df, t["ep_calocus"], t["ep_locus"], calc)
     if options.substance_inputs:
         df = risk.asam_level(df, t["ep_asam_placement"], calc)
+    df = risk.assessments(df, t["ep_locus"], t["ep_calocus"], calc)
+    if options.substance_inputs:
         df = risk.injection_use(df, t["ep_substance_use"], calc)
     df = risk.foster_history(df, t["ep_residence"], t["ep_coverage_mco"], calc)
     df = risk.homeless_now(df, t["ep_residence"], calc)
@@ -121,7 +121,7 @@ def run_quarter(
     all_ratios = tables["au_stratum_sda"].unionByName(sda)
     links = linkage.link_strata(
         everything, tables["au_master"], all_ratios, tables["cd_stratum_pay_corridor"],
-        options.linked_since,
+        options.linked_since, keep=stages.keep,
     )
     # Only strata from `linked_since` on can change; older quarters are passed through.
     is_recent = F.col("start_date") >= F.lit(options.linked_since)

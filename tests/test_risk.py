@@ -176,13 +176,23 @@ def test_injection_window_edges(pop, make):
 
 
 def test_lookup_matches_plain_join_and_spreads_nulls(frame):
-    left = frame("id long, k long", (1, 5), (2, None), (3, 6), (4, None))
-    right = frame("key long, v string", (5, "five"), (None, "none"))
-    out = lookups.lookup(left, right, {"k": "key"}, "id")
-    assert out.columns == ["id", "k", "v"]
-    assert rows(out) == [(1, 5, "five"), (2, None, None), (3, 6, None), (4, None, None)]
-    plan = out._jdf.queryExecution().optimizedPlan().toString()
-    assert "_scatter" in plan and "(_scatter" in plan.split("Join LeftOuter", 1)[1].split("\n", 1)[0]
+    left = frame("id long, k long, s string", (1, 5, "a"), (2, None, None), (3, 6, "b"), (4, None, "c"))
+    # The last row's key is the very stand-in of the second left row.
+    stand_in = left.where("id = 2").selectExpr("xxhash64(id)").first()[0]
+    right = frame("key long, v string", (5, "five"), (None, "none"), (stand_in, "false match"))
+    out = lookups.lookup(left, right, "k", "key", "id")
+    assert out.columns == ["id", "k", "s", "v"]
+    assert rows(out, "id", "v") == [(1, "five"), (2, None), (3, None), (4, None)]
+    text = frame("key string, w int", ("a", 1), ("c", 3), (None, 9))
+    assert rows(lookups.lookup(left, text, "s", "key", "id"), "id", "w") == [(1, 1), (2, None), (3, None), (4, 3)]
+
+
+def test_assessments_together_equal_one_after_the_other(pop, make):
+    adult = make("ep_locus", (1, 1, "2020-01-01", 1, 10), (3, 9, "2020-01-01", 2, 33), (4, 2, "2020-01-01", 3, None))
+    child = make("ep_calocus", (4, 2, "2020-01-01", 4, 44), (2, 1, "2020-01-01", 5, 5))
+    together = risk.assessments(pop, adult, child, CALC)
+    apart = risk.child_assessment(risk.adult_assessment(pop, adult, CALC), child, adult, CALC)
+    assert rows(together, *apart.columns) == rows(apart)
 
 
 def test_population_rules(make):
