@@ -8,7 +8,6 @@ that they fall into the quarter of the checks.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -132,41 +131,32 @@ class Proxies:
             """CASE auth_no % 4 WHEN 0 THEN 'F19' WHEN 1 THEN 'MID' WHEN 2 THEN 'OTH' END AS plan""",
         )
 
-    def _case_rate(self) -> DataFrame:
+    def _rated(self) -> DataFrame:
+        """Authorizations with their case-rate attributes, all of one order's row."""
         return self["auth"].selectExpr(
-            "kcid",
-            "auth_no",
+            "*",
             """CASE WHEN kcid % 50 = 7 THEN NULL WHEN kcid % 3 = 0 THEN 'A'
                WHEN kcid % 3 = 1 THEN 'C' ELSE 'G' END AS age_group""",
             "CASE WHEN price > 300000 THEN 'SP' END AS special_population",
             "CASE WHEN agency_id = 1 THEN 'Y' ELSE 'N' END AS language_differential",
         )
 
+    def _case_rate(self) -> DataFrame:
+        return self["rated"]
+
     def _quarter_rows(self) -> DataFrame:
         """Authorizations by the quarters they were stratified in."""
-        auth = self["auth"].join(self["case_rate"], ["kcid", "auth_no"])
-        parts = []
-        for n, (start, end, sda_start, sda_end) in enumerate(QUARTERS):
-            touching = auth.where(
-                (F.col("start_date") <= F.lit(end).cast("date"))
-                & (F.coalesce("expire_date", F.lit("2099-12-31").cast("date")) >= F.lit(start).cast("date"))
-            )
-            if n == 2:
-                touching = touching.where(F.col("price") > STRATIFIED_EARLY)
-            parts.append(
-                touching.selectExpr(
-                    "auth_no",
-                    "age_group",
-                    "special_population",
-                    "language_differential",
-                    f"{n} AS n",
-                    f"DATE '{start}' AS q_start",
-                    f"DATE '{end}' AS q_end",
-                    f"DATE '{sda_start}' AS b_start",
-                    f"DATE '{sda_end}' AS b_end",
-                )
-            )
-        return reduce(DataFrame.unionByName, parts)
+        structs = ", ".join(
+            f"struct({n} AS n, DATE '{start}' AS q_start, DATE '{end}' AS q_end, "
+            f"DATE '{b_start}' AS b_start, DATE '{b_end}' AS b_end)"
+            for n, (start, end, b_start, b_end) in enumerate(QUARTERS)
+        )
+        return (
+            self["rated"]
+            .selectExpr("*", f"inline(array({structs}))")
+            .where("start_date <= q_end AND coalesce(expire_date, DATE '2099-12-31') >= q_start")
+            .where((F.col("n") < 2) | (F.col("price") > STRATIFIED_EARLY))
+        )
 
     def _au_stratum(self) -> DataFrame:
         return self["quarter_rows"].selectExpr(
@@ -348,6 +338,4 @@ class Proxies:
 
     def _members(self) -> DataFrame:
         """Every authorization as a member of the dose calculation."""
-        return self["auth"].join(self["case_rate"], ["kcid", "auth_no"]).select(
-            "kcid", "auth_no", "program", "age_group"
-        )
+        return self["rated"].select("kcid", "auth_no", "program", "age_group")

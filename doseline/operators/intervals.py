@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,7 +24,8 @@ def merge_intervals(
 
     `lag` compares each range with the end of the one just before it in (start, end)
     order, so a long range is forgotten once a short one follows it. `runmax` compares
-    with the latest end so far and gives the true union.
+    with the latest end so far and gives the true union. Rows without a key or a start
+    belong to no group.
     """
     if mode == "lag":
         return _merge_by_previous(df, list(keys), start, end)
@@ -32,10 +34,21 @@ def merge_intervals(
     raise ValueError(f"mode must be 'lag' or 'runmax', not {mode!r}")
 
 
+def _known(cols: list[str]) -> Column:
+    return reduce(Column.__and__, [F.col(c).isNotNull() for c in cols])
+
+
 def _merge_by_previous(df: DataFrame, keys: list[str], start: str, end: str) -> DataFrame:
     # A key is handled in slices of one start month. Inside a slice only the first row
     # needs to know what came before, and one row per slice carries that over.
-    rows = df.select(*keys, start, end).distinct().withColumn("_slice", F.trunc(start, "month"))
+    # Both readers of `parts` must see the same rows to share their shuffles, so rows that
+    # the join below would drop for a null are dropped here.
+    rows = (
+        df.select(*keys, start, end)
+        .distinct()
+        .withColumn("_slice", F.trunc(start, "month"))
+        .where(_known([*keys, "_slice"]))
+    )
     in_slice = Window.partitionBy(*keys, "_slice").orderBy(start, end)
     before = F.lag(end).over(in_slice)
     is_first = F.row_number().over(in_slice) == 1
@@ -61,15 +74,10 @@ def _merge_by_previous(df: DataFrame, keys: list[str], start: str, end: str) ->
     offsets = (
         slices.withColumn("_fresh", fresh)
         .withColumn("_through", F.sum(F.col("_fresh") + F.col("_extra")).over(across))
-        .select(
-            *[F.col(c).alias(f"_o{c}") for c in (*keys, "_slice")],
-            (F.col("_through") - F.col("_extra")).alias("_offset"),
-        )
+        .select(*keys, "_slice", (F.col("_through") - F.col("_extra")).alias("_offset"))
     )
-    # Null-safe, so that both sides read the same rows and share their shuffles.
-    same = [F.col(c).eqNullSafe(F.col(f"_o{c}")) for c in (*keys, "_slice")]
     return (
-        parts.join(offsets, same)
+        parts.join(offsets, [*keys, "_slice"])
         .groupBy(*keys, (F.col("_offset") + F.col("_part")).cast("int").alias("grp"))
         .agg(F.min(start).alias(start), F.max(end).alias(end))
     )
@@ -77,7 +85,7 @@ def _merge_by_previous(df: DataFrame, keys: list[str], start: str, end: str) ->
 
 def _merge_by_reach(df: DataFrame, keys: list[str], start: str, end: str) -> DataFrame:
     # Only the longest range from each start day can matter, which bounds a key by days.
-    longest = df.groupBy(*keys, start).agg(F.max(end).alias(end))
+    longest = df.where(_known([*keys, start])).groupBy(*keys, start).agg(F.max(end).alias(end))
     order = Window.partitionBy(*keys).orderBy(start)
     earlier = order.rowsBetween(Window.unboundedPreceding, -1)
     reach = F.max(end).over(earlier)
