@@ -237,12 +237,15 @@ def auth_totals(strata: DataFrame, daily: DataFrame) -> DataFrame:
 def prior_totals(totals: DataFrame, strata: DataFrame, daily: DataFrame) -> DataFrame:
     """One row per continued authorization and member, sums prefixed with prev_."""
     group = ["prev_auth_no", "program", "members"]
-    sums = stratum_totals(strata, daily, group, "prev_auth_no", F.col("members")).drop("members")
     names = ["enroll_days", "svc_hrs_expected", "svc_hrs"]
+    sums = stratum_totals(strata, daily, group, "prev_auth_no", F.col("members")).select(
+        F.col("prev_auth_no").alias("_prior"), F.col("program").alias("_program"), *names
+    )
     continued = totals.where(F.col("prev_auth_no").isNotNull()).select(
         "kcid", "auth_no", "prev_auth_no", "program"
     )
-    added = continued.join(sums, ["prev_auth_no", "program"]).groupBy("kcid", "auth_no", "prev_auth_no")
+    same = (F.col("prev_auth_no") == F.col("_prior")) & F.col("program").eqNullSafe(F.col("_program"))
+    added = continued.join(sums, same).groupBy("kcid", "auth_no", "prev_auth_no")
     return added.agg(
         F.sum("enroll_days").cast("int").alias("prev_enroll_days"),
         *[F.sum(n).cast(HOURS).alias(f"prev_{n}") for n in names[1:]],
