@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from doseline.llm import exact_dedup, mixture
+from doseline.llm import exact_dedup, mixture, token_counts
 from doseline.llm.common import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +18,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact token counts of whole texts, and which exceed a context of 512."""
+    docs = table(spark, sf_dir, "documents").select(
+        F.struct("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes")).alias("key"),
+        "text",
+    )
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    counted = token_counts.token_prefixes(docs, path, id_col="key")
+    return counted.select("key.doc_id", "key.n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
+
+
 def op6_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How often each document enters the mix."""
     mixed = mixture.mix_counts(table(spark, sf_dir, "documents"))
@@ -37,6 +49,7 @@ def shipped(query: Query) -> Query:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_token_counts": shipped(op1_token_counts),
     "op6_mixture": shipped(op6_mixture),
     "op10_exact_dedup": shipped(op10_exact_dedup),
 }
