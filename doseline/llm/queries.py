@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from doseline.llm import exact_dedup, mixture, token_counts
+from doseline.llm import exact_dedup, mixture, simhash, token_counts
 from doseline.llm.common import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,11 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("key.doc_id", "key.n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of whole texts and the component each is in."""
+    return simhash.near_copies(table(spark, sf_dir, "documents"))
+
+
 def op6_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How often each document enters the mix."""
     mixed = mixture.mix_counts(table(spark, sf_dir, "documents"))
@@ -50,6 +55,7 @@ def shipped(query: Query) -> Query:
 
 QUERIES: dict[str, Query] = {
     "op1_token_counts": shipped(op1_token_counts),
+    "op3_simhash": shipped(op3_simhash),
     "op6_mixture": shipped(op6_mixture),
     "op10_exact_dedup": shipped(op10_exact_dedup),
 }
