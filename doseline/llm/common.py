@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 import doseline
 
@@ -16,6 +19,25 @@ import doseline
 # bytes this is what bytes.split() without arguments does.
 WORD = r"[^\x20\x09-\x0D]+"
 
+SPACE_BYTE = re.compile(rb"[\x20\x09-\x0D]")
+BYTES_AT_ONCE = 1 << 20
+
+
+def text_blocks(data: bytes, size: int = BYTES_AT_ONCE) -> Iterator[bytes]:
+    """A text in order, cut at white space, so that a very long one needs little memory."""
+    at = 0
+    while at < len(data):
+        end = len(data)
+        if at + size < end and (cut := SPACE_BYTE.search(data, at + size)):
+            end = cut.start()
+        yield data[at:end]
+        at = end
+
+
+def struct(**kinds: T.DataType) -> T.StructType:
+    """A schema from names and types; unlike DDL text it needs no session."""
+    return T.StructType([T.StructField(name, kind) for name, kind in kinds.items()])
+
 
 def word_count(text: Column) -> Column:
     """Number of words of a text; null counts as empty."""

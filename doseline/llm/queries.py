@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from doseline.llm import exact_dedup, mixture, simhash, token_counts
+from doseline.llm import exact_dedup, mixture, simhash, substring_dedup, token_counts
 from doseline.llm.common import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,12 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_copies(table(spark, sf_dir, "documents"))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words left of each text after passages that a smaller doc_id has."""
+    cut = substring_dedup.drop_repeats(table(spark, sf_dir, "documents"), with_text=False)
+    return cut.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op6_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How often each document enters the mix."""
     mixed = mixture.mix_counts(table(spark, sf_dir, "documents"))
@@ -56,6 +62,7 @@ def shipped(query: Query) -> Query:
 QUERIES: dict[str, Query] = {
     "op1_token_counts": shipped(op1_token_counts),
     "op3_simhash": shipped(op3_simhash),
+    "op5_substring_dedup": shipped(op5_substring_dedup),
     "op6_mixture": shipped(op6_mixture),
     "op10_exact_dedup": shipped(op10_exact_dedup),
 }

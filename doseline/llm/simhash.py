@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from functools import partial
 from itertools import combinations
@@ -15,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from doseline.llm.common import keep
+from doseline.llm.common import BYTES_AT_ONCE, keep, text_blocks
 from doseline.llm.components import components
 
 BITS = 64
@@ -25,27 +24,13 @@ BLOCKS = 6
 SEED = 42
 TREE_NODES = 16_384  # most nodes of one shard tree
 PAIRS_AT_ONCE = 1 << 21  # of a query and a node, on one level of the search
-BYTES_AT_ONCE = 1 << 20
-SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
 
-def word_blocks(data: bytes, size: int = BYTES_AT_ONCE) -> Iterator[list[bytes]]:
-    """The words of a text, some at a time, so that very long texts need little memory."""
-    at = 0
-    while at < len(data):
-        end = len(data)
-        if at + size < end and (cut := SPACE.search(data, at + size)):
-            end = cut.start()
-        if words := data[at:end].split():
-            yield words
-        at = end
-
-
-def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
+def fingerprint(text: bytes, shingle: int = SHINGLE, size: int = BYTES_AT_ONCE) -> int:
     """Signed 64-bit fingerprint; a bit is set where over half the shingle hashes set it."""
     digest, ones, hashes, carried = xxhash.xxh64_digest, np.zeros(BITS, np.int64), 0, []
-    for block in word_blocks(text.lower()):
-        words = carried + block
+    for block in text_blocks(text.lower(), size):
+        words = carried + block.split()
         if len(words) >= shingle:
             joined = b" ".join(words)
             lengths = np.fromiter(map(len, words), np.int64, len(words))

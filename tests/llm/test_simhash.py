@@ -51,12 +51,7 @@ def test_query_equals_brute_force(spark):
 @settings(max_examples=60, deadline=None)
 @given(st.text(alphabet="aAÉ \t\n\x85\xa0b", max_size=60), st.integers(1, 9))
 def test_fingerprint_in_blocks(text, size):
-    old = simhash.word_blocks.__defaults__
-    simhash.word_blocks.__defaults__ = (size,)
-    try:
-        assert simhash.fingerprint(text.encode()) % 2**64 == plain_fingerprint(text)
-    finally:
-        simhash.word_blocks.__defaults__ = old
+    assert simhash.fingerprint(text.encode(), size=size) % 2**64 == plain_fingerprint(text)
 
 
 @pytest.fixture(scope="module")
