@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from doseline.llm import exact_dedup, mixture, simhash, substring_dedup, token_counts
+from doseline.llm import decontamination, exact_dedup, mixture, simhash, substring_dedup, token_counts
 from doseline.llm.common import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +46,11 @@ def op6_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "copies", "taken")
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that overlap a benchmark item, and where."""
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of equal documents and the one that stays."""
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
@@ -63,8 +68,9 @@ QUERIES: dict[str, Query] = {
     "op1_token_counts": shipped(op1_token_counts),
     "op3_simhash": shipped(op3_simhash),
     "op5_substring_dedup": shipped(op5_substring_dedup),
-    "op6_mixture": shipped(op6_mixture),
-    "op10_exact_dedup": shipped(op10_exact_dedup),
+    "op6_mixture": op6_mixture,
+    "op9_decontamination": op9_decontamination,
+    "op10_exact_dedup": op10_exact_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -100,6 +106,30 @@ SELECT doc_id, size, source_size, target,
   (floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END)::BIGINT AS copies,
   size * (floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END)::BIGINT AS taken
 FROM r
+""",
+    "op9_decontamination": r"""
+WITH d AS (
+  SELECT DISTINCT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w
+  FROM documents
+), b AS (
+  SELECT DISTINCT item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w
+  FROM benchmark
+), i AS (
+  SELECT item_id, w, len(w) AS n, least(13, len(w)) AS win,
+         greatest(0, (least(13, len(w)) - 3) // 5) AS subs
+  FROM b WHERE len(w) >= 5
+), dw AS (SELECT doc_id, len(w) AS n, unnest(w) AS word, unnest(range(len(w))) AS at FROM d),
+iw AS (SELECT item_id, n AS item_n, win, subs, unnest(w) AS word, unnest(range(n)) AS at FROM i),
+diagonals AS (
+  SELECT doc_id, dw.n, item_id, item_n, win, subs, dw.at - iw.at AS off, list(iw.at) AS same
+  FROM dw JOIN iw USING (word)
+  GROUP BY ALL HAVING count(*) >= win - subs
+), starts AS (SELECT *, unnest(range(item_n - win + 1)) AS s FROM diagonals)
+SELECT doc_id, item_id, min(s + off)::BIGINT AS start_word
+FROM starts
+WHERE s + off >= 0 AND s + off + win <= n
+  AND len(list_filter(same, lambda x: x >= s AND x < s + win)) >= win - subs
+GROUP BY doc_id, item_id
 """,
     "op10_exact_dedup": r"""
 WITH d AS (
