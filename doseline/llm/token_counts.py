@@ -16,6 +16,7 @@ from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache, partial
 from itertools import islice
+from operator import sub
 
 import numpy as np
 import pandas as pd
@@ -40,6 +41,8 @@ PHRASE = re.compile(f"[{BLANK}]*[^{BLANK}]+|[{BLANK}]+")
 
 LONG_UNIT = 48  # characters; longer units and phrases rarely come again
 CACHED_UNITS = 200_000
+SHARED_LENGTH = 8  # bytes of a prefix that many pieces begin with
+SHARED_PREFIXES = 400_000
 CACHED_PAIRS = 1_000_000
 PHRASES_AT_ONCE = 100_000
 DOCS_AT_ONCE = 256
@@ -83,6 +86,7 @@ class PrefixCounter:
         self.special = regex.compile("|".join(map(regex.escape, self.specials))) if self.specials else None
         self.units: dict[str, bytes] = {}
         self.phrases: dict[str, bytes] = {}
+        self.shared: dict[bytes, int] = {}
         self.pairs: dict[tuple[bytes, bytes], bool] = {}
 
     def merge(self, piece: bytes) -> list[bytes]:
@@ -106,24 +110,32 @@ class PrefixCounter:
 
     def byte_counts(self, piece: bytes) -> list[int]:
         """Tokens of each byte prefix of one piece, the empty one first."""
-        last, counts, tokens, pairs = [b""], [0], self.vocabulary, self.pairs
+        last, counts, shared = [b""], [0], self.shared
+        if len(shared) >= SHARED_PREFIXES:
+            shared.clear()
         for end in range(1, len(piece) + 1):
-            # Often the last token has grown by the byte; only one token can end here.
-            guess = end - 1 - len(last[-1])
-            for start in (guess, *range(max(0, end - self.longest), end)):
-                token = piece[start:end]
-                if token in tokens:
-                    if start == 0:
-                        break
-                    fits = pairs.get((last[start], token))
-                    if self.stable(last[start], token) if fits is None else fits:
-                        break
-            else:
-                raise ValueError("the vocabulary lacks a byte")
-            last.append(token)
+            if end > SHARED_LENGTH:
+                start = self.last_start(piece, end, last)
+            elif (start := shared.get(prefix := piece[:end])) is None:
+                start = shared[prefix] = self.last_start(piece, end, last)
+            last.append(piece[start:end])
             counts.append(counts[start] + 1)
         return counts
 
+    def last_start(self, piece: bytes, end: int, last: list[bytes]) -> int:
+        """Where the last token of a prefix starts, given those of the shorter prefixes."""
+        # Often the token before has grown by the byte; only one token can end here.
+        guess = end - 1 - len(last[-1])
+        for start in (guess, *range(max(0, end - self.longest), end)):
+            token = piece[start:end]
+            if token in self.vocabulary:
+                if start == 0:
+                    return start
+                fits = self.pairs.get((last[start], token))
+                if self.stable(last[start], token) if fits is None else fits:
+                    return start
+        raise ValueError("the vocabulary lacks a byte")
+
     def counts(self, piece: str) -> list[int]:
         """Tokens of each character prefix of one piece, the empty one first."""
         data = piece.encode()
@@ -135,6 +147,9 @@ class PrefixCounter:
     def unit_counts(self, unit: str) -> list[int]:
         """Tokens of each prefix of a unit. A trailing white space run is one piece; once
         something follows, its last character is cut off and leads the next piece if blank."""
+        lone = not unit[1:2].isspace() if unit[0] == " " else not unit[0].isspace()
+        if lone and unit not in CONTRACTIONS:  # the common case, one piece
+            return self.counts(unit)
         space = LEADING_SPACE.match(unit).end()
         counts = self.counts(unit[:space])
         body = unit[space:]
@@ -152,7 +167,7 @@ class PrefixCounter:
     def unit_steps(self, unit: str) -> bytes:
         """Change of the count with each character of a unit, as 16 bit numbers."""
         counts = self.unit_counts(unit)
-        steps = array("h", [b - a for a, b in zip(counts, counts[1:])])
+        steps = array("h", map(sub, counts[1:], counts))
         if sys.byteorder == "big":
             steps.byteswap()
         return steps.tobytes()
