@@ -5,10 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from doseline.llm import decontamination, exact_dedup, mixture, simhash, substring_dedup, token_counts
+from doseline.llm import (
+    decontamination,
+    exact_dedup,
+    language,
+    mixture,
+    quality,
+    simhash,
+    substring_dedup,
+    token_counts,
+)
 from doseline.llm.common import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +38,28 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("key.doc_id", "key.n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
 
 
+def fold(folds: int, held: int) -> Column:
+    """Whether a document belongs to the held-out fold."""
+    crc = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    return F.coalesce(F.pmod(crc, F.lit(folds)) == held, F.lit(False))
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of whole texts, learned from four folds of five."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scored = quality.quality_scores(docs, labels.where(~fold(5, 0)))
+    return scored.select(
+        "doc_id", fold(5, 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of whole texts, learned from three folds of four."""
+    docs = table(spark, sf_dir, "documents")
+    read = language.languages_of(docs, public_tokenizers.path("piece_bpe_32k.model"), learn=~fold(4, 2))
+    return read.select("doc_id", fold(4, 2).alias("held_out"), "lang_pred", "score")
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of whole texts and the component each is in."""
     return simhash.near_copies(table(spark, sf_dir, "documents"))
@@ -66,7 +97,9 @@ def shipped(query: Query) -> Query:
 
 QUERIES: dict[str, Query] = {
     "op1_token_counts": shipped(op1_token_counts),
+    "op2_quality": shipped(op2_quality),
     "op3_simhash": shipped(op3_simhash),
+    "op4_language": shipped(op4_language),
     "op5_substring_dedup": shipped(op5_substring_dedup),
     "op6_mixture": op6_mixture,
     "op9_decontamination": op9_decontamination,
