@@ -27,6 +27,7 @@ DIMENSIONS = 8
 EPOCHS = 6  # or more, so that few samples get this many steps too
 LEAST_STEPS = 6_000
 RATE = 20.0
+OUTPUT_RATE = np.float32(0.05)
 TRAINING_ROWS = 4_000
 SEED = 11
 FACTOR, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -112,17 +113,18 @@ def train(samples: list[tuple[int, np.ndarray, np.ndarray]], seed: int = SEED) -
     for _ in range(epochs):
         for at in draw.permutation(len(samples)):
             label, rows, shares = samples[at]
-            rate = np.float32(RATE * (1 - done / steps))
+            left = np.float32(1 - done / steps)
             done += 1
+            rate = left * min(RATE, 1 / max(1e-9, float(shares @ shares)))  # short texts move less
             hidden = shares @ vectors[rows]
             logits = output @ hidden + bias
             error = np.exp(logits - logits.max())
             error /= error.sum()
             error[label] -= 1
             back = error @ output
-            output -= 0.01 * rate * np.outer(error, hidden)
-            bias -= 0.001 * rate * error
-            vectors[rows] -= rate * shares[:, None] * back
+            output -= OUTPUT_RATE * left * np.outer(error, hidden)
+            bias -= OUTPUT_RATE * left * error
+            vectors[rows] -= np.float32(rate) * shares[:, None] * back
     return Model(vectors @ (output[1] - output[0]), float(bias[1] - bias[0]))
 
 

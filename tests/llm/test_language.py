@@ -1,0 +1,71 @@
+"""Language identification: the forward pass against all segmentations, held-out accuracy."""
+
+from __future__ import annotations
+
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import public_tokenizers
+from pyspark.sql import functions as F
+
+from doseline.llm import language
+from doseline.llm.queries import QUERIES
+
+PATH = public_tokenizers.path("piece_bpe_32k.model")
+SMALL = "/root/testdata/sf0.01"
+
+
+def segmentations(word, pieces):
+    if not word:
+        yield []
+    for end in range(1, len(word) + 1):
+        own = pieces.get(word[:end], 0 if end == 1 else None)
+        if own is not None:
+            for rest in segmentations(word[end:], pieces):
+                yield [own, *rest]
+
+
+def test_forward_and_backward_equal_all_segmentations():
+    pieces, size = language.vocabulary(PATH), language.size_of(PATH)
+    chance = np.random.default_rng(2).uniform(0.001, 0.01, (size, 2))
+    chance = np.r_[chance, np.zeros((1, 2))]
+    words, counts = ["the", "über", "a漢b", "ii", "x"], [[1, 0], [2, 3], [1, 1], [0, 4], [5, 5]]
+    model = language.Model(["p", "q"], chance, PATH)
+    expected = np.zeros((size, 2))
+    for word, n, got in zip(words, counts, model.word_scores(words), strict=True):
+        ways = list(segmentations(language.MARK + word, pieces))
+        products = np.array([chance[w].prod(axis=0) for w in ways])
+        assert np.allclose(np.exp(got), products.sum(axis=0))
+        for way, share in zip(ways, products / products.sum(axis=0), strict=True):
+            for piece in way:
+                expected[piece] += share * n
+    batch = pa.RecordBatch.from_arrays([pa.array(words), pa.array(counts)], names=["w", "c"])
+    found = np.zeros((size, 2))
+    for out in language.expected_batches(iter([batch]), 2, chance, PATH):
+        for piece, lang, n in zip(*(c.to_pylist() for c in out.columns)):
+            found[piece, lang] += n
+    assert np.allclose(found, expected)
+
+
+def test_held_out_accuracy(spark):
+    docs = {r.doc_id: r for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
+    got = QUERIES["op4_language"](spark, SMALL).collect()
+    assert len(got) == len(docs)
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) and 0 <= r.score <= 1 for r in got)
+    held = [r for r in got if r.held_out]
+    assert sum(r.lang_pred == docs[r.doc_id].lang for r in held) / len(held) > 0.97
+
+
+def test_odd_rows(spark):
+    rows = [(i, "the cat and the dog" if i % 2 else "der Hund und die Katze", "en" if i % 2 else "de") for i in range(20)]
+    odd = [(50, None, "en"), (51, "", None), (52, "12 34 !?", "en"), (53, "und die " * 200_000, None), (53, "und die " * 200_000, None), (None, "the dog", "de"), (54, "x" * 500, None)]
+    docs = spark.createDataFrame([(*r, 1.0) for r in rows + odd], "doc_id long, text string, lang string, score double")
+    got = [(r.doc_id, r.lang_pred, r.score) for r in language.languages_of(docs, PATH).collect()]
+    by = {d: (x, s) for d, x, s in got}
+    assert len(got) == 27 and by[50] == by[51] == by[52] == ("und", 0.0)
+    assert by[53][0] == "de" and by[None][0] == "en" and by[54][0] in ("de", "en")
+    assert language.languages_of(docs.limit(0), PATH).count() == 0
+    assert {r.lang_pred for r in language.languages_of(docs, PATH, learn=F.lit(False)).collect()} == {"und"}
+    kept = language.drop_unknown_languages(docs, PATH)
+    assert kept.columns == docs.columns and {50, 51, 52}.isdisjoint({r.doc_id for r in kept.collect()}) and kept.count() == 24
