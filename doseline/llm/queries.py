@@ -17,6 +17,7 @@ from doseline.llm import (
     simhash,
     substring_dedup,
     token_counts,
+    warc,
 )
 from doseline.llm.common import ship
 
@@ -77,6 +78,12 @@ def op6_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "copies", "taken")
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as archives and read back through their merged index."""
+    history = warc.archive_pages(table(spark, sf_dir, "pages"))
+    return history.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that overlap a benchmark item, and where."""
     return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -102,6 +109,7 @@ QUERIES: dict[str, Query] = {
     "op4_language": shipped(op4_language),
     "op5_substring_dedup": shipped(op5_substring_dedup),
     "op6_mixture": op6_mixture,
+    "op7_warc": shipped(op7_warc),
     "op9_decontamination": op9_decontamination,
     "op10_exact_dedup": op10_exact_dedup,
 }
@@ -139,6 +147,18 @@ SELECT doc_id, size, source_size, target,
   (floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END)::BIGINT AS copies,
   size * (floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END)::BIGINT AS taken
 FROM r
+""",
+    "op7_warc": r"""
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+  FROM pages
+), f AS (
+  SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM p LEFT JOIN f USING (payload_digest)
 """,
     "op9_decontamination": r"""
 WITH d AS (
