@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from doseline.llm import (
+    chat,
     decontamination,
     exact_dedup,
     language,
@@ -84,6 +85,11 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations repaired at the least cost and rendered."""
+    return chat.format_chats(table(spark, sf_dir, "conversations"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that overlap a benchmark item, and where."""
     return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -110,6 +116,7 @@ QUERIES: dict[str, Query] = {
     "op5_substring_dedup": shipped(op5_substring_dedup),
     "op6_mixture": op6_mixture,
     "op7_warc": shipped(op7_warc),
+    "op8_chat": shipped(op8_chat),
     "op9_decontamination": op9_decontamination,
     "op10_exact_dedup": op10_exact_dedup,
 }
