@@ -42,9 +42,10 @@ def source_targets(
             / (F.sum("_weight").over(everything) - F.coalesce(F.sum("_weight").over(before), F.lit(0)))
         ).alias("_level"),
     )
-    # Levels only rise from one capped source to the next until one holds.
+    # The first that holds; beyond it sources would be capped that need not be.
     holds = F.col("_level") * F.col("_weight") <= F.col("_cap")
-    levels = levels.withColumn("_found", F.min(F.when(holds, F.struct("_level"))).over(everything))
+    place = F.struct((F.col("_cap") / F.col("_weight")).alias("_ratio"), "_rank", "_level")
+    levels = levels.withColumn("_found", F.min(F.when(holds, place)).over(everything))
     target = F.least(F.col("_cap").cast("double"), F.col("_found._level") * F.col("_weight"))
     return levels.select("source", "source_size", target.alias("target"))
 

@@ -141,7 +141,7 @@ WITH d AS (
   WINDOW o AS (ORDER BY cap::DOUBLE / weight, rk ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
 ), t AS (
   SELECT source, source_size,
-    least(cap::DOUBLE, (SELECT min(lev) FROM l WHERE lev * weight <= cap) * weight) AS target
+    least(cap::DOUBLE, (SELECT lev FROM l WHERE lev * weight <= cap ORDER BY cap::DOUBLE / weight, rk LIMIT 1) * weight) AS target
   FROM l
 ), r AS (
   SELECT d.doc_id, d.size, t.source_size, t.target,
