@@ -24,59 +24,105 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from doseline.llm.common import keep, struct, text_blocks
 
 UNKNOWN_LANGUAGE = "und"
-TRAINING_DOCS = 400  # of each language
-ROUNDS = 3
+TRAINING_DOCS = 300  # of each language
+ROUNDS = 2
 SMOOTHING = 0.05
 SEED = 7
 MARK = "▁"  # stands before a word's first letter in the vocabulary
 PART = 32  # characters; longer words are read in parts, so that products stay in range
 TINY = 1e-300
-WORDS_AT_ONCE = 50_000
+WORDS_AT_ONCE = 5_000
+TABLE_BITS = 17
+TABLE = 1 << TABLE_BITS
+FACTOR, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 KNOWN_WORDS = 200_000
-DOCS_AT_ONCE = 512
+DOCS_AT_ONCE = 1_024
 LETTER = regex.compile(r"\p{L}")
 
 
+class Pieces:
+    """A vocabulary's text pieces in a hash table that answers for whole arrays at once.
+
+    A substring is known by its length and a 64-bit rolling hash. Id 0 stands for any other
+    single character.
+    """
+
+    def __init__(self, path: str):
+        model = sentencepiece.SentencePieceProcessor(model_file=path)
+        no_text = (model.is_control, model.is_unknown, model.is_byte)
+        texts = {model.id_to_piece(i): i for i in range(model.vocab_size()) if not any(f(i) for f in no_text)}
+        self.size = max(texts.values()) + 1
+        self.longest = max(map(len, texts))
+        self.powers = np.r_[np.uint64(1), np.full(PART, FACTOR).cumprod(dtype=np.uint64)]
+        self.keys = np.zeros(TABLE, np.uint64)
+        self.ids = np.full(TABLE, -1, np.int64)
+        for text, number in texts.items():
+            key = self.hashes([text])[:, -1] + np.uint64(len(text))
+            at = int(self.slot(key)[0])
+            while self.ids[at] >= 0:
+                at = (at + 1) % TABLE
+            self.keys[at], self.ids[at] = key[0], number
+
+    @staticmethod
+    def slot(key: np.ndarray) -> np.ndarray:
+        return ((key ^ (key >> np.uint64(31))) * MIX >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+
+    @staticmethod
+    def hashes(words: list[str]) -> np.ndarray:
+        """Hash of each prefix of words of one length, the empty one first."""
+        codes = np.frombuffer("".join(words).encode("utf-32-le"), "<u4").reshape(len(words), -1)
+        out = np.zeros((len(words), codes.shape[1] + 1), np.uint64)
+        for i in range(codes.shape[1]):
+            out[:, i + 1] = out[:, i] * FACTOR + codes[:, i]
+        return out
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Ids of the keys, -1 where there is no such piece."""
+        at = self.slot(keys)
+        found = np.where(self.keys[at] == keys, self.ids[at], -1)
+        open_ones = np.nonzero((found < 0) & (self.ids[at] >= 0))
+        place = at[open_ones]
+        while len(place):
+            place = (place + 1) % TABLE
+            same = self.keys[place] == keys[open_ones]
+            found[tuple(x[same] for x in open_ones)] = self.ids[place[same]]
+            more = ~same & (self.ids[place] >= 0)
+            open_ones, place = tuple(x[more] for x in open_ones), place[more]
+        return found
+
+    def lattice(self, words: list[str]) -> Iterator[tuple[np.ndarray, int, list[tuple[int, np.ndarray]]]]:
+        """Words of one length at a time, with the pieces that end at each place: the first
+        start and, word by start, their ids, -1 where there is none."""
+        by_length: dict[int, list[int]] = {}
+        for i, word in enumerate(words):
+            by_length.setdefault(len(word), []).append(i)
+        for length, rows in by_length.items():
+            for at in range(0, len(rows), WORDS_AT_ONCE):
+                some = rows[at : at + WORDS_AT_ONCE]
+                prefixes, ends = self.hashes([words[i] for i in some]), []
+                for end in range(1, length + 1):
+                    low = max(0, end - self.longest)
+                    sizes = np.arange(end - low, 0, -1)
+                    keys = prefixes[:, end, None] - prefixes[:, low:end] * self.powers[sizes] + sizes.astype(np.uint64)
+                    ids = self.find(keys)
+                    np.maximum(ids[:, -1], 0, out=ids[:, -1])
+                    ends.append((low, ids))
+                yield np.array(some), length, ends
+
+
 @lru_cache(maxsize=2)
-def vocabulary(path: str) -> dict[str, int]:
-    """Ids of the pieces that are text; id 0 stands for any other single character."""
-    model = sentencepiece.SentencePieceProcessor(model_file=path)
-    plain = (i for i in range(model.vocab_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i)))
-    return {model.id_to_piece(i): i for i in plain}
-
-
-def size_of(path: str) -> int:
-    return max(vocabulary(path).values()) + 1
-
-
-def lattice(words: list[str], pieces: dict[str, int]) -> Iterator[tuple[np.ndarray, int, list]]:
-    """Words of one length at a time, with their edges: for each end, (start, ids), where an
-    id is -1 if there is no such piece. A lone unknown character has id 0."""
-    longest = max(map(len, pieces))
-    by_length: dict[int, list[int]] = {}
-    for i, word in enumerate(words):
-        by_length.setdefault(len(word), []).append(i)
-    for length, rows in by_length.items():
-        for at in range(0, len(rows), WORDS_AT_ONCE):
-            some = rows[at : at + WORDS_AT_ONCE]
-            chosen = [words[i] for i in some]
-            edges = []
-            for end in range(1, length + 1):
-                for start in range(max(0, end - longest), end):
-                    missing = 0 if end - start == 1 else -1
-                    ids = np.fromiter((pieces.get(w[start:end], missing) for w in chosen), np.int64, len(chosen))
-                    if (ids >= 0).any():
-                        edges.append((start, end, ids))
-            yield np.array(some), length, edges
-
-
-def forward(many: int, length: int, edges: list, chance: np.ndarray) -> np.ndarray:
+def vocabulary(path: str) -> Pieces:
+    """One table per worker process."""
+    return Pieces(path)
+
+
+def forward(many: int, ends: list[tuple[int, np.ndarray]], chance: np.ndarray) -> np.ndarray:
     """Summed products of all segmentations up to each place; the last row of `chance` is zero,
     which is what a missing piece gets."""
-    alpha = np.zeros((length + 1, many, chance.shape[1]))
-    alpha[0] = 1
-    for start, end, ids in edges:
-        alpha[end] += alpha[start] * chance[ids]
+    alpha = np.zeros((many, len(ends) + 1, chance.shape[1]))
+    alpha[:, 0] = 1
+    for end, (low, ids) in enumerate(ends, 1):
+        alpha[:, end] = (alpha[:, low:end] * chance[ids]).sum(axis=1)
     return alpha
 
 
@@ -96,8 +142,8 @@ class Model:
         split = [(i, p) for i, w in enumerate(words) for p in parts(w)]
         owner = np.array([i for i, _ in split], np.int64)
         found = np.zeros((len(split), len(self.languages)))
-        for rows, length, edges in lattice([p for _, p in split], vocabulary(self.path)):
-            found[rows] = np.log(np.maximum(forward(len(rows), length, edges, self.chance)[length], TINY))
+        for rows, length, ends in vocabulary(self.path).lattice([p for _, p in split]):
+            found[rows] = np.log(np.maximum(forward(len(rows), ends, self.chance)[:, length], TINY))
         total = np.zeros((len(words), len(self.languages)))
         np.add.at(total, owner, found)
         return total
@@ -108,24 +154,29 @@ def expected_batches(
 ) -> Iterator[pa.RecordBatch]:
     """Words with their counts by language to expected counts of pieces by language. Without
     chances yet, all pieces are equally likely."""
-    pieces, size = vocabulary(path), size_of(path)
+    pieces = vocabulary(path)
     if chance is None:
-        chance = np.r_[np.full((size, languages), 1 / size), np.zeros((1, languages))]
-    total = np.zeros((size, languages))
+        chance = np.r_[np.full((pieces.size, languages), 1 / pieces.size), np.zeros((1, languages))]
+    total = np.zeros((pieces.size, languages))
     for batch in batches:
         split = [(i, p) for i, w in enumerate(batch.column(0).to_pylist()) for p in parts(w)]
         owner = np.array([i for i, _ in split], np.int64)
         counts = np.array(batch.column(1).to_pylist(), float).reshape(-1, languages)[owner]
-        for rows, length, edges in lattice([p for _, p in split], pieces):
-            alpha = forward(len(rows), length, edges, chance)
+        for rows, length, ends in pieces.lattice([p for _, p in split]):
+            alpha = forward(len(rows), ends, chance)
             beta = np.zeros_like(alpha)
-            beta[length] = counts[rows] / np.maximum(alpha[length], TINY)
-            for start, end, ids in reversed(edges):
-                there = beta[end] * chance[ids]
-                beta[start] += there
+            beta[:, length] = counts[rows] / np.maximum(alpha[:, length], TINY)
+            used, shares = [], []
+            for end in range(length, 0, -1):
+                low, ids = ends[end - 1]
+                there = beta[:, end, None] * chance[ids]
+                beta[:, low:end] += there
                 has = ids >= 0
-                for k in range(languages):
-                    total[:, k] += np.bincount(ids[has], (alpha[start] * there)[has, k], size)
+                used.append(ids[has])
+                shares.append((alpha[:, low:end] * there)[has])
+            used, shares = np.concatenate(used), np.concatenate(shares)
+            for k in range(languages):
+                total[:, k] += np.bincount(used, shares[:, k], pieces.size)
     piece, language = np.nonzero(total)
     yield pa.RecordBatch.from_arrays(
         [pa.array(piece), pa.array(language), pa.array(total[piece, language])], names=["piece", "language", "expected"]
@@ -144,10 +195,11 @@ def train(docs: DataFrame, path: str, id_col: str, text_col: str, lang_col: str,
     words = rows.select("_lang", F.explode(F.regexp_extract_all(text_col, F.lit(r"([^\x20\x09-\x0D]+)"))).alias("word"))
     counted = keep(words.groupBy("word", "_lang").count(), "words")
     languages = sorted(r._lang for r in counted.select("_lang").distinct().collect())
-    size, chance = size_of(path), None
+    size, chance = vocabulary(path).size, None
     if languages:
         of = [F.coalesce(F.sum(F.when(F.col("_lang") == x, F.col("count"))), F.lit(0)) for x in languages]
-        table = keep(counted.groupBy("word").agg(F.array(*of).alias("counts")), "words")
+        table = counted.groupBy("word").agg(F.array(*of).alias("counts"))
+        table = keep(table.repartition(docs.sparkSession.sparkContext.defaultParallelism), "words")
         for _ in range(rounds):
             work = partial(expected_batches, languages=len(languages), chance=chance, path=path)
             sums = table.mapInArrow(work, "piece long, language long, expected double")

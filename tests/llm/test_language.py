@@ -7,6 +7,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import public_tokenizers
+import sentencepiece
 from pyspark.sql import functions as F
 
 from doseline.llm import language
@@ -16,6 +17,20 @@ PATH = public_tokenizers.path("piece_bpe_32k.model")
 SMALL = "/root/testdata/sf0.01"
 
 
+def texts_of_pieces():
+    model = sentencepiece.SentencePieceProcessor(model_file=PATH)
+    odd = (model.is_control, model.is_unknown, model.is_byte)
+    return {model.id_to_piece(i): i for i in range(model.vocab_size()) if not any(f(i) for f in odd)}
+
+
+def test_every_piece_is_found():
+    pieces, texts = language.vocabulary(PATH), texts_of_pieces()
+    for _, length, ends in pieces.lattice(list(texts)):
+        assert all(low == max(0, end - pieces.longest) for end, (low, _) in enumerate(ends, 1))
+    for rows, length, ends in pieces.lattice(words := [*texts, "zqxzq", "漢"]):
+        assert [texts.get(words[r], -1 if length > 1 else 0) for r in rows] == ends[-1][1][:, 0].tolist()
+
+
 def segmentations(word, pieces):
     if not word:
         yield []
@@ -27,7 +42,7 @@ def segmentations(word, pieces):
 
 
 def test_forward_and_backward_equal_all_segmentations():
-    pieces, size = language.vocabulary(PATH), language.size_of(PATH)
+    pieces, size = texts_of_pieces(), language.vocabulary(PATH).size
     chance = np.random.default_rng(2).uniform(0.001, 0.01, (size, 2))
     chance = np.r_[chance, np.zeros((1, 2))]
     words, counts = ["the", "über", "a漢b", "ii", "x"], [[1, 0], [2, 3], [1, 1], [0, 4], [5, 5]]
