@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 from checks.config import CONFIG_TABLES, RESET_QUARTER, SINCE, config_sql
-from checks.proxies import CLAIM_CODES, QUARTERS, STRATIFIED_EARLY
+from checks.proxies import CLAIM_CODES, LONG_AGO, QUARTERS, STRATIFIED_EARLY
 
 D = "DATE '1999-01-15'"
 QS, QE = "DATE '1999-01-01'", "DATE '1999-03-31'"
@@ -120,16 +120,21 @@ VIEWS |= {
         day + CAST(event_id % 60 - 30 AS INTEGER) AS from_date FROM ev WHERE event_type = 'purchase'""",
     "eligibility": """SELECT 'P' || (c_custkey // 3) AS id,
         CASE c_mktsegment WHEN 'AUTOMOBILE' THEN DATE '1994-01-01' WHEN 'MACHINERY' THEN DATE '1998-01-01'
-             WHEN 'FURNITURE' THEN DATE '1997-06-01' ELSE DATE '1990-01-01' END AS from_date,
+             WHEN 'FURNITURE' THEN DATE '1997-06-01' WHEN 'BUILDING' THEN DATE '1980-01-01'
+             ELSE DATE '1990-01-01' END AS from_date,
         CASE c_mktsegment WHEN 'AUTOMOBILE' THEN DATE '1996-06-30' WHEN 'MACHINERY' THEN DATE '1999-12-31'
-             WHEN 'FURNITURE' THEN DATE '1997-12-31' ELSE DATE '2005-12-31' END AS to_date
-        FROM customer WHERE c_mktsegment <> 'BUILDING'""",
-    "claim_header": """SELECT 'P' || (o_custkey // 3) AS id, CAST(o_orderdate AS DATE) AS first_date
-        FROM orders WHERE o_orderpriority = '1-URGENT'""",
-    "assessed": """SELECT auth_no, CASE auth_no % 10 WHEN 0 THEN '152' WHEN 1 THEN '153'
-        WHEN 2 THEN '154' WHEN 3 THEN '155' ELSE '999' END AS code FROM auth WHERE price > 150000""",
-    "ip": """SELECT l_orderkey AS auth_no, CASE l_returnflag WHEN 'A' THEN 'I' ELSE 'V' END AS ip_type
+             WHEN 'FURNITURE' THEN DATE '1997-12-31' WHEN 'BUILDING' THEN DATE '1985-12-31'
+             ELSE DATE '2005-12-31' END AS to_date FROM customer""",
+    "claim_header": f"""SELECT 'P' || (o_custkey // 3) AS id, CAST(o_orderdate AS DATE)
+        - CASE WHEN o_orderpriority = '1-URGENT' THEN 0 ELSE {LONG_AGO} END AS first_date FROM orders""",
+    "assessed": """SELECT auth_no, CASE WHEN price <= 150000 THEN '999' ELSE
+        CASE auth_no % 10 WHEN 0 THEN '152' WHEN 1 THEN '153'
+        WHEN 2 THEN '154' WHEN 3 THEN '155' ELSE '999' END END AS code FROM auth""",
+    "ip": """SELECT l_orderkey AS auth_no, CASE WHEN l_linenumber % 4 = 3 THEN NULL
+        WHEN l_linenumber % 4 = 0 THEN '' WHEN l_returnflag = 'A' THEN 'I' ELSE 'V' END AS ip_type
         FROM lineitem""",
+    "jail": f"""SELECT kcid, start_date - ago AS book_date, expire_date - ago AS release_date
+        FROM (SELECT *, CASE WHEN program = 'S01' THEN 0 ELSE {LONG_AGO} END AS ago FROM auth)""",
     "hospital": """SELECT kcid, event_id % 3 AS class,
         day + CAST(event_id * 7 % 700 - 500 AS INTEGER) AS admit_date FROM ev WHERE event_type = 'view'""",
     "municipal": """SELECT CASE WHEN event_id % 13 <> 0 THEN kcid END AS kcid, s AS book_date,
@@ -218,8 +223,7 @@ VIEWS |= {
         coalesce(nED, 0) AS nED, coalesce(nIP, 0) AS nIP FROM crisis FULL JOIN hospital_counts USING (kcid))""",
     "cutoff": "SELECT least(max(book_date), DATE '1999-01-15') AS cutoff_date FROM municipal",
     "stays": f"""SELECT DISTINCT kcid, book_date, release_date FROM (
-        SELECT kcid, start_date AS book_date, coalesce(expire_date, start_date) AS release_date
-        FROM auth WHERE program = 'S01'
+        SELECT kcid, book_date, coalesce(release_date, book_date) AS release_date FROM jail
         UNION ALL SELECT kcid, book_date, coalesce(release_date, book_date) FROM municipal
         WHERE kcid IS NOT NULL), cutoff
         WHERE {_touch('book_date', 'release_date', "CAST(cutoff_date - INTERVAL 60 MONTH AS DATE)", 'cutoff_date')}""",
@@ -338,6 +342,7 @@ def _dose_views(tag: str, members: str) -> dict[str, str]:
             FROM (SELECT DISTINCT kcid, auth_no, program, age_group FROM {members}) m
             LEFT JOIN auth d ON d.auth_no = m.auth_no""",
         f"{t}active": strata(f"{t}members", "auth_no", "a.*"),
+        f"{t}dated": strata(f"{t}members", "auth_no", "a.*") + f" AND {D} BETWEEN c.start_date AND c.end_date",
         f"{t}clipped": clipped(f"{t}active", ""),
         f"{t}costed": costed(f"{t}clipped"),
         f"{t}spans": spans(f"{t}costed", "auth_no"),
@@ -463,6 +468,17 @@ VIEWS |= {
         + row_number() OVER (ORDER BY start_date, auth_no) AS stratum_sda_id,
         * EXCLUDE (prev_auth_no), {NOW} AS post_stamp, CAST(NULL AS TIMESTAMP) AS modify_stamp, prev_auth_no
         FROM sda_rows""",
+    "published_scores": f"""SELECT au_stratum_id, 'LOCUS' AS metric, total_score AS value, total_score AS score,
+        missing_data, 'N' AS override_ind, post_stamp, modify_stamp FROM au_stratum
+        UNION ALL BY NAME SELECT *, {NOW} AS post_stamp, CAST(NULL AS TIMESTAMP) AS modify_stamp FROM score_rows""",
+    "published_ratios": f"""SELECT stratum_sda_id, auth_no, start_date, end_date, sda, enroll_days,
+        CAST(0 AS DECIMAL(18,3)) AS hrs_expected, CAST(0 AS DECIMAL(18,3)) AS svc_hrs,
+        CAST(0 AS DECIMAL(18,3)) AS svc_hrs_prorated, CAST(end_date AS TIMESTAMP) AS post_stamp,
+        CAST(NULL AS TIMESTAMP) AS modify_stamp, CAST(NULL AS BIGINT) AS prev_auth_no FROM au_stratum_sda
+        UNION ALL BY NAME SELECT * FROM new_sda""",
+    "published_shadow": f"""SELECT * FROM au_stratum WHERE start_date < {QS}
+        UNION ALL BY NAME SELECT * FROM n_applied WHERE au_stratum_id NOT IN (
+            SELECT au_stratum_id FROM au_stratum WHERE start_date < {QS})""",
     "all_strata": "SELECT * FROM au_stratum UNION ALL BY NAME SELECT * FROM new_strata",
     "all_ratios": """SELECT stratum_sda_id, auth_no, end_date, sda, enroll_days FROM au_stratum_sda
         UNION ALL BY NAME SELECT stratum_sda_id, auth_no, end_date, sda, enroll_days FROM new_sda""",

@@ -22,6 +22,7 @@ QUARTERS = [  # stratified quarter and the look-back of its ratio
     ("1998-10-01", "1998-12-31", "1998-06-01", "1998-08-31"),
     ("1999-01-01", "1999-03-31", "1998-09-01", "1998-11-30"),
 ]
+LONG_AGO = 5000  # days that put a date before every look-back
 STRATIFIED_EARLY = 450000  # orders above this price already have the current quarter
 CLAIM_CODES = (
     "'ccw_diabetes', 'ccw_ischemic_heart_dis', 'ccw_mi', 'ccw_hypertension', 'ccw_stroke', "
@@ -48,6 +49,9 @@ class Proxies:
         return self._built[name]
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
+        """Written to the shared folder of the cluster, or held by Spark where it names none."""
+        if not self.spark.conf.get("spark.checkpoint.dir", None):
+            return df.persist()
         self._stages = self._stages or Stages(self.spark)
         return self._stages.keep(df, name)
 
@@ -247,40 +251,35 @@ class Proxies:
         )
 
     def _mcaid_elig_timevar(self) -> DataFrame:
-        return (
-            self.raw("customer")
-            .where(F.col("c_mktsegment") != "BUILDING")
-            .selectExpr(
-                "concat('P', c_custkey div 3) AS id_mcaid",
-                """CASE c_mktsegment WHEN 'AUTOMOBILE' THEN DATE '1994-01-01'
-                   WHEN 'MACHINERY' THEN DATE '1998-01-01' WHEN 'FURNITURE' THEN DATE '1997-06-01'
-                   ELSE DATE '1990-01-01' END AS from_date""",
-                """CASE c_mktsegment WHEN 'AUTOMOBILE' THEN DATE '1996-06-30'
-                   WHEN 'MACHINERY' THEN DATE '1999-12-31' WHEN 'FURNITURE' THEN DATE '1997-12-31'
-                   ELSE DATE '2005-12-31' END AS to_date""",
-            )
+        return self.raw("customer").selectExpr(
+            "concat('P', c_custkey div 3) AS id_mcaid",
+            """CASE c_mktsegment WHEN 'AUTOMOBILE' THEN DATE '1994-01-01'
+               WHEN 'MACHINERY' THEN DATE '1998-01-01' WHEN 'FURNITURE' THEN DATE '1997-06-01'
+               WHEN 'BUILDING' THEN DATE '1980-01-01' ELSE DATE '1990-01-01' END AS from_date""",
+            """CASE c_mktsegment WHEN 'AUTOMOBILE' THEN DATE '1996-06-30'
+               WHEN 'MACHINERY' THEN DATE '1999-12-31' WHEN 'FURNITURE' THEN DATE '1997-12-31'
+               WHEN 'BUILDING' THEN DATE '1985-12-31' ELSE DATE '2005-12-31' END AS to_date""",
         )
 
     def _mcaid_claim_header(self) -> DataFrame:
-        return (
-            self.raw("orders")
-            .where(F.col("o_orderpriority") == "1-URGENT")
-            .selectExpr(
-                "concat('P', o_custkey div 3) AS id_mcaid",
-                "CAST(o_orderdate AS DATE) AS first_service_date",
-            )
+        return self.raw("orders").selectExpr(
+            "concat('P', o_custkey div 3) AS id_mcaid",
+            f"""date_sub(CAST(o_orderdate AS DATE),
+                CASE o_orderpriority WHEN '1-URGENT' THEN 0 ELSE {LONG_AGO} END) AS first_service_date""",
         )
 
     def _ma_cond_ass(self) -> DataFrame:
-        return self["auth"].where("price > 150000").selectExpr(
+        return self["auth"].selectExpr(
             "auth_no",
-            """CASE auth_no % 10 WHEN 0 THEN '152' WHEN 1 THEN '153' WHEN 2 THEN '154'
+            """CASE CASE WHEN price > 150000 THEN auth_no % 10 ELSE 9 END WHEN 0 THEN '152' WHEN 1 THEN '153' WHEN 2 THEN '154'
                WHEN 3 THEN '155' ELSE '999' END AS condition_code""",
         )
 
     def _ip_master(self) -> DataFrame:
         return self.raw("lineitem").selectExpr(
-            "l_orderkey AS auth_no", "CASE l_returnflag WHEN 'A' THEN 'I' ELSE 'V' END AS ip_type"
+            "l_orderkey AS auth_no",
+            """CASE WHEN l_linenumber % 4 = 3 THEN NULL WHEN l_linenumber % 4 = 0 THEN ''
+               WHEN l_returnflag = 'A' THEN 'I' ELSE 'V' END AS ip_type""",
         )
 
     def _cmt_hospital_report(self) -> DataFrame:
@@ -292,8 +291,9 @@ class Proxies:
         )
 
     def _ep_jail(self) -> DataFrame:
-        return self["auth"].where("program = 'S01'").selectExpr(
-            "kcid", "start_date AS book_date", "expire_date AS release_date"
+        ago = f"CASE program WHEN 'S01' THEN 0 ELSE {LONG_AGO} END"
+        return self["auth"].selectExpr(
+            "kcid", f"date_sub(start_date, {ago}) AS book_date", f"date_sub(expire_date, {ago}) AS release_date"
         )
 
     def _muni_jail(self) -> DataFrame:

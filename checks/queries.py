@@ -17,6 +17,7 @@ from doseline.functions.decimals import from_micro
 from doseline.operators import dosage, intervals, linkage, lookups, population, publish, risk, scoring
 from doseline.plans import quarter
 from doseline.session import configure
+from doseline.sources import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -90,9 +91,9 @@ def _merged(t: Proxies, mode: str = "lag") -> DataFrame:
     return intervals.merge_intervals(_stays(t), ["kcid"], "book_date", "release_date", mode)
 
 
-def _active(t: Proxies) -> DataFrame:
+def _active(t: Proxies, tier_as_of: date | None = None) -> DataFrame:
     return dosage.active_strata(
-        t["members"], t["au_stratum"], t["cd_stratum_tier"], t["au_master"], SDA_START, SDA_END
+        t["members"], t["au_stratum"], t["cd_stratum_tier"], t["au_master"], SDA_START, SDA_END, tier_as_of
     )
 
 
@@ -186,7 +187,7 @@ def program_recode(t: Proxies) -> DataFrame:
     FROM auth""",
 )
 def interval_overlap(t: Proxies) -> DataFrame:
-    hit = ranges.overlaps(F.col("start_date"), F.col("expire_date"), Q_START, Q_END)
+    hit = F.coalesce(ranges.overlaps(F.col("start_date"), F.col("expire_date"), Q_START, Q_END), F.lit(False))
     return t["au_master"].select("auth_no", hit.cast("int").alias("in_quarter"))
 
 
@@ -327,6 +328,22 @@ def high_utilization(t: Proxies) -> DataFrame:
     )
 
 
+@check(
+    "high_utilization_literal",
+    f"""SELECT {POP_COLUMNS}, nSRS, nDTX, nITA, nED, nIP, nSRS + nDTX + nITA + nED + nIP AS HUTIL,
+    'N' AS HUTIL_missing_data FROM (
+      SELECT p.*, coalesce(c.nSRS, 0) * n AS nSRS, coalesce(c.nDTX, 0) * n AS nDTX,
+        coalesce(c.nITA, 0) * n AS nITA, coalesce(h.nED, 0) AS nED, coalesce(h.nIP, 0) AS nIP
+      FROM (SELECT *, count(*) OVER (PARTITION BY kcid) AS n FROM pop) p
+      LEFT JOIN crisis c USING (kcid) LEFT JOIN hospital_counts h USING (kcid))""",
+)
+def high_utilization_literal(t: Proxies) -> DataFrame:
+    """Crisis stays counted once per authorization of the person in the population."""
+    return risk.high_utilization(
+        t.once("pop", lambda: _pop(t)), t["crisis_au_master"], t["ip_master"], t["cmt_hospital_report"], CALC, True
+    )
+
+
 @check("stays_union", "SELECT kcid, book_date, release_date FROM stays")
 def stays_union(t: Proxies) -> DataFrame:
     return _stays(t)
@@ -376,6 +393,23 @@ def recent_event_flag(t: Proxies) -> DataFrame:
     return risk.injection_use(_pop(t), t["ep_substance_use"], CALC)
 
 
+@check(
+    "inputs_with_substance",
+    f"""SELECT {POP_COLUMNS}, LOCUS, CALOC, FOSTR, HMLES, CHRON, HUTIL, NUMCJ, LNGCJ,
+    CAST(coalesce(level, 0) AS DECIMAL(4,1)) AS ASAM,
+    CASE WHEN kcid IN (SELECT kcid FROM (
+        SELECT kcid, max(event_date) AS latest FROM injection WHERE event_date <= DATE '1999-02-15'
+        GROUP BY kcid) WHERE latest >= DATE '1998-01-15') THEN 1 ELSE 0 END AS IDU
+    FROM inputs LEFT JOIN asam_latest USING (kcid, agency_id)""",
+)
+def inputs_with_substance(t: Proxies) -> DataFrame:
+    """All risk inputs of the job, those for substance use included."""
+    pop = t.once("pop", lambda: _pop(t))
+    columns = [c.strip() for c in POP_COLUMNS.split(",")]
+    metrics = ["LOCUS", "CALOC", "FOSTR", "HMLES", "CHRON", "HUTIL", "NUMCJ", "LNGCJ", "ASAM", "IDU"]
+    return quarter.with_inputs(pop, t.all(), CALC, quarter.Options(substance_inputs=True)).select(*columns, *metrics)
+
+
 # --- Scoring --------------------------------------------------------------------------
 
 
@@ -464,6 +498,15 @@ def active_strata(t: Proxies) -> DataFrame:
     return _active(t)
 
 
+@check(
+    "active_strata_dated",
+    f"SELECT {STRATA_COLUMNS} FROM a_dated",
+)
+def active_strata_dated(t: Proxies) -> DataFrame:
+    """Tier hours as they were valid on the calculation date."""
+    return _active(t, CALC)
+
+
 @check(
     "clip_to_window",
     f"""SELECT auth_no, greatest(least(start_date, {LE}), {LS}) AS sda_start,
@@ -708,6 +751,16 @@ def sda_rows(t: Proxies) -> DataFrame:
     return publish.sda_rows(_complete(t))
 
 
+@check(
+    "sda_rows_quarter",
+    f"""SELECT auth_no, {QS} AS start_date, {QE} AS end_date, sda, enroll_days, hrs_expected,
+    svc_hrs, svc_hrs_prorated, prev_auth_no FROM complete""",
+)
+def sda_rows_quarter(t: Proxies) -> DataFrame:
+    """Ratio records dated by the quarter."""
+    return publish.sda_rows(_complete(t), "quarter")
+
+
 @check("append_sda", "SELECT * FROM new_sda")
 def append_sda(t: Proxies) -> DataFrame:
     after = publish.highest_id(t["au_stratum_sda"], "stratum_sda_id")
@@ -733,6 +786,47 @@ def reset_payments(t: Proxies) -> DataFrame:
     return publish.reset_payments(t["au_stratum"], RESET_QUARTER)
 
 
+def _job(t: Proxies, options: quarter.Options) -> dict[str, DataFrame]:
+    return quarter.run_quarter(t.spark, t.all(), CALC, options, t.keep)
+
+
+JOB = quarter.Options(now=NOW, linked_since=SINCE, reset_quarter=RESET_QUARTER)
+
+
+@check("published_scores", "SELECT * FROM published_scores")
+def published_scores(t: Proxies) -> DataFrame:
+    """The score table as it stands after the quarter is published."""
+    stored = t["au_stratum_score"]
+    return stored.unionByName(tables.unwritten(_job(t, JOB)["scores"], stored, tables.KEYS["au_stratum_score"]))
+
+
+@check("published_ratios", "SELECT * FROM published_ratios")
+def published_ratios(t: Proxies) -> DataFrame:
+    """The ratio table as it stands after the quarter is published."""
+    stored = t["au_stratum_sda"]
+    return stored.unionByName(tables.unwritten(_job(t, JOB)["ratios"], stored, tables.KEYS["au_stratum_sda"]))
+
+
+@check("published_shadow", "SELECT * FROM published_shadow")
+def published_shadow(t: Proxies) -> DataFrame:
+    """The shadow table as it stands after the quarter is published."""
+    stored = t["au_stratum_shadow"]
+    return stored.unionByName(tables.unwritten(_job(t, JOB)["shadow"], stored, tables.KEYS["au_stratum_shadow"]))
+
+
+@check(
+    "published_strata",
+    f"""SELECT * REPLACE (CASE WHEN {_RESET} THEN 'SHA' ELSE sda_rule END AS sda_rule,
+    CASE WHEN {_RESET} THEN CAST(1 AS DECIMAL(6,3)) ELSE sda_pay_multiplier END AS sda_pay_multiplier)
+    FROM n_applied""",
+)
+def published_strata(t: Proxies) -> DataFrame:
+    """The stratum table with the quarters the run replaces, as publishing leaves it."""
+    replaced = _job(t, JOB)["replaced"]
+    dates = replaced.select(F.col("start_date").alias("_date")).distinct()
+    return t["au_stratum"].join(dates, F.col("start_date") == F.col("_date"), "left_anti").unionByName(replaced)
+
+
 @check(
     "quarter_run",
     f"""SELECT * REPLACE (CASE WHEN {_RESET} THEN 'SHA' ELSE sda_rule END AS sda_rule,
@@ -741,8 +835,7 @@ def reset_payments(t: Proxies) -> DataFrame:
 )
 def quarter_run(t: Proxies) -> DataFrame:
     """The whole quarter: the stratum table after scoring, dosing, linking and the reset."""
-    options = quarter.Options(now=NOW, linked_since=SINCE, reset_quarter=RESET_QUARTER)
-    return quarter.run_quarter(t.spark, t.all(), CALC, options)["au_stratum"]
+    return _job(t, JOB)["au_stratum"]
 
 
 def oracle_queries() -> dict[str, str]:

@@ -17,11 +17,12 @@ def overlaps(start: Column, end: Column, lo: Day, hi: Day) -> Column:
     """Whether [start, end] touches [lo, hi].
 
     An open end counts only when the range starts inside, and so does a range whose
-    end precedes its start if either date lies inside.
+    end precedes its start if either date lies inside. Null where a date is missing and
+    the other decides nothing, which a filter takes for no; so bare, it reaches the scan.
     """
     lo, hi = as_date(lo), as_date(hi)
     inside = start.between(lo, hi) | end.between(lo, hi)
-    return F.coalesce(inside | ((start <= hi) & (end >= lo)), F.lit(False))
+    return inside | ((start <= hi) & (end >= lo))
 
 
 def clip_to_window(start: Column, end: Column, lo: Day, hi: Day) -> tuple[Column, Column]:

@@ -66,7 +66,8 @@ def _check_end(start: Column) -> Column:
 
 
 def _order() -> Column:
-    return F.struct("start_date", "au_stratum_id")
+    """Order of strata by date and id; one without a date is neither first nor last."""
+    return F.when(F.col("start_date").isNotNull(), F.struct("start_date", "au_stratum_id"))
 
 
 def first_stratum(strata: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ NOT_OVERRIDDEN = "N"
 UNSCORED_METRIC = "CHRON"
 # --------------------------------------------------------------------------------------
 
-ID_BLOCK = 1 << 16
+ID_BITS = 16  # of the authorization number, to a block or region
 
 STRATUM_RECORD = [
     "auth_no", "calc_date", "start_date", "end_date", "total_score", "strat_level",
@@ -55,43 +55,38 @@ def stratum_rows(df: DataFrame) -> DataFrame:
     )
 
 
+def _before(sizes: DataFrame, key: str, levels: int) -> DataFrame:
+    """Rows of `sizes` (start_date, key, _size) with `_before`, the sizes of all earlier ones.
+
+    Keys are summed inside regions of 65,536 keys and the regions in the same way, `levels`
+    times; the last line then holds at most 65,536 rows per start date.
+    """
+    if levels == 0:
+        line = Window.orderBy("start_date", key).rowsBetween(Window.unboundedPreceding, -1)
+        return sizes.withColumn("_before", F.coalesce(F.sum("_size").over(line), F.lit(0)))
+    region = f"_region{levels}"
+    placed = sizes.withColumn(region, F.shiftright(key, ID_BITS))
+    totals = placed.groupBy("start_date", region).agg(F.sum("_size").alias("_size"))
+    earlier = _before(totals, region, levels - 1).drop("_size").withColumnRenamed("_before", "_earlier")
+    inside = Window.partitionBy("start_date", region).orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
+    own = placed.withColumn("_before", F.coalesce(F.sum("_size").over(inside), F.lit(0)))
+    joined = own.join(earlier, ["start_date", region])
+    return joined.withColumn("_before", F.col("_before") + F.col("_earlier")).drop(region, "_earlier")
+
+
 def with_ids(df: DataFrame, id_col: str, after: Column | int) -> DataFrame:
     """Number rows consecutively from `after` + 1 in order of start_date and auth_no.
 
-    Rows are ranked inside blocks of a fixed range of auth_no. The sizes of the blocks are
-    summed up inside regions of 65,536 blocks, and only the regions, one per four billion
-    authorization numbers and start date, in a single line. Ids depend on values alone, so
-    a task that runs again gives the same ones.
+    Rows are ranked inside blocks of a fixed range of auth_no; the sizes of earlier blocks
+    are summed up level by level, three of which reach all 64-bit numbers, however sparse.
+    Ids depend on values alone, so a task that runs again gives the same ones.
     """
     rest = [c for c in df.columns if c not in ("auth_no", "start_date")]
-    block = F.floor(F.col("auth_no") / ID_BLOCK).cast("long")
-    blocked = df.withColumn("_block", block)
+    blocked = df.withColumn("_block", F.shiftright("auth_no", ID_BITS))
     in_block = Window.partitionBy("start_date", "_block").orderBy("auth_no", *rest)
     ranked = blocked.withColumn("_rank", F.row_number().over(in_block))
-
-    before = (Window.unboundedPreceding, -1)
-    region = F.floor(F.col("_block") / ID_BLOCK).cast("long")
-    sizes = (
-        blocked.groupBy("start_date", "_block")
-        .agg(F.count(F.lit(1)).alias("_size"))
-        .withColumn("_region", region)
-    )
-    in_region = Window.partitionBy("start_date", "_region").orderBy("_block").rowsBetween(*before)
-    in_line = Window.orderBy("start_date", "_region").rowsBetween(*before)
-    regions = (
-        sizes.groupBy("start_date", "_region")
-        .agg(F.sum("_size").alias("_size"))
-        .select("start_date", "_region", F.sum("_size").over(in_line).alias("_earlier"))
-    )
-    offsets = (
-        sizes.withColumn("_inside", F.sum("_size").over(in_region))
-        .join(regions, ["start_date", "_region"])
-        .select(
-            "start_date",
-            "_block",
-            (F.coalesce("_inside", F.lit(0)) + F.coalesce("_earlier", F.lit(0))).alias("_before"),
-        )
-    )
+    sizes = blocked.groupBy("start_date", "_block").agg(F.count(F.lit(1)).alias("_size"))
+    offsets = _before(sizes, "_block", 2).drop("_size")
     base = after if isinstance(after, Column) else F.lit(after)
     number = (F.col("_rank") + F.col("_before") + base).cast("long")
     return ranked.join(offsets, ["start_date", "_block"]).select(number.alias(id_col), *df.columns)

@@ -254,15 +254,13 @@ def crisis_events(auth: DataFrame, ip: DataFrame, calc: Day) -> DataFrame:
         & F.col("status_code").isin(HELD_STATUSES)
         & (F.col("start_date").between(lo, hi) | F.col("expire_date").between(lo, hi))
     ).select("kcid", "auth_no", "program")
-    # The set holds codes, so it stays small however often they are recorded.
+    # No type and an empty one are two types.
+    involuntary = F.coalesce(F.col("ip_type") == INVOLUNTARY, F.lit(False))
     types = (
-        ip.groupBy("auth_no")
-        .agg(F.collect_set(F.coalesce("ip_type", F.lit(""))).alias("_set"))
-        .select(
-            "auth_no",
-            F.size("_set").alias("_types"),
-            F.array_contains("_set", INVOLUNTARY).cast("int").alias("_ita"),
-        )
+        ip.select("auth_no", "ip_type")
+        .distinct()
+        .groupBy("auth_no")
+        .agg(F.count(F.lit(1)).alias("_types"), F.max(involuntary.cast("int")).alias("_ita"))
     )
     matched = attach(recent, types, ["auth_no"], {"_types": 1, "_ita": 0})
     counts = {
@@ -346,11 +344,12 @@ def normalize_stays(jail: DataFrame, municipal: DataFrame, lo: Day, hi: Day) ->
     """Distinct stays of both sources touching [lo, hi]; an open stay ends where it starts."""
 
     def closed(df: DataFrame, person: str, start: str, end: str) -> DataFrame:
-        return df.select(
+        # For an open stay the dates as stored decide alike, and can be filtered in the scan.
+        return df.where(overlaps(F.col(start), F.col(end), lo, hi)).select(
             F.col(person).alias("kcid"),
             F.col(start).alias("book_date"),
             F.coalesce(F.col(end), F.col(start)).alias("release_date"),
-        ).where(overlaps(F.col("book_date"), F.col("release_date"), lo, hi))
+        )
 
     matched = municipal.where(F.col("kcid_match").isNotNull())
     return (

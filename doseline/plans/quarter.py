@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date, datetime, time
 
@@ -10,8 +11,8 @@ from pyspark.sql import functions as F
 
 from doseline.functions.dates import Periods
 from doseline.operators import dosage, linkage, population, publish, risk, scoring
-from doseline.session import Stages, configure
-from doseline.sources.tables import append_rows, conform, replace_quarters
+from doseline.session import Stages
+from doseline.sources.tables import append_new_rows, conform, replace_quarters
 
 Tables = dict[str, DataFrame]
 
@@ -70,67 +71,80 @@ def with_inputs(pop: DataFrame, tables: Tables, calc: date, options: Options) ->
 
 
 def run_quarter(
-    spark: SparkSession, tables: Tables, calc_date: date, options: Options = Options()
+    spark: SparkSession,
+    tables: Tables,
+    calc_date: date,
+    options: Options = Options(),
+    keep: Callable[[DataFrame, str], DataFrame] | None = None,
 ) -> Tables:
     """Compute one quarter's records and the updated history; writes no history table.
 
     Returns the new rows (`strata`, `scores`, `ratios`, `shadow`), the linked and reset
-    stratum table as of the end of the run (`au_stratum`), the level counts (`levels`)
-    and the stages they were built from (`population`, `score_lines`).
+    stratum table as of the end of the run (`au_stratum`), those of its quarters the run can
+    have changed (`replaced`), the level counts (`levels`) and the stages they were built
+    from (`population`, `score_lines`).
+
+    `keep` materializes a step under a name; by default it writes to spark.checkpoint.dir.
+    What is published is kept, so that publishing reads nothing it writes.
     """
-    configure(spark)
-    stages = Stages(spark)
+    keep = keep or Stages(spark).keep
     periods = Periods.of(calc_date)
     as_of = options.as_of or calc_date
     now = options.now or datetime.combine(as_of, time())
     history = tables["au_stratum"]
 
-    pop = stages.keep(population_of(tables, periods, as_of), "population")
-    inputs = stages.keep(with_inputs(pop, tables, calc_date, options), "inputs")
+    pop = keep(population_of(tables, periods, as_of), "population")
+    inputs = keep(with_inputs(pop, tables, calc_date, options), "inputs")
 
     metrics = scoring.metric_names(tables["cd_stratum_metric"], calc_date, inputs.columns)
     lines = scoring.score_lines(
         scoring.to_score_input(inputs, metrics), tables["cd_stratum_pop_model"]
     )
-    lines = stages.keep(lines, "score_lines")
+    lines = keep(lines, "score_lines")
     tiers = scoring.tier_lookup(scoring.total_score(lines), tables["cd_stratum_tier"])
     leveled = scoring.assign_level(inputs, tiers)
 
     ratios = dosage.dose_ratio(
         pop, history, tables["cd_stratum_tier"], tables["au_master"], tables["ea_cpt_service"],
         periods.sda_start, periods.sda_end, tier_as_of=options.tier_as_of,
-        keep=stages.keep,
+        keep=keep,
     )
-    complete = stages.keep(dosage.with_sda(leveled, ratios), "complete")
+    complete = keep(dosage.with_sda(leveled, ratios), "complete")
 
     strata = publish.new_strata(
         publish.stratum_rows(complete), publish.highest_id(history, "au_stratum_id"), now
     )
-    strata = stages.keep(conform(strata, "au_stratum"), "strata")
+    strata = keep(conform(strata, "au_stratum"), "strata")
     sda = publish.new_sda(
         publish.sda_rows(complete, options.sda_period),
         publish.highest_id(tables["au_stratum_sda"], "stratum_sda_id"),
         now,
     )
-    sda = stages.keep(conform(sda, "au_stratum_sda"), "ratios")
+    sda = keep(conform(sda, "au_stratum_sda"), "ratios")
 
     everything = history.unionByName(strata)
     ids = publish.stratum_ids_on(everything, periods.pop_start)
     scores = publish.new_scores(publish.score_rows(lines, ids), now)
+    scores = keep(conform(scores, "au_stratum_score"), "scores")
 
     all_ratios = tables["au_stratum_sda"].unionByName(sda)
     links = linkage.link_strata(
         everything, tables["au_master"], all_ratios, tables["cd_stratum_pay_corridor"],
-        options.linked_since, keep=stages.keep,
+        options.linked_since, keep=keep,
     )
     # Only strata from `linked_since` on can change; older quarters are passed through.
-    is_recent = F.col("start_date") >= F.lit(options.linked_since)
+    is_recent = F.coalesce(F.col("start_date") >= F.lit(options.linked_since), F.lit(False))
     linked = linkage.apply_links(everything.where(is_recent), links, now)
-    linked = stages.keep(conform(linked, "au_stratum"), "linked")
+    linked = keep(conform(linked, "au_stratum"), "linked")
     final = everything.where(~is_recent).unionByName(linked)
     shadow = publish.shadow_delta(final, tables["au_stratum_shadow"])
+    shadow = keep(conform(shadow, "au_stratum_shadow"), "shadow")
+    # New strata start with the quarter, whether or not links or the reset reach that far.
+    is_changed = is_recent | (F.col("start_date") == F.lit(periods.pop_start))
     if options.reset_quarter is not None:
         final = publish.reset_payments(final, options.reset_quarter)
+        is_changed = is_changed | (F.col("start_date") == F.lit(options.reset_quarter))
+    replaced = keep(conform(final.where(is_changed), "au_stratum"), "replaced")
 
     return {
         "population": pop,
@@ -141,17 +155,18 @@ def run_quarter(
         "ratios": sda,
         "shadow": shadow,
         "au_stratum": final,
+        "replaced": replaced,
     }
 
 
-def publish_quarter(spark: SparkSession, result: Tables, root: str, since: date) -> None:
+def publish_quarter(spark: SparkSession, result: Tables, root: str) -> None:
     """Write a run's records to the history tables under `root`.
 
-    The stratum table is replaced only for the start dates a link or reset can have
-    changed, from `since` on; the new quarter is among them.
+    Appended rows are those the tables do not have yet, and replaced quarters are whole, so
+    publishing a result again, or after it was interrupted, ends in the same tables. The
+    stratum table comes last: until it is there, the quarter counts as not stratified.
     """
-    append_rows(result["scores"], root, "au_stratum_score")
-    append_rows(result["ratios"], root, "au_stratum_sda")
-    append_rows(result["shadow"], root, "au_stratum_shadow")
-    changed = result["au_stratum"].where(F.col("start_date") >= F.lit(since))
-    replace_quarters(changed, root, "au_stratum", Stages(spark))
+    append_new_rows(spark, result["scores"], root, "au_stratum_score")
+    append_new_rows(spark, result["ratios"], root, "au_stratum_sda")
+    append_new_rows(spark, result["shadow"], root, "au_stratum_shadow")
+    replace_quarters(result["replaced"], root, "au_stratum")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,25 +25,20 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named by spark.checkpoint.dir; a temporary one where unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="doseline-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
-
-
 class Stages:
     """Writes intermediate tables of one run and reads them back.
 
     A written table cuts the lineage, survives lost executors, has a known size and can
-    be pruned by column, so what several later steps read is computed once.
+    be pruned by column, so what several later steps read is computed once. The root must
+    be a folder that all executors share: the one given, or the one in spark.checkpoint.dir.
     """
 
     def __init__(self, spark: SparkSession, root: str | None = None):
+        root = root or spark.conf.get("spark.checkpoint.dir", None)
+        if not root:
+            raise ValueError("give a shared folder for intermediate tables or set spark.checkpoint.dir")
         self.spark = spark
-        self.root = f"{root or scratch_root(spark)}/run-{uuid.uuid4().hex}"
+        self.root = f"{root.rstrip('/')}/run-{uuid.uuid4().hex}"
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"

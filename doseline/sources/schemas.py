@@ -20,6 +20,9 @@ _TYPES = {
 def _schema(columns: str) -> T.StructType:
     """A schema from `name type` pairs; unlike `fromDDL` it needs no running session."""
     pairs = re.findall(r"(\w+) (\w+(?:\(\d+,\d+\))?)", columns)
+    # Columns are parted by the commas outside parentheses; none may be skipped.
+    if len(pairs) != re.sub(r"\([^)]*\)", "", columns).count(",") + 1:
+        raise ValueError(f"cannot read the columns {columns}")
     return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 

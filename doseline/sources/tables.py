@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,6 +15,13 @@ from doseline.sources.schemas import HISTORY, TABLES
 # Tables written by start date, so that a quarter can be read or replaced on its own.
 PARTITIONED = ["au_stratum", "au_stratum_sda", "au_stratum_shadow"]
 
+# What tells the appended rows apart. Scores may lack an id, and then share their run's stamp.
+KEYS = {
+    "au_stratum_score": ["au_stratum_id", "metric", "post_stamp"],
+    "au_stratum_sda": ["stratum_sda_id"],
+    "au_stratum_shadow": ["au_stratum_id"],
+}
+
 
 def trim_codes(df: DataFrame) -> DataFrame:
     """Drop the trailing blanks of fixed-width text; trailing blanks never tell codes apart."""
@@ -25,8 +34,20 @@ def conform(df: DataFrame, table: str) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType) for f in TABLES[table].fields])
 
 
+def ingest_table(df: DataFrame, root: str, table: str) -> None:
+    """Write a table as the library reads it: declared columns and types, codes trimmed.
+
+    Trimmed here once, codes can be compared as they are stored, so that filters on them
+    reach the scan.
+    """
+    writer = trim_codes(conform(df, table)).write.mode("overwrite")
+    if table in PARTITIONED:
+        writer = writer.partitionBy("start_date")
+    writer.parquet(f"{root}/{table}")
+
+
 def read_table(spark: SparkSession, root: str, table: str, fmt: str = "parquet") -> DataFrame:
-    """A table under `root` with its declared schema; a history table may not exist yet."""
+    """An ingested table under `root`; a history table may not exist yet."""
     schema = TABLES[table]
     reader = spark.read.format(fmt).schema(schema)
     try:
@@ -35,7 +56,7 @@ def read_table(spark: SparkSession, root: str, table: str, fmt: str = "parquet")
         if table in HISTORY and "PATH_NOT_FOUND" in str(missing):
             return spark.createDataFrame([], schema)
         raise
-    return trim_codes(df.select(*schema.fieldNames()))
+    return df.select(*schema.fieldNames())
 
 
 def read_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
@@ -51,13 +72,29 @@ def append_rows(df: DataFrame, root: str, table: str) -> None:
     writer.parquet(f"{root}/{table}")
 
 
-def replace_quarters(df: DataFrame, root: str, table: str, stages: Stages) -> None:
+def unwritten(df: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows of `df` whose keys `stored` does not have; null keys are equal."""
+    known = stored.select(*[F.col(k).alias(f"_{k}") for k in keys]).distinct()
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    return df.join(known, same, "left_anti")
+
+
+def append_new_rows(spark: SparkSession, df: DataFrame, root: str, table: str) -> None:
+    """Append the rows the table does not have yet, so that an append can be repeated."""
+    stored = read_table(spark, root, table)
+    append_rows(unwritten(conform(df, table), stored, KEYS[table]), root, table)
+
+
+def replace_quarters(df: DataFrame, root: str, table: str, stages: Stages | None = None) -> None:
     """Replace the start dates that occur in `df`, leaving the table's others alone.
 
-    `df` usually derives from the table itself, so it is written to scratch first; the
-    second step then reads nothing it replaces and can be repeated if it is interrupted.
+    What derives from the table itself must not be read while it is replaced: either `df`
+    has been written already, or `stages` are given to write it first. Then the step can
+    be repeated if it is interrupted.
     """
-    staged = stages.keep(conform(df, table), f"replace-{table}")
+    staged = conform(df, table)
+    if stages is not None:
+        staged = stages.keep(staged, f"replace-{table}")
     (
         staged.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

@@ -8,6 +8,7 @@ from datetime import date
 from pyspark.sql import SparkSession
 
 from doseline.plans.quarter import Options, publish_quarter, run_quarter
+from doseline.session import Stages, configure
 from doseline.sources.tables import read_tables
 
 
@@ -16,16 +17,18 @@ def main() -> None:
     parser.add_argument("--tables", required=True, help="folder holding one parquet table each")
     parser.add_argument("--calc-date", required=True, type=date.fromisoformat)
     parser.add_argument("--as-of", type=date.fromisoformat)
+    parser.add_argument("--stages", help="shared folder for intermediate tables; _stages under the tables unless given")
     parser.add_argument("--publish", action="store_true", help="write the history tables")
     args = parser.parse_args()
 
-    spark = SparkSession.builder.appName("doseline-quarter").getOrCreate()
+    spark = configure(SparkSession.builder.appName("doseline-quarter").getOrCreate())
     options = Options(as_of=args.as_of)
-    result = run_quarter(spark, read_tables(spark, args.tables), args.calc_date, options)
+    stages = Stages(spark, args.stages or f"{args.tables.rstrip('/')}/_stages")
+    tables = read_tables(spark, args.tables)
+    result = run_quarter(spark, tables, args.calc_date, options, stages.keep)
     result["levels"].orderBy("strat_level").show()
     if args.publish:
-        since = min(options.linked_since, options.reset_quarter or options.linked_since)
-        publish_quarter(spark, result, args.tables, since)
+        publish_quarter(spark, result, args.tables)
     spark.stop()
 
 

@@ -117,3 +117,13 @@ def test_apply_links_changes_only_linked_rows(world):
     assert len(out) == strata.count()
     kept = set(rows(after.where("modify_stamp IS NULL"))) <= set(rows(strata))
     assert kept and linkage.LINKED_SINCE == date(2020, 1, 1)
+
+
+def test_a_stratum_without_a_date_is_neither_first_nor_last(make):
+    strata = make(
+        "au_stratum", stratum(1, 1, None, "L"), stratum(2, 1, "2020-01-01", "M"), stratum(3, 1, "2020-04-01", "H"),
+        stratum(9, 1, None, "X"),
+    )
+    assert rows(linkage.first_stratum(strata)) == [(1, "M", "2020-04-01")]
+    assert rows(linkage.last_stratum(strata), "last_strat") == [("H",)]
+    assert rows(linkage.strata_endpoints(strata, date(2020, 1, 1)), "first_strat", "pqd_strat") == [("M", "H")]

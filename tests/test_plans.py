@@ -9,7 +9,9 @@ from checks.queries import QUERIES
 from conftest import rows
 from pyspark.sql import functions as F
 
+from doseline.functions import codes, ranges
 from doseline.operators import dosage, intervals, risk, scoring
+from doseline.sources.tables import ingest_table, read_table
 
 SMALL = "/root/testdata/sf0.001"
 LIGHT = [
@@ -84,3 +86,27 @@ def test_hot_interval_key_is_sliced(spark):
     plan = physical(intervals.merge_intervals(df, ["k"], "s", "e"))
     rowwise = [line for line in plan.splitlines() if "lag(e" in line]
     assert rowwise and all("_slice" in line for line in rowwise)
+
+
+@pytest.mark.parametrize(
+    ("table", "build", "pushed"),
+    [
+        ("au_master", lambda t, df: df.where(codes.in_scope(F.col("program"), F.col("status_code"))).where(
+            ranges.overlaps(F.col("start_date"), F.col("expire_date"), "1999-01-01", "1999-03-31")),
+         ["start_date", "expire_date", "In(program", "In(status_code"]),
+        ("mcaid_elig_timevar", lambda t, df: risk.coverage_missing_flag(df, t["mcaid_claim_header"], CALC), ["from_date", "to_date"]),
+        ("mcaid_claim_ccw", lambda t, df: risk.condition_flags(df, t["mcaid_elig_timevar"], t["mcaid_claim_header"], CALC), ["In(ccw_desc", "from_date"]),
+        ("ep_residence", lambda t, df: risk.homeless_state(df, CALC), ["start_date"]),
+        ("crisis_au_master", lambda t, df: risk.crisis_events(df, t["ip_master"], CALC), ["In(program", "In(status_code", "start_date"]),
+        ("ep_jail", lambda t, df: risk.normalize_stays(df, t["muni_jail"], "1994-01-01", "1999-01-01"), ["book_date", "release_date"]),
+    ],
+)
+def test_filters_reach_the_scan_of_an_ingested_table(spark, tmp_path, table, build, pushed):
+    t = Proxies(spark, SMALL)
+    ingest_table(t[table].limit(5), str(tmp_path), table)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    plan = build(t, read_table(spark, str(tmp_path), table))._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in plan.splitlines() if str(tmp_path) in line)
+    found = scan.split("PushedFilters:")[1].split("ReadSchema")[0]
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert all(p in found for p in pushed), found

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from doseline.operators import publish
 from doseline.session import Stages
-from doseline.sources.tables import append_rows, read_table, replace_quarters
+from doseline.sources.tables import append_new_rows, append_rows, ingest_table, read_table, replace_quarters
 
 NOW = datetime(2020, 7, 3, 12)
 
@@ -92,3 +92,32 @@ def test_history_tables_append_and_replace(spark, make, tmp_path):
 def test_a_missing_input_table_is_an_error(spark, tmp_path):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         read_table(spark, str(tmp_path), "au_master")
+
+
+def test_ids_of_sparse_numbers_are_dense(spark):
+    numbers = [-(2**63), -5, 0, 7, 2**16, 2**33 + 1, 2**47, 2**48 + 3, 2**62, 2**63 - 1]
+    data = [(n, day) for day in (date(2020, 4, 1), date(2020, 1, 1)) for n in reversed(numbers)]
+    got = publish.with_ids(spark.createDataFrame(data, "auth_no long, start_date date"), "id", 100)
+    want = [(101 + i, n, d.isoformat()) for i, (d, n) in enumerate(sorted((d, n) for n, d in data))]
+    assert rows(got) == want
+
+
+def test_appending_again_adds_nothing(spark, make, tmp_path):
+    root = str(tmp_path)
+    scores = make(
+        "au_stratum_score",
+        {"au_stratum_id": 1, "metric": "LOCUS", "post_stamp": "2020-07-01 00:00:00"},
+        {"au_stratum_id": None, "metric": "LOCUS", "post_stamp": "2020-07-01 00:00:00"},
+        {"au_stratum_id": None, "metric": "LOCUS", "post_stamp": "2020-07-01 00:00:00"},
+    )
+    for _ in range(2):
+        append_new_rows(spark, scores, root, "au_stratum_score")
+    assert rows(read_table(spark, root, "au_stratum_score")) == rows(scores)
+    later = scores.withColumn("post_stamp", F.expr("post_stamp + INTERVAL 1 DAY"))
+    append_new_rows(spark, later, root, "au_stratum_score")
+    assert read_table(spark, root, "au_stratum_score").count() == 6
+
+
+def test_codes_are_trimmed_on_ingest(spark, make, tmp_path):
+    ingest_table(make("ma_cond_ass", (1, "152  "), (2, "153")), str(tmp_path), "ma_cond_ass")
+    assert rows(read_table(spark, str(tmp_path), "ma_cond_ass")) == [(1, "152"), (2, "153")]

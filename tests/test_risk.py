@@ -120,6 +120,12 @@ def test_crisis_counts(crisis):
     assert rows(risk.crisis_counts(*crisis, CALC)) == [(1, 1, 1, 0), (2, 2, 0, 1), (9, 0, 1, 0)]
 
 
+def test_no_type_and_an_empty_type_are_two_types(make):
+    auth = make("crisis_au_master", (1, 1, "2020-01-01", None, "SRS", "AA"), (1, 2, "2020-01-01", None, "IP", "AA"))
+    ip = make("ip_master", (1, None), (1, ""), (1, "V"), (1, None), (2, None))
+    assert rows(risk.crisis_counts(auth, ip, CALC)) == [(1, 3, 0, 0)]
+
+
 def test_high_utilization_of_either_source(pop, crisis, make):
     hospital = make(
         "cmt_hospital_report", (1, "Emergency", "2019-06-15"), (1, "Emergency", "2019-06-14"),
