@@ -259,22 +259,22 @@ def missing_flag(t: Proxies) -> DataFrame:
 
 @check("adult_assessment", f"SELECT {POP_COLUMNS}, LOCUS, LOCUS_missing_data FROM inputs")
 def adult_assessment(t: Proxies) -> DataFrame:
-    return risk.adult_assessment(_pop(t), t["ep_locus"], CALC)
+    return risk.adult_assessment(t.once("pop", lambda: _pop(t)), t["ep_locus"], CALC)
 
 
 @check("child_assessment", f"SELECT {POP_COLUMNS}, CALOC, CALOC_missing_data FROM inputs")
 def child_assessment(t: Proxies) -> DataFrame:
-    return risk.child_assessment(_pop(t), t["ep_calocus"], t["ep_locus"], CALC)
+    return risk.child_assessment(t.once("pop", lambda: _pop(t)), t["ep_calocus"], t["ep_locus"], CALC)
 
 
 @check("foster_flag", f"SELECT {POP_COLUMNS}, FOSTR, 'N' AS FOSTR_missing_data FROM inputs")
 def foster_flag(t: Proxies) -> DataFrame:
-    return risk.foster_history(_pop(t), t["ep_residence"], t["ep_coverage_mco"], CALC)
+    return risk.foster_history(t.once("pop", lambda: _pop(t)), t["ep_residence"], t["ep_coverage_mco"], CALC)
 
 
 @check("latest_state_flag", f"SELECT {POP_COLUMNS}, HMLES, 'N' AS HMLES_missing_data FROM inputs")
 def latest_state_flag(t: Proxies) -> DataFrame:
-    return risk.homeless_now(_pop(t), t["ep_residence"], CALC)
+    return risk.homeless_now(t.once("pop", lambda: _pop(t)), t["ep_residence"], CALC)
 
 
 @check("condition_pivot", "SELECT * FROM condition_pivot")
@@ -294,7 +294,7 @@ def coverage_flag(t: Proxies) -> DataFrame:
     f"SELECT {POP_COLUMNS}, caa_asthma, caa_diabetes, caa_copd, caa_cvd FROM assessed_pop",
 )
 def assessed_conditions(t: Proxies) -> DataFrame:
-    return risk.assessed_conditions(_pop(t), t["ma_cond_ass"])
+    return risk.assessed_conditions(t.once("pop", lambda: _pop(t)), t["ma_cond_ass"])
 
 
 @check(
@@ -303,7 +303,7 @@ def assessed_conditions(t: Proxies) -> DataFrame:
 )
 def chronic_conditions(t: Proxies) -> DataFrame:
     return risk.chronic_conditions(
-        _pop(t), t["ma_cond_ass"], t["mcaid_claim_ccw"], t["mcaid_elig_timevar"],
+        t.once("pop", lambda: _pop(t)), t["ma_cond_ass"], t["mcaid_claim_ccw"], t["mcaid_elig_timevar"],
         t["mcaid_claim_header"], CALC,
     )
 
@@ -324,7 +324,7 @@ def hospital_counts(t: Proxies) -> DataFrame:
 )
 def high_utilization(t: Proxies) -> DataFrame:
     return risk.high_utilization(
-        _pop(t), t["crisis_au_master"], t["ip_master"], t["cmt_hospital_report"], CALC
+        t.once("pop", lambda: _pop(t)), t["crisis_au_master"], t["ip_master"], t["cmt_hospital_report"], CALC
     )
 
 
@@ -370,7 +370,7 @@ def stay_features(t: Proxies) -> DataFrame:
     FROM inputs""",
 )
 def justice_events(t: Proxies) -> DataFrame:
-    return risk.justice_events(_pop(t), t["ep_jail"], t["muni_jail"], _cutoff(t))
+    return risk.justice_events(t.once("pop", lambda: _pop(t)), t["ep_jail"], t["muni_jail"], _cutoff(t))
 
 
 @check(
@@ -379,7 +379,7 @@ def justice_events(t: Proxies) -> DataFrame:
     FROM pop LEFT JOIN asam_latest USING (kcid, agency_id)""",
 )
 def asam_level(t: Proxies) -> DataFrame:
-    return risk.asam_level(_pop(t), t["ep_asam_placement"], CALC)
+    return risk.asam_level(t.once("pop", lambda: _pop(t)), t["ep_asam_placement"], CALC)
 
 
 @check(
@@ -390,7 +390,7 @@ def asam_level(t: Proxies) -> DataFrame:
     'N' AS IDU_missing_data FROM pop""",
 )
 def recent_event_flag(t: Proxies) -> DataFrame:
-    return risk.injection_use(_pop(t), t["ep_substance_use"], CALC)
+    return risk.injection_use(t.once("pop", lambda: _pop(t)), t["ep_substance_use"], CALC)
 
 
 @check(

@@ -29,6 +29,7 @@ from doseline.functions.ranges import (
     overlaps,
 )
 from doseline.operators.intervals import prior_episode, range_sum
+from doseline.operators.lookups import limited
 
 MEMBER_KEYS = ["kcid", "auth_no", "program", "age_group"]
 EPISODE_KEYS = ["kcid", "agency_id", "tx_focus"]
@@ -337,11 +338,15 @@ def dose_totals(
     The daily hours, and the totals with their continuation, are each read twice; `keep`
     may materialize them, so that the service table is scanned once.
     """
-    daily = keep(service_hours(services, s, e), "daily_hours")
+    # Only members' hours are asked for, and those of authorizations they may continue,
+    # which are the same persons'.
+    theirs = limited(auth, members, "kcid")
+    asked = theirs.select("auth_no").unionByName(members.select("auth_no"))
+    daily = keep(service_hours(services, s, e, asked), "daily_hours")
     current = with_expected(
         clip_strata(active_strata(members, strata, tiers, auth, s, e, tier_as_of), s, e)
     )
-    linked = keep(continued_from(auth_totals(current, daily), auth, s), "dose_current")
+    linked = keep(continued_from(auth_totals(current, daily), theirs, s), "dose_current")
     prior = with_expected(
         clip_strata(prior_strata(linked, strata, tiers, s, e, tier_as_of), s, e, "prev_")
     )

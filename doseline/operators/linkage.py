@@ -11,7 +11,7 @@ from doseline.functions.codes import LINKED_PROGRAMS, MH_PROGRAMS, SUD_PROGRAMS,
 from doseline.functions.dates import as_date
 from doseline.operators.dosage import EPISODE_KEYS, Keep, held_episodes, pass_on
 from doseline.operators.intervals import prior_episode
-from doseline.operators.lookups import latest_by, lookup
+from doseline.operators.lookups import latest_by, limited, lookup
 
 # --- Fixed values: rules, thresholds and the one special start date ----------------------
 TIER_CHANGE, NORMAL, PRIOR_BENEFIT, NEW_CLIENT, UNLINKED = "FPC", "NOR", "PQD", "FPN", "SHA"
@@ -132,7 +132,7 @@ def strata_endpoints(strata: DataFrame, since: date = LINKED_SINCE) -> DataFrame
 
 def link_prior(candidates: DataFrame, auth: DataFrame, max_gap: int = MAX_GAP) -> DataFrame:
     """Attach the authorization that ended up to `max_gap` days before, same focus."""
-    tiered = auth.where(F.col("program").isin(MH_PROGRAMS + SUD_PROGRAMS))
+    tiered = limited(auth.where(F.col("program").isin(MH_PROGRAMS + SUD_PROGRAMS)), candidates, "kcid")
     linked = prior_episode(
         candidates.withColumn("auth_start", F.col("start_date")),
         held_episodes(tiered, unfunded=False),

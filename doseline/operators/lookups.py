@@ -42,6 +42,15 @@ def lookup(df: DataFrame, right: DataFrame, on: str, key: str, spread_by: str) -
     return joined.select(*df.columns, *found)
 
 
+def limited(df: DataFrame, to: DataFrame, key: str) -> DataFrame:
+    """The rows of a table reduced by `key` whose key occurs in `to`.
+
+    Where the keys are few enough to be broadcast, Spark moves this below the reduction, to
+    the scan; otherwise it runs on the partitioning the reduction has made.
+    """
+    return df.join(to.select(key).where(F.col(key).isNotNull()).distinct(), key, "left_semi")
+
+
 def attach(df: DataFrame, right: DataFrame, on: Sequence[str], fill: dict | None = None) -> DataFrame:
     """Left join on equal names, then fill the named new columns where nothing matched."""
     joined = df.join(right, list(on), "left")

@@ -34,6 +34,7 @@ from doseline.operators.lookups import (
     latest_by,
     latest_state,
     latest_with_fallback,
+    limited,
     lookup,
     presence_flag,
 )
@@ -94,7 +95,7 @@ def assessments(pop: DataFrame, adult: DataFrame, child: DataFrame, calc: Day) -
     The same as one after the other, but both agency scores are joined before the score
     from anywhere, so the population is shuffled twice and not four times.
     """
-    adults, children = latest_scores(adult, calc), latest_scores(child, calc)
+    adults, children = (limited(latest_scores(t, calc), pop, "kcid") for t in (adult, child))
     keys = ["kcid", "agency_id"]
     anywhere = latest_by(adults, ["kcid"], [F.desc("event_date"), F.asc("agency_id")])
     scored = (
@@ -132,7 +133,8 @@ def homeless_state(residence: DataFrame, calc: Day) -> DataFrame:
 
 def homeless_now(pop: DataFrame, residence: DataFrame, calc: Day) -> DataFrame:
     """HMLES: homeless at the latest known residence."""
-    flagged = attach(pop, homeless_state(residence, calc), ["kcid"], {"HMLES": 0})
+    state = limited(homeless_state(residence, calc), pop, "kcid")
+    flagged = attach(pop, state, ["kcid"], {"HMLES": 0})
     return flagged.withColumns(_flag_no("HMLES"))
 
 
@@ -205,7 +207,7 @@ def assessed_flags(assessed: DataFrame) -> DataFrame:
 def assessed_conditions(pop: DataFrame, assessed: DataFrame) -> DataFrame:
     """Attach the care-assessment flags, 0 where none was made."""
     columns = {f"caa_{name}": 0 for name in ASSESSED_CODES.values()}
-    return attach(pop, assessed_flags(assessed), ["auth_no"], columns)
+    return attach(pop, limited(assessed_flags(assessed), pop, "auth_no"), ["auth_no"], columns)
 
 
 def chronic_conditions(
@@ -221,7 +223,7 @@ def chronic_conditions(
     Assessed flags follow the authorization, so they hold without a Medicaid id; claim
     flags follow the id, and without one the flag stays Y.
     """
-    claimed = condition_flags(conditions, eligibility, claims, calc)
+    claimed = limited(condition_flags(conditions, eligibility, claims, calc), pop, "p1_id")
     both = lookup(assessed_conditions(pop, assessed), claimed, "p1_id", "p1_id", "auth_no")
     either = {
         c: F.greatest(F.col(f"caa_{c}"), F.coalesce(F.col(f"ccw_{c}"), F.lit(0))) for c in CONDITIONS
@@ -262,6 +264,7 @@ def crisis_events(auth: DataFrame, ip: DataFrame, calc: Day) -> DataFrame:
         .groupBy("auth_no")
         .agg(F.count(F.lit(1)).alias("_types"), F.max(involuntary.cast("int")).alias("_ita"))
     )
+    types = limited(types, recent, "auth_no")
     matched = attach(recent, types, ["auth_no"], {"_types": 1, "_ita": 0})
     counts = {
         name: F.when(program == code, F.col("_types")).otherwise(0)
@@ -332,7 +335,7 @@ def high_utilization(
     `literal` counts a person's crisis stays once per authorization in the population.
     """
     weights = pop.groupBy("kcid").agg(F.count(F.lit(1)).alias("_weight")) if literal else None
-    counts = utilization(auth, ip, hospital, calc, weights)
+    counts = limited(utilization(auth, ip, hospital, calc, weights), pop, "kcid")
     fill = dict.fromkeys([*UTILIZATION, "HUTIL"], 0)
     return attach(pop, counts, ["kcid"], fill).withColumns(_flag_no("HUTIL"))
 
@@ -373,7 +376,7 @@ def justice_events(
     pop: DataFrame, jail: DataFrame, municipal: DataFrame, cutoff: Day, mode: str = "lag"
 ) -> DataFrame:
     """Attach NUMCJ and LNGCJ over the five years before the data-currency cutoff."""
-    stays = normalize_stays(jail, municipal, _months(cutoff, -60), cutoff)
+    stays = limited(normalize_stays(jail, municipal, _months(cutoff, -60), cutoff), pop, "kcid")
     merged = merge_intervals(stays, ["kcid"], "book_date", "release_date", mode)
     features = attach(pop, stay_features(merged, cutoff), ["kcid"], {"NUMCJ": 0, "LNGCJ": 0})
     return features.withColumns(_flag_no("NUMCJ", "LNGCJ"))
@@ -394,7 +397,7 @@ def asam_level(pop: DataFrame, asam: DataFrame, calc: Day) -> DataFrame:
     latest = latest_by(due, ["kcid", "agency_id"], [F.desc("event_date"), F.desc("record_id")])
     text = F.replace(F.col("level_indicated"), F.lit("-WM"), F.lit(""))
     level = F.trim(F.replace(text, F.lit("OTP"), F.lit("5"))).cast("decimal(4,1)")
-    levels = latest.select("kcid", "agency_id", level.alias("ASAM"))
+    levels = limited(latest.select("kcid", "agency_id", level.alias("ASAM")), pop, "kcid")
     return attach(pop, levels, ["kcid", "agency_id"], {"ASAM": 0}).withColumns(_flag_no("ASAM"))
 
 
