@@ -26,8 +26,8 @@ def exact_groups(
 
     Rows are equal when their normal texts are; the smallest id of a group stays. A group is
     keyed by the 128-bit `content_hash` and, in case two texts share that, the SHA-256 the
-    result carries anyway. The smallest and largest text of a group are compared as bytes;
-    if they ever differed, the job would fail rather than merge them.
+    result carries anyway. Within it rows are grouped by the bytes of their texts; if a
+    group ever had two texts, the job would fail rather than merge them.
 
     Each task sends one row per group it has seen, so a group of any size is never gathered;
     the members, without text, then look up their group, which has one row.
@@ -41,18 +41,16 @@ def exact_groups(
         "_id", "_text", content_hash(F.col("_text")).alias("_hash"),
         F.sha2("_text", 256).alias("_sha"),
     )
-    groups = rows.groupBy("_hash", "_sha").agg(
-        F.min("_id").alias("_keep"),
-        F.count(F.lit(1)).alias("_size"),
-        F.min("_text").alias("_least"),
-        F.max("_text").alias("_most"),
+    # Grouped by the text as well, rows meet only where their bytes are equal.
+    texts = rows.groupBy("_hash", "_sha", "_text").agg(
+        F.min("_id").alias("_keep"), F.count(F.lit(1)).alias("_size")
     )
-    groups = groups.select(
-        "_hash", "_sha", "_size", "_keep",
-        F.when(F.col("_least") == F.col("_most"), F.lit(True))
-        .otherwise(F.raise_error(F.lit("two texts share both content hashes")).cast("boolean"))
-        .alias("_same"),
-    ).where("_same")
+    groups = texts.groupBy("_hash", "_sha").agg(
+        F.min("_keep").alias("_keep"), F.sum("_size").alias("_size"), F.count(F.lit(1)).alias("_texts")
+    )
+    # On the id that stays, which every use of the groups reads.
+    collision = F.raise_error(F.lit("two texts share both content hashes")).cast(docs.schema[id_col].dataType)
+    groups = groups.withColumn("_keep", F.when(F.col("_texts") == 1, F.col("_keep")).otherwise(collision))
     return (
         rows.select("_id", "_hash", "_sha")
         .join(groups, ["_hash", "_sha"])
@@ -68,10 +66,12 @@ def exact_groups(
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `docs` that stay, with all their columns; of repeated rows one stays."""
+
+    def key(sha: Column) -> Column:
+        """Id and text in one, so that the rows found are already dealt by what repeats."""
+        return F.concat_ws(":", sha, F.col(id_col).cast("string"))
+
     stays = exact_groups(docs, id_col, text_col).where("kept")
-    stays = stays.select(F.col(id_col).alias("_id"), F.col("text_sha256").alias("_sha")).distinct()
-    rows = docs.withColumns(
-        {"_id": F.col(id_col), "_sha": F.sha2(normal_text(F.col(text_col)), 256)}
-    )
-    same = rows["_id"].eqNullSafe(stays["_id"]) & (rows["_sha"] == stays["_sha"])
-    return rows.join(stays, same, "left_semi").dropDuplicates(["_id", "_sha"]).drop("_id", "_sha")
+    stays = stays.select(key(F.col("text_sha256")).alias("_stays"))
+    rows = docs.withColumn("_row", key(F.sha2(normal_text(F.col(text_col)), 256)))
+    return rows.join(stays, F.col("_row") == F.col("_stays"), "left_semi").dropDuplicates(["_row"]).drop("_row")

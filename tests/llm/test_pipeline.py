@@ -8,6 +8,7 @@ import re
 from collections import Counter
 
 import public_tokenizers
+import pytest
 from test_decontamination import plain as overlaps
 from test_simhash import plain_components, plain_fingerprint
 
@@ -107,6 +108,13 @@ def test_exact_groups_of_odd_rows(spark):
     assert Counter((r.doc_id, r.keep_id, r.group_size, r.kept) for r in same.collect()) == got
 
 
+def test_texts_that_share_every_hash_are_never_merged(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup.F, "sha2", lambda text, bits: exact_dedup.F.lit("s"))
+    docs = spark.createDataFrame([(1, "a"), (2, "b")], "doc_id int, text string")
+    with pytest.raises(Exception, match="share both content hashes"):
+        exact_dedup.exact_groups(docs, content_hash=lambda text: exact_dedup.F.lit("h")).where("kept").collect()
+
+
 def test_mixture_of_odd_rows(spark):
     got = mixture.mix_counts(odd(spark)).collect()
     copies, target, total = sizes_and_copies([r[:3] for r in ROWS if r[0] is not None] + [("null", "s", "a b c"), ("null", "t", "only")])
