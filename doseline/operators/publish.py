@@ -10,13 +10,10 @@ from pyspark.sql import functions as F
 from doseline.functions.dates import as_date
 from doseline.operators.linkage import MULTIPLIER, UNLINKED
 
-# --- Fixed values: defaults of a new record -------------------------------------------
+# --- Fixed values: defaults and columns of the records --------------------------------
 NO_OVERRIDES = "NNN"
 NOT_OVERRIDDEN = "N"
 UNSCORED_METRIC = "CHRON"
-# --------------------------------------------------------------------------------------
-
-ID_BITS = 16  # of the authorization number, to a block or region
 
 STRATUM_RECORD = [
     "auth_no", "calc_date", "start_date", "end_date", "total_score", "strat_level",
@@ -40,6 +37,9 @@ SDA_COLUMNS = [
     "stratum_sda_id", "auth_no", "start_date", "end_date", "sda", "enroll_days",
     "hrs_expected", "svc_hrs", "svc_hrs_prorated", "post_stamp", "modify_stamp", "prev_auth_no",
 ]
+# --------------------------------------------------------------------------------------
+
+ID_BITS = 16  # of the authorization number, to a block or region
 
 
 def _quarter_dates(df: DataFrame) -> DataFrame:
