@@ -7,6 +7,7 @@ that they fall into the quarter of the checks.
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,10 +50,12 @@ class Proxies:
         return self._built[name]
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
-        """Written to the shared folder of the cluster, or held by Spark where it names none."""
-        if not self.spark.conf.get("spark.checkpoint.dir", None):
-            return df.persist()
-        self._stages = self._stages or Stages(self.spark)
+        """Written to the shared folder of the cluster; a temporary one in local mode only."""
+        if self._stages is None:
+            named = self.spark.conf.get("spark.checkpoint.dir", None)
+            if not named and self.spark.sparkContext.master.startswith("local["):
+                named = tempfile.mkdtemp(prefix="doseline-checks-")
+            self._stages = Stages(self.spark, named)
         return self._stages.keep(df, name)
 
     def once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
