@@ -3,10 +3,13 @@
 The reference is the corpus itself, and a document may copy from those with smaller ids. A
 copied factor counts once it has `window` words, so the reference is indexed by its windows:
 block b holds the windows that hash to b, from every document. Each document asks every block
-for its windows; a position is matched where a smaller document has the window. The greedy
-parse then takes the longest factor at each position: it begins at a matched window and goes
-on while the following windows are matched. Windows that lie across the end of one source's
-copy and the start of another's are windows like others, so nothing is lost at boundaries.
+for its windows and learns which smaller document seems to have them, judged by their hashes.
+
+Following windows with one source make a factor, whose words are looked up in the words of
+that source. A factor that is not there is checked window by window, and each window its
+source lacks is compared, word by word, with all documents. Windows that lie across the end
+of one source's copy and the start of another's are windows like others, so nothing is lost
+at boundaries. Runs of matched windows, whatever their sources, are removed.
 """
 
 from __future__ import annotations
@@ -19,12 +22,13 @@ from itertools import compress
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from doseline.llm.common import struct, text_blocks
+from doseline.llm.common import keep, struct, text_blocks
 
 WINDOW = 13
 CHUNK_BYTES = 3 << 20
@@ -32,8 +36,8 @@ ANSWERS_AT_ONCE = 500_000
 HASHED_BYTES = 2 << 20
 KEY_BYTES = 7
 KEY_MASK = np.uint64((1 << 8 * KEY_BYTES) - 1)
-EVERYTHING = -1  # in place of a key: every window of the document is matched
 NO_ID = np.iinfo(np.int64).max
+BROADCAST_OWNERS = 1_000_000  # ids of 8 bytes; with more, all texts are dealt to be compared
 
 # Odd multipliers of the rolling hashes and of the final mixing.
 BYTE_FACTOR, KEY_FACTOR, BLOCK_FACTOR, MIX_A, MIX_B = map(
@@ -119,18 +123,23 @@ def wide(keys: bytes) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
-ANSWER = struct(id=T.LongType(), key=T.LongType())
+def whole_key(text: bytes) -> int:
+    """In place of a key: every window of the document's row with this text is matched."""
+    return -1 - (xxhash.xxh64_intdigest(text) >> 1)
+
+
+ANSWER = struct(id=T.LongType(), key=T.LongType(), owner=T.LongType())
 ASKED = T.StructType(
     struct(block=T.LongType(), ids=T.BinaryType(), counts=T.BinaryType(), keys=T.BinaryType()).fields + ANSWER.fields
 )
 
 
 def first_copies(ids: np.ndarray, texts: list[bytes]) -> np.ndarray:
-    """Which documents have the smallest id of those with their text."""
+    """The smallest id of the documents with each one's text."""
     least: dict[bytes, int] = {}
     for i, t in zip(ids.tolist(), texts, strict=True):
         least[t] = min(i, least.get(t, i))
-    return np.array([least[t] == i for i, t in zip(ids.tolist(), texts, strict=True)], bool)
+    return np.array([least[t] for t in texts], np.int64)
 
 
 def sorted_windows(ids: np.ndarray, texts: list[bytes], window: int, blocks: int) -> list[np.ndarray]:
@@ -168,7 +177,7 @@ def asked_rows(block: np.ndarray, key: np.ndarray, doc: np.ndarray, schema: pa.S
         pa.array([narrow(key[a:b]) for a, b in zip(bounds, bounds[1:])], pa.binary()),
     ]
     none = pa.nulls(len(cuts), pa.int64())
-    return pa.RecordBatch.from_arrays([*columns, none, none], schema=schema)
+    return pa.RecordBatch.from_arrays([*columns, none, none, none], schema=schema)
 
 
 def ask(ids: list[int], texts: list[bytes], window: int, blocks: int) -> Iterator[pa.RecordBatch]:
@@ -179,19 +188,21 @@ def ask(ids: list[int], texts: list[bytes], window: int, blocks: int) -> Iterato
     travel under a negative block number.
     """
     schema, own = to_arrow_schema(ASKED), np.array(ids, np.int64)
-    first = first_copies(own, texts)
+    source = first_copies(own, texts)
+    first = source == own
     block, key, doc = sorted_windows(own[first], [t for t, f in zip(texts, first, strict=True) if f], window, blocks)
     least = starts_of_runs(block, key)
     yield asked_rows(block[least], key[least], doc[least], schema)
 
     repeated = ~least & starts_of_runs(block, key, doc)
-    if len(doc):
-        repeated &= doc != doc[least][least.cumsum() - 1]
+    owner = doc[least][least.cumsum() - 1] if len(doc) else doc
+    repeated &= doc != owner
+    whole = np.array([whole_key(t) for t, f in zip(texts, first, strict=True) if not f], np.int64)
     known = np.r_[doc[repeated], own[~first]]
-    keys = np.r_[key[repeated].astype(np.int64), np.full(int((~first).sum()), EVERYTHING)]
+    answers = [known, np.r_[key[repeated].astype(np.int64), whole], np.r_[owner[repeated], source[~first]]]
     empty = pa.nulls(len(known), pa.binary())
     yield pa.RecordBatch.from_arrays(
-        [pa.array(-1 - known % blocks), empty, empty, empty, pa.array(known), pa.array(keys)], schema=schema
+        [pa.array(-1 - known % blocks), empty, empty, empty, *map(pa.array, answers)], schema=schema
     )
 
 
@@ -226,7 +237,8 @@ def matches(asked: list[dict]) -> Iterator[pa.RecordBatch]:
     later = later[np.argsort(doc[later], kind="stable")]
     for at in range(0, len(later), ANSWERS_AT_ONCE):
         some = later[at : at + ANSWERS_AT_ONCE]
-        yield pa.RecordBatch.from_arrays([pa.array(doc[some]), pa.array(key[some].astype(np.int64))], schema=schema)
+        answers = [doc[some], key[some].astype(np.int64), least[some]]
+        yield pa.RecordBatch.from_arrays(list(map(pa.array, answers)), schema=schema)
 
 
 def match_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -258,14 +270,83 @@ def covered(words: int, at: int, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return depth[:-1].cumsum() > 0
 
 
-def cut(data: bytes, keys: np.ndarray, window: int, with_text: bool) -> tuple:
-    """n_words, n_removed, hash of the kept words, spans (start, length), kept text."""
+def matched_windows(data: bytes, keys: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Key of each window, and whether it is among the answers."""
+    found = window_keys(hash_texts([data])[0], window).astype(np.int64)
+    return found, np.isin(found, keys) | (keys == whole_key(data)).any()
+
+
+def factors(data: bytes, keys: np.ndarray, owners: np.ndarray, window: int) -> Iterator[tuple[int, bytes]]:
+    """Source and words of each run of matched windows with one source."""
+    if not len(keys):
+        return
+    found, matched = matched_windows(data, keys, window)
+    order = np.lexsort((owners, keys))
+    keys, owners = keys[order], owners[order]
+    source = owners[np.searchsorted(keys, found).clip(max=len(keys) - 1)]
+    # What no key answers is matched with the whole text, if at all.
+    source = np.where(np.isin(found, keys), source, owners[np.searchsorted(keys, whole_key(data)).clip(max=len(keys) - 1)])
+    words, at = data.split(), np.flatnonzero(starts_of_runs(matched, source))
+    for start, end in zip(at.tolist(), [*at[1:].tolist(), len(found)]):
+        if matched[start]:
+            yield int(source[start]), b" ".join(words[start : end + window - 1])
+
+
+def check_batches(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
+    """Texts and then factors of each source, to the windows that the source does not have."""
+    own, held = None, []
+    for batch in batches:
+        missing = []
+        for number, text, words in zip(*(c for c in batch.columns), strict=True):
+            if number != own:
+                own, held = number, []
+            if text.is_valid:
+                held.append(b" %b " % b" ".join(text.as_py().split()))
+                continue
+            words = words.as_py()
+            if any(b" %b " % words in t for t in held):
+                continue
+            split = words.split()
+            for k in range(len(split) - window + 1):
+                some = b" ".join(split[k : k + window])
+                if not any(b" %b " % some in t for t in held):
+                    missing.append(some)
+        yield pa.RecordBatch.from_arrays([pa.array(missing, pa.binary())], names=["words"])
+
+
+def keys_of(windows: list[bytes], window: int) -> np.ndarray:
+    return window_keys(hash_texts(windows)[0], window)[::window].astype(np.int64)
+
+
+def holder_batches(batches: Iterator[pa.RecordBatch], windows: list[bytes], window: int) -> Iterator[pa.RecordBatch]:
+    """Documents (id, text) to those of the given windows that they have."""
+    wanted, keys = set(windows), keys_of(windows, window)
+    for batch in batches:
+        ids, found = [], []
+        for own, text in zip(batch.column(0), batch.column(1), strict=True):
+            data = text.as_py() or b""
+            near = np.flatnonzero(np.isin(window_keys(hash_texts([data])[0], window).astype(np.int64), keys))
+            words = data.split() if len(near) else []
+            some = {b" ".join(words[k : k + window]) for k in near.tolist()} & wanted
+            ids += [NO_ID if own.as_py() is None else own.as_py()] * len(some)
+            found += some
+        yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), pa.array(ids, pa.int64())], names=["words", "id"])
+
+
+def cut(
+    data: bytes, keys: np.ndarray, window: int, with_text: bool, own: int = NO_ID, least: dict[bytes, int] | None = None
+) -> tuple:
+    """n_words, n_removed, hash of the kept words, spans (start, length), kept text. `least`
+    has the smallest id with each window whose key cannot be trusted."""
     starts = ends = np.zeros(0, np.int64)
     if len(keys):
-        hashes, _ = hash_texts([data])
-        every = (keys == EVERYTHING).any()
-        found = window_keys(hashes, window).astype(np.int64)
-        starts, ends = spans(np.isin(found, keys) | every, window)
+        found, matched = matched_windows(data, keys, window)
+        if least:
+            doubted = np.flatnonzero(matched & np.isin(found, keys_of(list(least), window)))
+            words = data.split() if len(doubted) else []
+            for k in doubted.tolist():
+                matched[k] = least.get(b" ".join(words[k : k + window]), -1 - NO_ID) < own
+        starts, ends = spans(matched, window)
     digest, at, removed, kept = hashlib.sha256(), 0, 0, []
     for block in text_blocks(data):
         words = block.split()
@@ -287,18 +368,44 @@ def cut(data: bytes, keys: np.ndarray, window: int, with_text: bool) -> tuple:
 
 
 def cut_batches(
-    batches: Iterator[pa.RecordBatch], window: int, schema: pa.Schema, with_text: bool
+    batches: Iterator[pa.RecordBatch], window: int, schema: pa.Schema, with_text: bool, least: dict[bytes, int] | None
 ) -> Iterator[pa.RecordBatch]:
+    """Results and, unless windows have been compared before, the factors they rest on."""
     none = np.zeros(0, np.int64)
     for batch in batches:
-        own, texts, keys = batch.columns
-        rows = [
-            cut(t.as_py() or b"", k.values.to_numpy() if k.is_valid else none, window, with_text)
-            for t, k in zip(texts, keys, strict=True)
-        ]
+        rows, checks = [], []
+        for own, text, answers in zip(*batch.columns, strict=True):
+            data, own = text.as_py() or b"", own.as_py()
+            keys, owners = (c.to_numpy() for c in answers.values.flatten()) if answers.is_valid else (none, none)
+            rows.append(cut(data, keys, window, with_text, NO_ID if own is None else int(own), least))
+            if least is None:
+                checks += factors(data, keys, owners, window)
         columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
         arrays = [pa.array(c, f.type) for c, f in zip(columns, list(schema)[1:], strict=False)]
-        yield pa.RecordBatch.from_arrays([own, *arrays], schema=schema)
+        blank = [pa.nulls(len(rows), f.type) for f in list(schema)[-2:]]
+        yield pa.RecordBatch.from_arrays([batch.column(0), *arrays, *blank], schema=schema)
+        blank = [pa.nulls(len(checks), f.type) for f in list(schema)[:-2]]
+        asked = [pa.array([o for o, _ in checks], pa.int64()), pa.array([w for _, w in checks], pa.binary())]
+        yield pa.RecordBatch.from_arrays([*blank, *asked], schema=schema)
+
+
+def unfounded(rows: DataFrame, checks: DataFrame, window: int) -> list[bytes]:
+    """Windows of the factors (`id` of the source, `words`) that their source does not have.
+
+    Equal factors are compared once. Only the texts of sources travel if those are at most
+    BROADCAST_OWNERS, which is counted first.
+    """
+    checks = checks.distinct()
+    owners = checks.select("id").distinct()
+    texts = rows.where("id IS NOT NULL")
+    if owners.limit(BROADCAST_OWNERS + 1).count() <= BROADCAST_OWNERS:
+        texts = texts.join(F.broadcast(owners), "id", "left_semi")
+    dealt = texts.select("id", "_text", F.lit(None).cast("binary").alias("words")).unionByName(
+        checks.select("id", F.lit(None).cast("binary").alias("_text"), "words")
+    )
+    dealt = dealt.repartition("id").sortWithinPartitions("id", F.col("words").asc_nulls_first())
+    missing = dealt.mapInArrow(partial(check_batches, window=window), "words binary").distinct()
+    return [bytes(r.words) for r in missing.collect()]
 
 
 def drop_repeats(
@@ -315,10 +422,13 @@ def drop_repeats(
     smaller id; this is judged on the texts as given. `spans` are the factors (start,
     length) in words, `kept_text` the other words joined by blanks (null unless `with_text`).
 
-    Windows are compared by hashes of 56 bits within one of `blocks` blocks (as many as
+    Windows are looked up by hashes of 56 bits within one of `blocks` blocks (as many as
     shuffle partitions unless given); a block is solved at a time, so `blocks` should grow
     with the corpus. What is frequent within a chunk is settled before the shuffle. Texts
-    are shuffled once, to meet the answers.
+    are shuffled once, to meet the answers; then each factor's words are compared with the
+    text of its source. Windows not found there, which is where hashes have confused two,
+    go to the driver; if there are any, all documents are searched for them, word by word,
+    and the result is made again with what they are.
 
     Ids are whole numbers. Null and empty texts have no words. A null id counts as larger
     than any other, and rows that share an id, repeated ones too, do not match each other.
@@ -327,20 +437,28 @@ def drop_repeats(
     spark = docs.sparkSession
     blocks = blocks or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(id_col), F.col(text_col).cast("binary").alias("_text"))
-    asked = rows.select(F.col(id_col).cast("long"), "_text").mapInArrow(
-        partial(ask_batches, window=window, blocks=blocks), ASKED
-    )
+    texts = rows.select(F.col(id_col).cast("long").alias("id"), "_text")
+    asked = texts.mapInArrow(partial(ask_batches, window=window, blocks=blocks), ASKED)
     dealt = asked.repartition("block").sortWithinPartitions("block")
     answers = dealt.mapInArrow(match_batches, ANSWER).select(
-        F.when(F.col("id") != NO_ID, F.col("id")).alias("_id"), "key"
+        F.when(F.col("id") != NO_ID, F.col("id")).alias("_id"), F.struct("key", "owner").alias("_answer")
     )
-    answers = answers.groupBy("_id").agg(F.collect_list("key").alias("_keys"))
+    answers = answers.groupBy("_id").agg(F.collect_list("_answer").alias("_answers"))
     joined = rows.join(answers, rows[id_col].cast("long").eqNullSafe(answers["_id"]), "left")
     factor = struct(start=T.LongType(), length=T.LongType())
     schema = struct(
         **{id_col: docs.schema[id_col].dataType},
         n_words=T.LongType(), n_removed=T.LongType(), kept_sha256=T.StringType(),
-        spans=T.ArrayType(factor), kept_text=T.StringType(),
+        spans=T.ArrayType(factor), kept_text=T.StringType(), _owner=T.LongType(), _words=T.BinaryType(),
     )
-    work = partial(cut_batches, window=window, schema=to_arrow_schema(schema), with_text=with_text)
-    return joined.select(id_col, "_text", "_keys").mapInArrow(work, schema)
+
+    def result(least: dict[bytes, int] | None) -> DataFrame:
+        work = partial(cut_batches, window=window, schema=to_arrow_schema(schema), with_text=with_text, least=least)
+        return joined.select(id_col, "_text", "_answers").mapInArrow(work, schema)
+
+    found = keep(result(None), "factors")
+    checks = found.where("_owner IS NOT NULL").select(F.col("_owner").alias("id"), F.col("_words").alias("words"))
+    if windows := unfounded(texts, checks, window):
+        held = texts.mapInArrow(partial(holder_batches, windows=windows, window=window), "words binary, id long")
+        found = result({bytes(r.words): r.id for r in held.groupBy("words").agg(F.min("id").alias("id")).collect()})
+    return found.where("_owner IS NULL").drop("_owner", "_words")

@@ -86,3 +86,27 @@ def test_odd_rows(spark):
     )
     assert [tuple(s) for s in got.where("doc_id = 7").first().spans] == [(1, 50)]
     assert sub.drop_repeats(docs.limit(0)).count() == 0
+
+
+def test_windows_with_one_key_are_told_apart_by_their_words(spark):
+    """Thue-Morse words and their opposites have one 64-bit polynomial hash, whatever its base."""
+    morse = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    other = morse.translate(str.maketrans("ab", "ba"))
+    (one, two), _ = sub.hash_words(f"{morse} {other}".encode())
+    assert one == two
+    passage = [f"w{i}" for i in range(30)]
+    mine, yours = ([*passage[:15], word, *passage[15:]] for word in (morse, other))
+    rows = [
+        (4, " ".join(mine)), (5, " ".join(yours)), (6, " ".join(["x", *yours, "y"])), (3, " ".join(["z", *yours[9:], "z"])),
+        (8, " ".join(mine)), (9, " ".join(mine[3:])), (7, "clean " + " ".join(yours[4:18])), (None, " ".join(yours)),
+        (None, " ".join(f"only{i}" for i in range(40))), (6, " ".join(f"more{i}" for i in range(40))),
+    ]
+    for frame in (spark.createDataFrame(rows, "doc_id long, text string").repartition(n) for n in (1, 7)):
+        got = [(r.doc_id, r.n_words, r.n_removed, r.kept_text) for r in sub.drop_repeats(frame).collect()]
+        assert hashed(got) == hashed(plain(rows))
+
+
+def test_a_copy_without_id_leaves_other_rows_without_id_alone(spark):
+    copied, clean = (" ".join(f"{c}{i}" for i in range(20)) for c in "ab")
+    docs = spark.createDataFrame([(1, copied), (None, copied), (None, clean)], "doc_id long, text string").coalesce(1)
+    assert sorted(r.n_removed for r in sub.drop_repeats(docs).collect()) == [0, 0, 20]
