@@ -44,6 +44,13 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def row_key(id_col: str, text_col: str) -> Column:
+    """Id and whole text of a row in one: decisions on rows must not go by an id alone, which
+    may be null or repeat with another text."""
+    sha = F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256)
+    return F.concat_ws(":", sha, F.col(id_col).cast("string"))
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir. Unset, a temporary one, in local mode only."""
     root = spark.conf.get("spark.checkpoint.dir", None)

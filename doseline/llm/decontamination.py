@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from doseline.llm.common import row_key
+
 # Word offsets a seed compares; the others are ignored. Together they hit every window of
 # the lengths below with as many substitutions as `allowed` grants, at any places.
 MASKS = ((0, 1, 2, 3, 4), (0, 1, 2, 5, 6))
@@ -132,7 +134,9 @@ def drop_contaminated(
     docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     item_col: str = "item_id", item_text_col: str = "text",
 ) -> DataFrame:
-    """The rows of `docs` that overlap no item, with all their columns."""
-    found = contaminated(docs, items, id_col, text_col, item_col, item_text_col)
-    found = found.select(F.col(id_col).alias("_id")).distinct()
-    return docs.join(found, docs[id_col].eqNullSafe(F.col("_id")), "left_anti")
+    """The rows of `docs` that overlap no item, with all their columns. Each row is judged by
+    its own text, whatever others share its id."""
+    rows = docs.withColumn("_row", row_key(id_col, text_col))
+    found = contaminated(rows.select("_row", F.col(text_col).alias("_text")), items, "_row", "_text", item_col, item_text_col)
+    found = found.select(F.col("_row").alias("_found")).distinct()
+    return rows.join(found, F.col("_row") == F.col("_found"), "left_anti").drop("_row")

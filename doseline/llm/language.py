@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from doseline.llm.common import keep, struct, text_blocks
+from doseline.llm.common import keep, row_key, struct, text_blocks
 
 UNKNOWN_LANGUAGE = "und"
 TRAINING_DOCS = 300  # of each language
@@ -296,16 +296,33 @@ def languages_of(
     result.
     """
     taught = docs if learn is None else docs.where(learn)
-    model = train(taught, path, id_col, text_col, lang_col, most, rounds)
+    return read_rows(docs, train(taught, path, id_col, text_col, lang_col, most, rounds), id_col, text_col)
+
+
+def read_rows(docs: DataFrame, model: Model, id_col: str, text_col: str) -> DataFrame:
+    """One row per input row: id, `lang_pred`, `score`."""
     schema = struct(**{id_col: docs.schema[id_col].dataType}, lang_pred=T.StringType(), score=T.DoubleType())
     work = partial(read_batches, model=model, schema=to_arrow_schema(schema))
     return docs.select(id_col, text_col).mapInArrow(work, schema)
 
 
-def drop_unknown_languages(docs: DataFrame, path: str, id_col: str = "doc_id", least: float = 0.5, **kinds) -> DataFrame:
+def drop_unknown_languages(
+    docs: DataFrame,
+    path: str,
+    id_col: str = "doc_id",
+    least: float = 0.5,
+    learn: Column | None = None,
+    text_col: str = "text",
+    lang_col: str = "lang",
+    most: int = TRAINING_DOCS,
+    rounds: int = ROUNDS,
+) -> DataFrame:
     """The rows of `docs` in a learned language, read with a score of `least` or more, with
-    all their columns."""
-    read = languages_of(docs, path, id_col=id_col, **kinds)
+    all their columns. Each row is judged by its own text, whatever others share its id."""
+    taught = docs if learn is None else docs.where(learn)
+    model = train(taught, path, id_col, text_col, lang_col, most, rounds)
+    rows = docs.withColumn("_row", row_key(id_col, text_col))
+    read = read_rows(rows, model, "_row", text_col)
     known = read.where((F.col("lang_pred") != UNKNOWN_LANGUAGE) & (F.col("score") >= least))
-    known = known.select(F.col(id_col).alias("_id")).distinct()
-    return docs.join(known, docs[id_col].eqNullSafe(F.col("_id")), "left_semi")
+    known = known.select(F.col("_row").alias("_known")).distinct()
+    return rows.join(known, F.col("_row") == F.col("_known"), "left_semi").drop("_row")

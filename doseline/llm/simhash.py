@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from doseline.llm.common import BYTES_AT_ONCE, keep, text_blocks
+from doseline.llm.common import BYTES_AT_ONCE, keep, row_key, text_blocks
 from doseline.llm.components import components
 
 BITS = 64
@@ -291,7 +291,12 @@ def drop_near_copies(
     radius: int = RADIUS,
     blocks: int = BLOCKS,
 ) -> DataFrame:
-    """The rows of `docs` that name their component, with all their columns."""
-    stays = near_copies(docs, id_col, text_col, shingle, radius, blocks)
-    stays = stays.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_id"))
-    return docs.join(stays.distinct(), docs[id_col].eqNullSafe(F.col("_id")), "left_semi")
+    """One document of each component, with all its columns: the one that names it. Of
+    several texts under that id, or under none, the one with the smallest hash stays; rows
+    repeated whole stay together."""
+    order = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col("_row").alias("row"))
+    rows = docs.withColumn("_row", row_key(id_col, text_col))
+    keyed = rows.select(order.alias("_key"), F.col(text_col).alias("_text"))
+    near = near_copies(keyed, "_key", "_text", shingle, radius, blocks)
+    stays = near.where(F.col("_key") == F.col("component_id")).select(F.col("_key.row").alias("_stays"))
+    return rows.join(stays.distinct(), F.col("_row") == F.col("_stays"), "left_semi").drop("_row")

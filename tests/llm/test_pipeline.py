@@ -13,7 +13,7 @@ from test_decontamination import plain as overlaps
 from test_simhash import plain_components, plain_fingerprint
 
 import corpus_pipeline
-from doseline.llm import exact_dedup, language, mixture
+from doseline.llm import decontamination, exact_dedup, language, mixture, simhash
 
 SMALL = "/root/testdata/sf0.001"
 PATH = public_tokenizers.path("piece_bpe_32k.model")
@@ -135,3 +135,28 @@ def test_mixture_targets(spark):
     for d, source, _ in docs:
         assert abs(got[d].target - target[source]) < 1e-6 and got[d].source_size == total[source]
         assert got[d].copies == copies[d]
+
+
+def rows_of(frame):
+    return Counter((r.doc_id, r.text) for r in frame.collect())
+
+
+def test_rows_that_share_an_id_or_have_none_are_judged_apart(spark):
+    """Of two rows of one id, and of two without, each stage drops one and keeps the other."""
+    ddl = "doc_id long, text string, lang string"
+    good, bad = ("the cat and the dog", "12 34 !?")
+    taught = [(i, "the cat and the dog" if i % 2 else "der Hund und die Katze", "en" if i % 2 else "de") for i in range(20)]
+    rows = [(i, t, None) for i in (50, None) for t in (good, bad)]
+    kept = language.drop_unknown_languages(spark.createDataFrame(taught + rows, ddl), PATH).where("lang IS NULL")
+    assert rows_of(kept) == Counter([(50, good), (None, good)])
+
+    one, two, three = (" ".join(f"{c}{i}" for i in range(200)) for c in "abc")
+    rows = [(3, one), (5, one), (5, two), (None, one), (None, three), (None, three + "\n"), (None, three)]
+    frame = spark.createDataFrame([(*r, None) for r in rows], ddl)
+    first = min((three, three + "\n"), key=lambda t: hashlib.sha256(t.encode()).hexdigest())
+    assert set(rows_of(simhash.drop_near_copies(frame))) == {(3, one), (5, two), (None, first)}
+
+    items = spark.createDataFrame([(1, " ".join(f"a{i}" for i in range(20)))], "item_id long, text string")
+    rows = [(5, one), (5, two), (None, one), (None, two), (None, None)]
+    kept = decontamination.drop_contaminated(spark.createDataFrame([(*r, None) for r in rows], ddl), items)
+    assert rows_of(kept) == Counter([(5, two), (None, two), (None, None)]) and kept.columns == ["doc_id", "text", "lang"]
