@@ -13,9 +13,12 @@ from doseline.llm import (
     decontamination,
     exact_dedup,
     language,
+    line_dedup,
     mixture,
     quality,
+    resampling,
     simhash,
+    spelling,
     substring_dedup,
     token_counts,
     warc,
@@ -100,6 +103,22 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts without the lines that ten or more documents share."""
+    cut = line_dedup.drop_shared_lines(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tenth of the documents likest to the benchmark, drawn by weight and ranked."""
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words one edit apart, and the form that each one leads to."""
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 def shipped(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -119,8 +138,31 @@ QUERIES: dict[str, Query] = {
     "op8_chat": shipped(op8_chat),
     "op9_decontamination": op9_decontamination,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_line_dedup": op11_line_dedup,
+    "op12_importance_resampling": shipped(op12_importance_resampling),
+    "op13_spelling_variants": shipped(op13_spelling_variants),
 }
 
+# CRC-32 of a column of texts `v`, in SQL: its table follows from the polynomial, and a text's bytes
+# are folded over it one by one.
+CRC_TABLE = r"""
+SELECT list(list_reduce(list_prepend(i, range(8)),
+  lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+FROM (SELECT unnest(range(256)) AS i)
+"""
+
+
+def crc_sql(source: str) -> str:
+    """A query for (v, crc) of the texts `v` that the query `source` gives."""
+    return f"""
+SELECT v, xor(list_reduce(
+  list_prepend(4294967295, list_transform(range(octet_length(encode(v))),
+    lambda k: ('0x' || substr(hex(encode(v)), 2 * k + 1, 2))::BIGINT)),
+  lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1])), 4294967295) AS crc
+FROM ({source}), ({CRC_TABLE})
+"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op6_mixture": r"""
 WITH d AS (
@@ -200,5 +242,97 @@ WITH d AS (
 )
 SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, text_sha256
 FROM d JOIN g USING (text_sha256)
+""",
+    "op11_line_dedup": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+), l AS (
+  SELECT r, unnest(lines) AS line, unnest(range(len(lines))) AS place FROM d
+), k AS (
+  SELECT r, place, line,
+    translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM l
+), shared AS (
+  SELECT key FROM k WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT r) >= 10
+), left_over AS (
+  SELECT r, count(*) AS n, string_agg(line, chr(10) ORDER BY place) AS kept
+  FROM k WHERE key NOT IN (SELECT key FROM shared) GROUP BY r
+)
+SELECT doc_id, len(lines)::BIGINT AS n_lines, (len(lines) - coalesce(n, 0))::BIGINT AS n_dropped,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN left_over USING (r)
+""",
+    "op12_importance_resampling": rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS words
+  FROM documents
+), b AS (
+  SELECT list_filter(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS words
+  FROM benchmark
+), dw AS (SELECT r, unnest(words) AS word FROM d),
+bw AS (SELECT unnest(words) AS word FROM b),
+crc AS (
+  SELECT v AS word, crc % 10000 AS bucket FROM ({crc_sql("SELECT word AS v FROM dw UNION SELECT word FROM bw")})
+), s AS (SELECT bucket, count(*) AS s FROM dw JOIN crc USING (word) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS t FROM bw JOIN crc USING (word) GROUP BY bucket),
+gains AS (
+  SELECT bucket, floor(1000::DOUBLE * ln(
+    (coalesce(t, 0) + 1)::DOUBLE * ((SELECT count(*) FROM dw) + 10000)::DOUBLE
+    / ((coalesce(s, 0) + 1)::DOUBLE * ((SELECT count(*) FROM bw) + 10000)::DOUBLE)))::BIGINT AS gain
+  FROM s FULL JOIN t USING (bucket)
+), w AS (
+  SELECT r, sum(gain)::BIGINT AS weight FROM dw JOIN crc USING (word) JOIN gains USING (bucket) GROUP BY r
+), scored AS (
+  SELECT doc_id, len(words)::BIGINT AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + floor(-1000::DOUBLE * ln(-ln((('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, 'null')), 1, 8))::BIGINT::DOUBLE
+      + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM d LEFT JOIN w USING (r)
+), placed AS (
+  SELECT *, n_features >= 20 AS drawable,
+    row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS LAST, n_features) AS place
+  FROM scored
+)
+SELECT doc_id, n_features, weight, score,
+  CASE WHEN drawable AND place <= (SELECT 10 * count(*) // 100 FROM scored WHERE n_features >= 20) THEN place END AS rank
+FROM placed
+""",
+    "op13_spelling_variants": rf"""
+WITH RECURSIVE runs AS (
+  SELECT coalesce(doc_id::VARCHAR, 'null') AS d, unnest(regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS run
+  FROM documents
+), long_runs AS (
+  SELECT d || ':' || run AS v, run, count(*) AS n FROM runs WHERE length(run) >= 5 GROUP BY d, run
+), typed AS (
+  SELECT CASE WHEN crc % 97 = 0 THEN substr(run, 1, (crc % length(run))::INT) || substr(run, (crc % length(run))::INT + 2)
+    ELSE run END AS word, n
+  FROM long_runs JOIN ({crc_sql("SELECT v FROM long_runs")}) USING (v)
+), words AS (
+  SELECT word, sum(n)::BIGINT AS n FROM typed WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+), gone AS (
+  SELECT word, n, length(word) AS size, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT *, unnest(range(1, length(word) + 1))::INT AS i FROM words)
+), near AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM gone a JOIN gone b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM gone a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM gone a JOIN words b ON a.rest = b.word
+), best AS (
+  SELECT word, count(*) AS n_near, min(struct_pack(r := -other_n, other := other)) AS b FROM near GROUP BY word
+), forms AS (
+  SELECT words.word, words.n, coalesce(n_near, 0)::BIGINT AS n_near,
+    CASE WHEN -b.r >= 2 * n THEN b.other END AS form, CASE WHEN -b.r >= 2 * n THEN -b.r END::BIGINT AS form_n
+  FROM words LEFT JOIN best USING (word)
+), walk AS (
+  SELECT word, word AS root FROM forms
+  UNION ALL
+  SELECT walk.word, forms.form FROM walk JOIN forms ON walk.root = forms.word WHERE forms.form IS NOT NULL
+)
+SELECT f.word, f.form, r.root, f.n, f.n_near, f.form_n
+FROM forms f JOIN (
+  SELECT walk.word, walk.root FROM walk JOIN forms ON walk.root = forms.word WHERE forms.form IS NULL
+) r ON f.word = r.word
 """,
 }
