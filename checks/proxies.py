@@ -50,13 +50,16 @@ class Proxies:
         return self._built[name]
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
-        """Written to the shared folder of the cluster; a temporary one in local mode only."""
+        return self.stages().keep(df, name)
+
+    def stages(self) -> Stages:
+        """The shared folder of the cluster; a temporary one in local mode only."""
         if self._stages is None:
             named = self.spark.conf.get("spark.checkpoint.dir", None)
             if not named and self.spark.sparkContext.master.startswith("local["):
                 named = tempfile.mkdtemp(prefix="doseline-checks-")
             self._stages = Stages(self.spark, named)
-        return self._stages.keep(df, name)
+        return self._stages
 
     def once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         """A step that several others read, written to scratch the first time."""

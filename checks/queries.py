@@ -3,21 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from dataclasses import replace
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import oracle
 from checks.config import CALC, NOW, Q_END, Q_START, RESET_QUARTER, SDA_END, SDA_START, SINCE
-from checks.oracle import LE, LS, NOW as NOW_SQL, QE, QS, RESET_SQL, _milli, _touch
+from checks.oracle import LE, LS, NOW as NOW_SQL, QE, QS, RESET_SQL, SINCE_SQL, _milli, _touch
 from checks.proxies import Proxies
 from doseline.functions import codes, dates, ranges
 from doseline.functions.decimals import from_micro
 from doseline.operators import dosage, intervals, linkage, lookups, population, publish, risk, scoring
 from doseline.plans import quarter
-from doseline.session import configure
+from doseline.session import Stages, configure
 from doseline.sources import tables
+from doseline.sources.schemas import HISTORY
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -683,6 +685,54 @@ def prior_last_stratum(t: Proxies) -> DataFrame:
     return found.select("au_stratum_id", "prev_auth_no", "pqd_strat", "pqd_sda_id")
 
 
+def _settled_sql(strata: str) -> str:
+    """First and last settled stratum per authorization, in SQL."""
+    return f"""SELECT auth_no, min(start_date) AS first_date,
+        first(strat_level ORDER BY start_date, au_stratum_id) AS first_strat,
+        max(start_date) AS last_date,
+        first(strat_level ORDER BY start_date DESC, au_stratum_id DESC) AS last_strat,
+        first(stratum_sda_id ORDER BY start_date DESC, au_stratum_id DESC) AS last_stratum_sda_id
+    FROM {strata} WHERE start_date IS NOT NULL AND (stratum_sda_id IS NOT NULL OR start_date < {SINCE_SQL})
+    GROUP BY auth_no"""
+
+
+def _flat_state(state: DataFrame) -> DataFrame:
+    return state.select(
+        "auth_no", F.col("first.start_date").alias("first_date"), F.col("first.strat_level").alias("first_strat"),
+        F.col("last.start_date").alias("last_date"), F.col("last.strat_level").alias("last_strat"),
+        F.col("last.stratum_sda_id").alias("last_stratum_sda_id"),
+    )
+
+
+@check("settled_state", _settled_sql("au_stratum"))
+def settled_state(t: Proxies) -> DataFrame:
+    """The state of settled strata, combined from those of single quarters."""
+    strata, day = t["au_stratum"], F.col("start_date")
+    parts = [day < RESET_QUARTER, day.between(RESET_QUARTER, Q_START), day > Q_START]
+    first, *others = [linkage.settled_strata(strata.where(part), SINCE) for part in parts]
+    for other in others:
+        first = linkage.combined_states(first, other)
+    return _flat_state(first)
+
+
+@check(
+    "stratum_endpoints",
+    f"""SELECT a.auth_no, a.first_strat, s.last_strat, s.last_stratum_sda_id, a.pqd_strat, a.pqd_sda_id
+    FROM (SELECT auth_no, first(strat_level ORDER BY start_date, au_stratum_id) AS first_strat,
+            first(strat_level ORDER BY start_date DESC, au_stratum_id DESC) AS pqd_strat,
+            first(stratum_sda_id ORDER BY start_date DESC, au_stratum_id DESC) AS pqd_sda_id
+          FROM au_stratum WHERE start_date IS NOT NULL GROUP BY auth_no) a
+    LEFT JOIN ({_settled_sql('au_stratum')}) s USING (auth_no)""",
+)
+def stratum_endpoints(t: Proxies) -> DataFrame:
+    """The endpoints of all strata from the state and the awaiting strata alone."""
+    strata = t["au_stratum"]
+    found = linkage.endpoints_from_state(
+        linkage.settled_strata(strata, SINCE), linkage.awaiting_strata(strata, SINCE), SINCE
+    )
+    return found.drop("strat_check_end")
+
+
 RULE_COLUMNS = (
     "au_stratum_id, auth_no, phs_start_date, strat_level, first_strat, strat_check_end, last_strat, "
     "last_stratum_sda_id, prev_auth_no, pqd_strat, pqd_sda_id, enroll_days, new_sda_rule, new_stratum_sda_id"
@@ -838,6 +888,36 @@ def quarter_run(t: Proxies) -> DataFrame:
     return _job(t, JOB)["au_stratum"]
 
 
+def _published_again(t: Proxies, table: str) -> DataFrame:
+    """A table published by a job that died after it had appended the ratios, and was run again whole
+    with the date of the next day."""
+    root = f"{t.stages().root}/published"
+    history = {name: t[name] for name in HISTORY}
+    for name, df in history.items():
+        tables.append_rows(df, root, name)
+    inputs = {name: df for name, df in t.all().items() if name not in HISTORY}
+    run = quarter.stage_quarter(t.spark, root, CALC, JOB, Stages(t.spark, f"{root}/_stages"), inputs)
+    tables.append_new_rows(t.spark, quarter.staged_rows(t.spark, run)["ratios"], root, "au_stratum_sda")
+    later = replace(JOB, now=None, as_of=CALC + timedelta(days=1))
+    quarter.run_and_publish(t.spark, root, CALC, later, Stages(t.spark, f"{root}/_stages"), inputs)
+    return tables.read_table(t.spark, root, table)
+
+
+@check("rerun_scores", "SELECT * FROM published_scores")
+def rerun_scores(t: Proxies) -> DataFrame:
+    return _published_again(t, "au_stratum_score")
+
+
+@check("rerun_ratios", "SELECT * FROM published_ratios")
+def rerun_ratios(t: Proxies) -> DataFrame:
+    return _published_again(t, "au_stratum_sda")
+
+
+@check("rerun_strata", SQL["published_strata"])
+def rerun_strata(t: Proxies) -> DataFrame:
+    return _published_again(t, "au_stratum")
+
+
 def oracle_queries() -> dict[str, str]:
     """The SQL of every check, complete with the views it needs."""
     return {name: oracle.resolve(sql) for name, sql in SQL.items()}

@@ -103,6 +103,54 @@ def last_stratum(strata: DataFrame, exclude: DataFrame | None = None) -> DataFra
     )
 
 
+def _endpoint_columns(first: Column, settled: Column, last: Column) -> list[Column]:
+    return [
+        first["strat_level"].alias("first_strat"),
+        _check_end(first["start_date"]).alias("strat_check_end"),
+        settled["strat_level"].alias("last_strat"),
+        settled["stratum_sda_id"].alias("last_stratum_sda_id"),
+        last["strat_level"].alias("pqd_strat"),
+        last["stratum_sda_id"].alias("pqd_sda_id"),
+    ]
+
+
+def settled_strata(strata: DataFrame, since: date = LINKED_SINCE) -> DataFrame:
+    """The first and the last stratum per authorization among those that no link will change.
+
+    Each is a struct in order of date and id, so that states of any parts of a table, also
+    overlapping ones, are put together by `combined_states`. An awaiting stratum joins the
+    state when it is linked; one without a date never does, nor has it a place in the order.
+    """
+    held = strata.where(F.col("start_date").isNotNull() & ~_awaiting(since))
+    ends = F.struct("start_date", "au_stratum_id", "strat_level", "stratum_sda_id")
+    return held.groupBy("auth_no").agg(F.min(ends).alias("first"), F.max(ends).alias("last"))
+
+
+def combined_states(one: DataFrame, other: DataFrame) -> DataFrame:
+    """The state of all strata that either state was made of."""
+    both = one.unionByName(other)
+    return both.groupBy("auth_no").agg(F.min("first").alias("first"), F.max("last").alias("last"))
+
+
+def awaiting_strata(strata: DataFrame, since: date = LINKED_SINCE) -> DataFrame:
+    """The strata outside the state. On a stored table both conditions reach the scan, the date as
+    a filter of partitions."""
+    return strata.where(_awaiting(since))
+
+
+def endpoints_from_state(state: DataFrame, strata: DataFrame, since: date = LINKED_SINCE) -> DataFrame:
+    """The endpoints of all strata, from the state of some and the rows of at least the others."""
+    ends = F.when(F.col("start_date").isNotNull(), F.struct("start_date", "au_stratum_id", "strat_level", "stratum_sda_id"))
+    rows = strata.select(
+        "auth_no", ends.alias("first"), F.when(~_awaiting(since), ends).alias("settled"), ends.alias("last")
+    )
+    known = state.select("auth_no", "first", F.col("last").alias("settled"), "last")
+    merged = rows.unionByName(known).groupBy("auth_no").agg(
+        F.min("first").alias("first"), F.max("settled").alias("settled"), F.max("last").alias("last")
+    )
+    return merged.select("auth_no", *_endpoint_columns(F.col("first"), F.col("settled"), F.col("last")))
+
+
 def strata_endpoints(strata: DataFrame, since: date = LINKED_SINCE) -> DataFrame:
     """First, last settled and last stratum per authorization in one aggregate.
 
@@ -111,23 +159,13 @@ def strata_endpoints(strata: DataFrame, since: date = LINKED_SINCE) -> DataFrame
     """
     level_and_id = F.struct("strat_level", "stratum_sda_id")
     settled_order = F.when(~_awaiting(since), _order())
-    return (
-        strata.groupBy("auth_no")
-        .agg(
-            F.min_by(F.struct("start_date", "strat_level"), _order()).alias("_first"),
-            F.max_by(level_and_id, settled_order).alias("_settled"),
-            F.max_by(level_and_id, _order()).alias("_last"),
-        )
-        .select(
-            "auth_no",
-            F.col("_first.strat_level").alias("first_strat"),
-            _check_end(F.col("_first.start_date")).alias("strat_check_end"),
-            F.col("_settled.strat_level").alias("last_strat"),
-            F.col("_settled.stratum_sda_id").alias("last_stratum_sda_id"),
-            F.col("_last.strat_level").alias("pqd_strat"),
-            F.col("_last.stratum_sda_id").alias("pqd_sda_id"),
-        )
+    first = F.min_by(F.struct("start_date", "strat_level"), _order())
+    ends = strata.groupBy("auth_no").agg(
+        first.alias("_first"),
+        F.max_by(level_and_id, settled_order).alias("_settled"),
+        F.max_by(level_and_id, _order()).alias("_last"),
     )
+    return ends.select("auth_no", *_endpoint_columns(F.col("_first"), F.col("_settled"), F.col("_last")))
 
 
 def link_prior(candidates: DataFrame, auth: DataFrame, max_gap: int = MAX_GAP) -> DataFrame:
@@ -214,12 +252,16 @@ def link_strata(
     min_days: int = MIN_DAYS,
     max_gap: int = MAX_GAP,
     keep: Keep = pass_on,
+    endpoints: DataFrame | None = None,
 ) -> DataFrame:
     """Rule, ratio and multiplier for every stratum that awaits its link.
 
-    The endpoints and the candidates are each read twice; `keep` may materialize them.
+    The endpoints and the candidates are each read twice; `keep` may materialize them. Given
+    `endpoints`, of all strata, only those that await their link are needed in `strata`.
     """
-    endpoints = keep(strata_endpoints(strata, since), "stratum_endpoints")
+    if endpoints is None:
+        endpoints = strata_endpoints(strata, since)
+    endpoints = keep(endpoints, "stratum_endpoints")
     own = endpoints.select(
         "auth_no", "first_strat", "strat_check_end", "last_strat", "last_stratum_sda_id"
     )

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date, datetime, time
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,9 +12,14 @@ from pyspark.sql import functions as F
 from doseline.functions.dates import Periods
 from doseline.operators import dosage, linkage, population, publish, risk, scoring
 from doseline.session import Stages
-from doseline.sources.tables import append_new_rows, conform, replace_quarters
+from doseline.sources import runs
+from doseline.sources.schemas import HISTORY
+from doseline.sources.tables import append_new_rows, conform, read_table, read_tables, replace_quarters
+from doseline.sources.versions import read_state
 
 Tables = dict[str, DataFrame]
+STATE = "stratum_state"  # of settled strata, among the tables where there is one
+STAGED = ["population", "score_lines", "complete", "strata", "scores", "ratios", "shadow", "replaced", "state"]
 
 
 @dataclass(frozen=True)
@@ -76,13 +81,18 @@ def run_quarter(
     calc_date: date,
     options: Options = Options(),
     keep: Callable[[DataFrame, str], DataFrame] | None = None,
+    after: tuple[int, int] | None = None,
 ) -> Tables:
     """Compute one quarter's records and the updated history; writes no history table.
 
     Returns the new rows (`strata`, `scores`, `ratios`, `shadow`), the linked and reset
-    stratum table as of the end of the run (`au_stratum`), those of its quarters the run can
-    have changed (`replaced`), the level counts (`levels`) and the stages they were built
-    from (`population`, `score_lines`).
+    stratum table as of the end of the run (`au_stratum`), those of its quarters the run
+    changes (`replaced`), the state of its settled strata (`state`), the level counts
+    (`levels`) and the stages they were built from (`population`, `score_lines`, `complete`).
+
+    With the state of the stored strata among the tables, linking reads of them those that
+    await their link and the quarters it changes; without, it is made from all of them.
+    `after` are the highest stratum and ratio id in use, sought in the tables unless given.
 
     `keep` materializes a step under a name; by default it writes to spark.checkpoint.dir.
     What is published is kept, so that publishing reads nothing it writes.
@@ -92,6 +102,8 @@ def run_quarter(
     as_of = options.as_of or calc_date
     now = options.now or datetime.combine(as_of, time())
     history = tables["au_stratum"]
+    if after is None:
+        after = ids_in_use(tables)
 
     pop = keep(population_of(tables, periods, as_of), "population")
     inputs = keep(with_inputs(pop, tables, calc_date, options), "inputs")
@@ -111,15 +123,9 @@ def run_quarter(
     )
     complete = keep(dosage.with_sda(leveled, ratios), "complete")
 
-    strata = publish.new_strata(
-        publish.stratum_rows(complete), publish.highest_id(history, "au_stratum_id"), now
-    )
+    strata = publish.new_strata(publish.stratum_rows(complete), after[0], now)
     strata = keep(conform(strata, "au_stratum"), "strata")
-    sda = publish.new_sda(
-        publish.sda_rows(complete, options.sda_period),
-        publish.highest_id(tables["au_stratum_sda"], "stratum_sda_id"),
-        now,
-    )
+    sda = publish.new_sda(publish.sda_rows(complete, options.sda_period), after[1], now)
     sda = keep(conform(sda, "au_stratum_sda"), "ratios")
 
     everything = history.unionByName(strata)
@@ -128,27 +134,36 @@ def run_quarter(
     scores = keep(conform(scores, "au_stratum_score"), "scores")
 
     all_ratios = tables["au_stratum_sda"].unionByName(sda)
+    since = options.linked_since
+    state = tables.get(STATE)
+    if state is None:
+        state = keep(linkage.settled_strata(history, since), "settled")
+    unsettled = linkage.awaiting_strata(history, since).unionByName(strata)
     links = linkage.link_strata(
-        everything, tables["au_master"], all_ratios, tables["cd_stratum_pay_corridor"],
-        options.linked_since, keep=keep,
+        unsettled, tables["au_master"], all_ratios, tables["cd_stratum_pay_corridor"], since,
+        keep=keep, endpoints=linkage.endpoints_from_state(state, unsettled, since),
     )
-    # Only strata from `linked_since` on can change; older quarters are passed through.
-    is_recent = F.coalesce(F.col("start_date") >= F.lit(options.linked_since), F.lit(False))
-    linked = linkage.apply_links(everything.where(is_recent), links, now)
+    links = keep(links, "links")
+    # Few: quarters. Linking touches no others, which are passed through and not read here.
+    changed = {row[0] for row in links.select("phs_start_date").distinct().collect()} | {periods.pop_start}
+    is_linked = F.col("start_date").isin(sorted(changed))
+    linked = linkage.apply_links(everything.where(is_linked), links, now)
     linked = keep(conform(linked, "au_stratum"), "linked")
-    final = everything.where(~is_recent).unionByName(linked)
+    state = linkage.combined_states(state, linkage.settled_strata(linked, since))
+    state = keep(state, "state")
+    final = everything.where(F.col("start_date").isNull() | ~is_linked).unionByName(linked)
     shadow = publish.shadow_delta(final, tables["au_stratum_shadow"])
     shadow = keep(conform(shadow, "au_stratum_shadow"), "shadow")
-    # New strata start with the quarter, whether or not links or the reset reach that far.
-    is_changed = is_recent | (F.col("start_date") == F.lit(periods.pop_start))
     if options.reset_quarter is not None:
         final = publish.reset_payments(final, options.reset_quarter)
-        is_changed = is_changed | (F.col("start_date") == F.lit(options.reset_quarter))
+        changed.add(options.reset_quarter)
+    is_changed = F.col("start_date").isin(sorted(changed))
     replaced = keep(conform(final.where(is_changed), "au_stratum"), "replaced")
 
     return {
         "population": pop,
         "score_lines": lines,
+        "complete": complete,
         "levels": scoring.level_counts(complete),
         "strata": strata,
         "scores": scores,
@@ -156,17 +171,98 @@ def run_quarter(
         "shadow": shadow,
         "au_stratum": final,
         "replaced": replaced,
+        "state": state,
     }
 
 
-def publish_quarter(spark: SparkSession, result: Tables, root: str) -> None:
+def ids_in_use(tables: Tables) -> tuple[int, int]:
+    """The highest stratum and ratio id."""
+    return (
+        publish.highest_id(tables["au_stratum"], "au_stratum_id"),
+        publish.highest_id(tables["au_stratum_sda"], "stratum_sda_id"),
+    )
+
+
+def publish_quarter(
+    spark: SparkSession, result: Tables, root: str, name: str | None = None, since: date | None = None
+) -> None:
     """Write a run's records to the history tables under `root`.
 
     Appended rows are those the tables do not have yet, and replaced quarters are whole, so
     publishing a result again, or after it was interrupted, ends in the same tables. The
-    stratum table comes last: until it is there, the quarter counts as not stratified.
+    stratum table comes last, under the version `name`: until it is there, the quarter counts
+    as not stratified. Given the option `since` that the state of settled strata was made
+    for, the state is kept beside it for the next run.
     """
     append_new_rows(spark, result["scores"], root, "au_stratum_score")
     append_new_rows(spark, result["ratios"], root, "au_stratum_sda")
     append_new_rows(spark, result["shadow"], root, "au_stratum_shadow")
-    replace_quarters(result["replaced"], root, "au_stratum")
+    state = result["state"] if since is not None else None
+    replace_quarters(result["replaced"], root, "au_stratum", None, name, state, since)
+
+
+def stage_quarter(
+    spark: SparkSession,
+    root: str,
+    calc_date: date,
+    options: Options = Options(),
+    stages: Stages | None = None,
+    inputs: Tables | None = None,
+) -> runs.Run:
+    """Reserve a run of the quarter under `root` and write all rows it will publish to its stages.
+
+    A run that was left is taken up where it stands: one only reserved is computed from its own
+    dates, stamp and first ids, one staged is returned as it is.
+    """
+    stages = stages or Stages(spark)
+    quarter = Periods.of(calc_date).pop_start
+    run = runs.last_run(spark, root)
+    if run and run.step != runs.DONE and run.quarter != quarter:
+        raise ValueError(f"the run of {run.quarter} is not finished; run it again first")
+    if run and run.step == runs.STAGED:
+        return run
+    tables = {**(inputs or read_tables(spark, root)), **{n: read_table(spark, root, n) for n in HISTORY}}
+    if run is None or run.step == runs.DONE:
+        as_of = options.as_of or calc_date
+        now = options.now or datetime.combine(as_of, time())
+        attempt = run.attempt + 1 if run else 1
+        reserved = runs.Run(quarter, attempt, runs.RESERVED, calc_date, as_of, now, *ids_in_use(tables))
+        run = runs.record(spark, root, reserved)
+    state = read_state(spark, f"{root}/au_stratum", options.linked_since)
+    known = tables if state is None else {**tables, STATE: state}
+    dated = replace(options, as_of=run.as_of, now=run.now)
+    run_quarter(spark, known, run.calc_date, dated, stages.keep, (run.after_stratum_id, run.after_ratio_id))
+    return runs.advance(spark, root, run, runs.STAGED, stages.root)
+
+
+def run_and_publish(
+    spark: SparkSession,
+    root: str,
+    calc_date: date,
+    options: Options = Options(),
+    stages: Stages | None = None,
+    inputs: Tables | None = None,
+) -> Tables:
+    """The whole job: compute a quarter from the tables under `root` and publish it there.
+
+    A job that died is finished by running it again, on whatever day. Before it computes, a run
+    is reserved with its dates, stamp and first ids; once all its rows are written, that is
+    recorded too, and only then is anything published. Run again before that point, it computes
+    from what was reserved; after it, it publishes the rows written, however the inputs have
+    changed since. So no authorization gets a second record. The run of one quarter must be
+    finished before that of another starts, and one job works on a `root` at a time.
+
+    `inputs` take the place of tables under `root`; the history tables are always read there.
+    Returns what `run_quarter` does, with the stratum table as it is stored.
+    """
+    run = stage_quarter(spark, root, calc_date, options, stages, inputs)
+    result = staged_rows(spark, run)
+    publish_quarter(spark, result, root, run.name, options.linked_since)
+    runs.advance(spark, root, run, runs.DONE)
+    return {**result, "au_stratum": read_table(spark, root, "au_stratum")}
+
+
+def staged_rows(spark: SparkSession, run: runs.Run) -> Tables:
+    """What a staged run has computed, without the stratum table as a whole."""
+    result = {name: spark.read.parquet(f"{run.stages}/{name}") for name in STAGED}
+    return {**result, "levels": scoring.level_counts(result["complete"])}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+from datetime import date
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -11,10 +13,14 @@ from pyspark.sql import types as T
 
 from doseline.session import Stages
 from doseline.sources.schemas import HISTORY, TABLES
+from doseline.sources.versions import read_pointer, read_versioned, replace_versions
 
 # Tables written by start date, so that a quarter can be read or replaced on its own.
 PARTITIONED = ["au_stratum", "au_stratum_sda", "au_stratum_shadow"]
 
+# Those of them whose quarters are replaced.
+VERSIONED = ["au_stratum"]
+
 # What tells the appended rows apart. Scores may lack an id, and then share their run's stamp.
 KEYS = {
     "au_stratum_score": ["au_stratum_id", "metric", "post_stamp"],
@@ -49,6 +55,9 @@ def ingest_table(df: DataFrame, root: str, table: str) -> None:
 def read_table(spark: SparkSession, root: str, table: str, fmt: str = "parquet") -> DataFrame:
     """An ingested table under `root`; a history table may not exist yet."""
     schema = TABLES[table]
+    if table in VERSIONED and fmt == "parquet":
+        df = read_versioned(spark, f"{root}/{table}", schema)
+        return spark.createDataFrame([], schema) if df is None else df.select(*schema.fieldNames())
     reader = spark.read.format(fmt).schema(schema)
     try:
         df = reader.load(f"{root}/{table}")
@@ -65,7 +74,10 @@ def read_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 
 
 def append_rows(df: DataFrame, root: str, table: str) -> None:
-    """Append rows to a history table."""
+    """Append rows to a history table. One with replaced quarters shows those from their versions
+    only, so it is not appended to any more."""
+    if table in VERSIONED and read_pointer(df.sparkSession, f"{root}/{table}").versions:
+        raise ValueError(f"{table} has replaced quarters; replace quarters of it instead")
     writer = conform(df, table).write.mode("append")
     if table in PARTITIONED:
         writer = writer.partitionBy("start_date")
@@ -85,20 +97,18 @@ def append_new_rows(spark: SparkSession, df: DataFrame, root: str, table: str) -
     append_rows(unwritten(conform(df, table), stored, KEYS[table]), root, table)
 
 
-def replace_quarters(df: DataFrame, root: str, table: str, stages: Stages | None = None) -> None:
+def replace_quarters(
+    df: DataFrame, root: str, table: str, stages: Stages | None = None, name: str | None = None,
+    state: DataFrame | None = None, since: date | None = None,
+) -> None:
     """Replace the start dates that occur in `df`, leaving the table's others alone.
 
-    What derives from the table itself must not be read while it is replaced: either `df`
-    has been written already, or `stages` are given to write it first. Then the step can
-    be repeated if it is interrupted.
+    They are written as a new version, which readers see all at once or not at all. A step
+    that is repeated under the same `name` replaces nothing twice. `state` is kept with the
+    version, as what derives from the table from `since` on. With `stages` the rows are written
+    there first, so that a costly `df` is computed once.
     """
     staged = conform(df, table)
     if stages is not None:
         staged = stages.keep(staged, f"replace-{table}")
-    (
-        staged.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("start_date")
-        .parquet(f"{root}/{table}")
-    )
-
+    replace_versions(staged, f"{root}/{table}", name or uuid.uuid4().hex, state, since)

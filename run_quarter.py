@@ -7,7 +7,7 @@ from datetime import date
 
 from pyspark.sql import SparkSession
 
-from doseline.plans.quarter import Options, publish_quarter, run_quarter
+from doseline.plans.quarter import Options, run_and_publish, run_quarter
 from doseline.session import Stages, configure
 from doseline.sources.tables import read_tables
 
@@ -24,11 +24,11 @@ def main() -> None:
     spark = configure(SparkSession.builder.appName("doseline-quarter").getOrCreate())
     options = Options(as_of=args.as_of)
     stages = Stages(spark, args.stages or f"{args.tables.rstrip('/')}/_stages")
-    tables = read_tables(spark, args.tables)
-    result = run_quarter(spark, tables, args.calc_date, options, stages.keep)
+    if args.publish:  # also finishes a run that died
+        result = run_and_publish(spark, args.tables, args.calc_date, options, stages)
+    else:
+        result = run_quarter(spark, read_tables(spark, args.tables), args.calc_date, options, stages.keep)
     result["levels"].orderBy("strat_level").show()
-    if args.publish:
-        publish_quarter(spark, result, args.tables)
     spark.stop()
 
 

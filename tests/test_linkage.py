@@ -3,6 +3,7 @@ from __future__ import annotations
 from datetime import date, datetime
 from decimal import Decimal as Dec
 
+import numpy as np
 import pytest
 from conftest import rows
 
@@ -127,3 +128,44 @@ def test_a_stratum_without_a_date_is_neither_first_nor_last(make):
     assert rows(linkage.first_stratum(strata)) == [(1, "M", "2020-04-01")]
     assert rows(linkage.last_stratum(strata), "last_strat") == [("H",)]
     assert rows(linkage.strata_endpoints(strata, date(2020, 1, 1)), "first_strat", "pqd_strat") == [("M", "H")]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_endpoints_from_a_state_equal_those_of_all_strata(spark, seed):
+    """However the strata are dealt to states, and wherever the awaiting ones are."""
+    draw = np.random.default_rng(seed)
+    days = [None, *(date(2018 + q // 4, q % 4 * 3 + 1, 1) for q in range(12))]
+    data = [
+        (i, int(draw.integers(12)), days[draw.integers(len(days))], "LMH"[draw.integers(3)],
+         int(draw.integers(50)) if draw.random() < 0.6 else None)
+        for i in range(300)
+    ]
+    strata = spark.createDataFrame(data, "au_stratum_id long, auth_no long, start_date date, strat_level string, stratum_sda_id long")
+    since = date(2019, 4, 1)
+    want = [r for r in rows(linkage.strata_endpoints(strata, since)) if any(v is not None for v in r[1:])]
+    parts = [strata.where(f"pmod(hash(au_stratum_id), 3) = {k}") for k in range(3)]
+    state = linkage.settled_strata(parts[0], since)
+    for part in (*parts[1:], parts[0]):  # one of them twice
+        state = linkage.combined_states(state, linkage.settled_strata(part, since))
+    for rest in (linkage.awaiting_strata(strata, since), strata):
+        got = linkage.endpoints_from_state(state, rest, since)
+        assert [r for r in rows(got) if any(v is not None for v in r[1:])] == want
+
+    def plain(no):
+        own = sorted((d, i, level, ratio) for i, a, d, level, ratio in data if a == no and d)
+        held = [s for s in own if s[0] < since or s[3] is not None]
+        return own[0][2], held[-1][2] if held else None, held[-1][3] if held else None, own[-1][2], own[-1][3]
+
+    names = ("first_strat", "last_strat", "last_stratum_sda_id", "pqd_strat", "pqd_sda_id")
+    for no, *values in rows(linkage.endpoints_from_state(state, strata, since), "auth_no", *names):
+        assert tuple(values) == plain(no)
+
+
+def test_awaiting_strata_are_read_by_quarter(spark, make, tmp_path):
+    make("au_stratum", stratum(1, 1, "2019-10-01", "M"), stratum(2, 1, "2020-01-01", "M")).write.partitionBy(
+        "start_date"
+    ).parquet(str(tmp_path / "s"))
+    stored = spark.read.parquet(str(tmp_path / "s"))
+    plan = linkage.awaiting_strata(stored)._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "start_date" in filters and "IsNull(stratum_sda_id)" in plan

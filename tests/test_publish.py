@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from doseline.operators import publish
 from doseline.session import Stages
+from doseline.sources import runs, versions
 from doseline.sources.tables import append_new_rows, append_rows, ingest_table, read_table, replace_quarters
 
 NOW = datetime(2020, 7, 3, 12)
@@ -121,3 +122,70 @@ def test_appending_again_adds_nothing(spark, make, tmp_path):
 def test_codes_are_trimmed_on_ingest(spark, make, tmp_path):
     ingest_table(make("ma_cond_ass", (1, "152  "), (2, "153")), str(tmp_path), "ma_cond_ass")
     assert rows(read_table(spark, str(tmp_path), "ma_cond_ass")) == [(1, "152"), (2, "153")]
+
+
+def test_a_reader_sees_a_replacement_whole_or_not_at_all(spark, make, tmp_path, monkeypatch):
+    root, folder = str(tmp_path), str(tmp_path / "au_stratum")
+    table = strata(make)
+    undated = table.limit(1).withColumns({"start_date": F.lit(None).cast("date"), "au_stratum_id": F.lit(9).cast("long")})
+    append_rows(table.unionByName(undated), root, "au_stratum")
+    before = rows(read_table(spark, root, "au_stratum"))
+    changed = read_table(spark, root, "au_stratum").withColumn("sda_rule", F.lit("FPN"))
+    early = read_table(spark, root, "au_stratum")
+    with monkeypatch.context() as patch:
+        patch.setattr(versions, "_switch", lambda *_: (_ for _ in ()).throw(InterruptedError))
+        with pytest.raises(InterruptedError):
+            replace_quarters(changed, root, "au_stratum", name="a")
+    # Written in full, but not switched to.
+    assert rows(read_table(spark, root, "au_stratum")) == before and versions.read_pointer(spark, folder).seq == 0
+    replace_quarters(changed, root, "au_stratum", name="a")
+    after = rows(read_table(spark, root, "au_stratum"))
+    assert rows(early) == before and after != before
+    assert sorted(r[0] for r in after) == [1, 2, 3, 9]
+    assert {r for (r,) in rows(read_table(spark, root, "au_stratum"), "sda_rule")} == {"FPN"}
+    replace_quarters(read_table(spark, root, "au_stratum").where("false"), root, "au_stratum", name="b")
+    replace_quarters(changed.withColumn("sda_rule", F.lit("NOR")), root, "au_stratum", name="a")
+    assert rows(read_table(spark, root, "au_stratum")) == after and versions.read_pointer(spark, folder).seq == 1
+    with pytest.raises(ValueError, match="replaced quarters"):
+        append_rows(table, root, "au_stratum")
+
+
+def test_versions_are_pruned_and_older_ones_shadowed(spark, make, tmp_path):
+    root, folder = str(tmp_path), str(tmp_path / "au_stratum")
+    append_rows(strata(make), root, "au_stratum")
+    for rule in ("FPN", "PQD", "FPC"):
+        july = read_table(spark, root, "au_stratum").where("start_date = DATE '2020-07-01'")
+        replace_quarters(july.withColumn("sda_rule", F.lit(rule)), root, "au_stratum", name=rule)
+    table = read_table(spark, root, "au_stratum")
+    assert rows(table, "au_stratum_id", "sda_rule") == [(1, "NOR"), (2, "FPC"), (3, "FPC")]
+    assert versions.read_pointer(spark, folder).versions == {date(2020, 7, 1): "FPC"}
+    current = [f for f in table.inputFiles() if "/_versions/" in f]
+    assert current and all("/version=FPC/start_date=2020-07-01/" in f for f in current)
+    plan = table.where("start_date = DATE '2020-04-01'")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PartitionFilters: [") == 2 and "PartitionFilters: []" not in plan
+
+
+def test_state_goes_with_the_version_it_was_made_for(spark, make, tmp_path):
+    root, folder = str(tmp_path), str(tmp_path / "au_stratum")
+    append_rows(strata(make), root, "au_stratum")
+    assert versions.read_state(spark, folder, date(2020, 1, 1)) is None
+    table = read_table(spark, root, "au_stratum")
+    replace_quarters(table, root, "au_stratum", name="a", state=table.select("auth_no"), since=date(2020, 1, 1))
+    assert versions.read_state(spark, folder, date(2020, 1, 1)).count() == 3
+    assert versions.read_state(spark, folder, date(2020, 4, 1)) is None
+    replace_quarters(table, root, "au_stratum", name="b")
+    assert versions.read_state(spark, folder, date(2020, 1, 1)) is None
+
+
+def test_the_last_step_of_the_last_run_counts(spark, tmp_path):
+    root = str(tmp_path)
+    assert runs.last_run(spark, root) is None
+    first = runs.Run(date(2020, 4, 1), 1, runs.RESERVED, date(2020, 4, 9), date(2020, 4, 10), datetime(2020, 4, 10, 1, 2, 3, 456789), 5, 6)
+    runs.record(spark, root, first)
+    assert runs.last_run(spark, root) == first
+    staged = runs.advance(spark, root, first, runs.STAGED, "/stages")
+    assert runs.last_run(spark, root) == staged and staged.stages == "/stages" and staged.now == first.now
+    done = runs.advance(spark, root, staged, runs.DONE)
+    assert runs.last_run(spark, root) == done
+    second = runs.record(spark, root, runs.Run(date(2020, 4, 1), 2, runs.RESERVED, date(2020, 4, 9), date(2020, 4, 10), NOW, 7, 8))
+    assert runs.last_run(spark, root) == second and second.name == "2020-04-01-2"

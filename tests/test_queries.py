@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from datetime import date, timedelta
 
 import pytest
 from checks.compare import compare, duck
@@ -13,8 +14,11 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
+from doseline.operators import linkage
 from doseline.plans import quarter
-from doseline.plans.quarter import Options, publish_quarter, run_quarter
+from doseline.plans.quarter import Options, publish_quarter, run_and_publish, run_quarter
+from doseline.session import Stages
+from doseline.sources import runs, versions
 from doseline.sources.tables import append_rows, read_table
 
 SMALL = "/root/testdata/sf0.001"
@@ -127,3 +131,107 @@ def test_a_quarter_before_the_linked_ones_is_stored_whole(spark, tmp_path):
     assert {r.au_stratum_id for r in result["strata"].collect()} <= ids and -1 in ids
     assert len(ids) == tables["au_stratum"].count() + result["strata"].count()
     assert -1 in {r.au_stratum_id for r in result["au_stratum"].collect()}
+
+
+LATER = {**vars(Options(now=None, linked_since=SINCE, reset_quarter=RESET_QUARTER)), "as_of": CALC + timedelta(days=1)}
+
+
+@pytest.fixture(scope="module")
+def world(spark, tmp_path_factory):
+    """The tables written once, so that every run of the job reads the same."""
+    t, root = Proxies(spark, SMALL), str(tmp_path_factory.mktemp("world"))
+    for name, df in t.all().items():
+        df.write.parquet(f"{root}/{name}")
+    return {name: spark.read.parquet(f"{root}/{name}") for name in t.all()}
+
+
+def start(world, root):
+    for name in HISTORY_TABLES:
+        append_rows(world[name], root, name)
+    return {name: df for name, df in world.items() if name not in HISTORY_TABLES}
+
+
+JOB = Options(now=NOW, linked_since=SINCE, reset_quarter=RESET_QUARTER)
+
+
+def broken_off(stop, monkeypatch):
+    """Lets the job die after so many of its steps: staging, recording it, three appends, the
+    replacement, the last record."""
+    done = []
+
+    def step(work):
+        def limited(*args):
+            if len(done) == stop:
+                raise InterruptedError
+            out = work(*args)
+            done.append(work)
+            return out
+
+        return limited
+
+    for owner, name in (
+        (quarter, "run_quarter"), (quarter, "append_new_rows"), (quarter, "replace_quarters"), (runs, "advance")
+    ):
+        monkeypatch.setattr(owner, name, step(getattr(owner, name)))
+
+
+@pytest.fixture(scope="module")
+def finished(spark, world, tmp_path_factory):
+    """A job that died while it computed and was run again a day later; its root, and the folder it staged."""
+    root = str(tmp_path_factory.mktemp("finished"))
+    inputs = start(world, root)
+    with pytest.MonkeyPatch.context() as patch:
+        broken_off(0, patch)
+        with pytest.raises(InterruptedError):
+            run_and_publish(spark, root, CALC, JOB, Stages(spark), inputs)
+    assert runs.last_run(spark, root).step == runs.RESERVED
+    stages = Stages(spark)
+    result = run_and_publish(spark, root, CALC, Options(**LATER), stages, inputs)
+    assert rows(read_table(spark, root, "au_stratum")) == rows(result["au_stratum"])
+    return root, stages
+
+
+def test_a_finished_job_equals_one_that_never_died(spark, run, finished):
+    tables, result = run
+    root, _ = finished
+    assert rows(read_table(spark, root, "au_stratum")) == rows(result["au_stratum"])
+    for name, fresh in (("au_stratum_sda", "ratios"), ("au_stratum_shadow", "shadow")):
+        assert rows(read_table(spark, root, name)) == rows(tables[name].unionByName(result[fresh]))
+
+
+@pytest.mark.parametrize("stop", range(1, 7))
+def test_a_job_run_again_after_it_died_ends_as_if_it_had_not(spark, world, finished, tmp_path, monkeypatch, stop):
+    """Run again whole, dated a day later and, once its rows are staged, with other inputs."""
+    root = str(tmp_path)
+    inputs = start(world, root)
+    # What it would compute has been computed from the same tables before.
+    monkeypatch.setattr(quarter, "run_quarter", lambda *args: None)
+    with monkeypatch.context() as patch:
+        broken_off(stop, patch)
+        with pytest.raises(InterruptedError):
+            run_and_publish(spark, root, CALC, JOB, finished[1], inputs)
+    assert runs.last_run(spark, root).step == (runs.RESERVED if stop == 1 else runs.STAGED)
+    with pytest.raises(ValueError, match="not finished"):
+        run_and_publish(spark, root, date(1999, 4, 20), JOB, finished[1], inputs)
+    if stop > 1:
+        inputs = {**inputs, "au_master": inputs["au_master"].limit(0)}
+        monkeypatch.undo()
+    run_and_publish(spark, root, CALC, Options(**LATER), finished[1], inputs)
+    assert runs.last_run(spark, root).step == runs.DONE
+    assert stored(spark, root) == stored(spark, finished[0])
+
+
+def test_two_quarters_one_after_the_other(spark, world, finished):
+    """The second run links to what the first one stored, and its state stands for all strata."""
+    root, _ = finished
+    inputs = {name: df for name, df in world.items() if name not in HISTORY_TABLES}
+    first = read_table(spark, root, "au_stratum")
+    state = versions.read_state(spark, f"{root}/au_stratum", SINCE)
+    assert rows(state) == rows(linkage.settled_strata(first, SINCE)) and state.count() > 0
+    history = {name: read_table(spark, root, name) for name in HISTORY_TABLES}
+    day, options = date(1999, 4, 15), Options(linked_since=SINCE, reset_quarter=None)
+    want = run_quarter(spark, {**inputs, **history}, day, options)  # knows no state
+    got = run_and_publish(spark, root, day, options, Stages(spark), inputs)
+    assert rows(got["au_stratum"]) == rows(want["au_stratum"])
+    assert rows(got["state"]) == rows(linkage.settled_strata(got["au_stratum"], SINCE))
+    assert got["au_stratum"].where("start_date = DATE '1999-04-01' AND stratum_sda_id IS NOT NULL").count() > 0
