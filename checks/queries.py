@@ -473,6 +473,29 @@ def level_counts(t: Proxies) -> DataFrame:
     return scoring.level_counts(_leveled(t))
 
 
+def _in_row(t: Proxies) -> DataFrame:
+    inputs = _inputs(t)
+    names = scoring.metric_names(t["cd_stratum_metric"], CALC, inputs.columns)
+    return scoring.score_in_row(inputs, names, t["cd_stratum_pop_model"])
+
+
+@check("scores_in_row", "SELECT * FROM lines")
+def scores_in_row(t: Proxies) -> DataFrame:
+    """The score lines made inside the rows of the population."""
+    return scoring.lines_of(_in_row(t))
+
+
+@check(
+    "levels_in_row",
+    "SELECT kcid, auth_no, age, total_score, missing_data, strat_level, svc_hrs_req FROM leveled",
+)
+def levels_in_row(t: Proxies) -> DataFrame:
+    """Total, flag and level made inside the rows of the population."""
+    return scoring.level_in_row(_in_row(t).drop("lines"), t["cd_stratum_tier"]).select(
+        "kcid", "auth_no", "age", "total_score", "missing_data", "strat_level", "svc_hrs_req"
+    )
+
+
 # --- Service-dose ratio ---------------------------------------------------------------
 
 

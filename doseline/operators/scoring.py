@@ -7,6 +7,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from doseline.functions.dates import as_date
 from doseline.operators.lookups import attach, range_lookup
@@ -92,6 +93,89 @@ def tier_lookup(totals: DataFrame, tiers: DataFrame) -> DataFrame:
     )
 
 
+def _ranges_by_key(table: DataFrame, fields: list[str], name: str) -> DataFrame:
+    """One row per program and age group with all its ranges of a configuration table, sorted."""
+    ranges = F.sort_array(F.collect_list(F.struct("range_low", "range_high", *fields, "start_date", "end_date")))
+    keyed = table.where(F.col("program").isNotNull() & F.col("age_group").isNotNull())
+    return keyed.groupBy("program", "age_group").agg(ranges.alias(name))
+
+
+def _in_force(entry: Column, day: Column) -> Column:
+    return day.between(entry["start_date"], entry["end_date"])
+
+
+def _holds(entry: Column, value: Column, day: Column) -> Column:
+    return value.between(entry["range_low"], entry["range_high"]) & _in_force(entry, day)
+
+
+def score_in_row(df: DataFrame, metrics: list[str], model: DataFrame) -> DataFrame:
+    """Adds `lines`, the scored lines of each row as an array, and their `total_score` and
+    `missing_data`; the row stays one row.
+
+    The same as unpivoting, restricting to the model, scoring and totalling, for input with one
+    row per authorization: the model meets each row once, as the ranges of its program and
+    age group, and nothing is shuffled but, beyond the broadcast threshold, the rows by that
+    key. A line has the scores of all ranges that hold its value, where there are several.
+    """
+    model = model.withColumn("metric", F.rtrim("metric"))
+    joined = df.join(_ranges_by_key(model, ["metric", "score"], "_ranges"), ["program", "age_group"], "left")
+    day = F.col("calc_date")
+
+    def line(metric: str) -> Column:
+        value = F.col(metric).cast(VALUE)
+        hits = F.filter("_ranges", lambda entry: (entry["metric"] == metric) & _holds(entry, value, day))
+        return F.struct(
+            F.lit(metric).alias("metric"), value.alias("value"), F.col(f"{metric}_missing_data").alias("missing_data"),
+            F.transform(hits, lambda entry: entry["score"].cast(VALUE)).alias("scores"),
+        )
+
+    used = F.transform(F.filter("_ranges", lambda entry: _in_force(entry, day)), lambda entry: entry["metric"])
+    lines = F.filter(F.array(*map(line, metrics)), lambda entry: F.array_contains(F.col("_used"), entry["metric"]))
+    lined = joined.withColumn("_used", F.array_distinct(used)).withColumn("lines", lines)
+    zero = F.lit(0).cast(VALUE)
+    scores = F.flatten(F.transform("lines", lambda entry: entry["scores"]))
+    total = F.aggregate(scores, zero, lambda so_far, score: (so_far + F.coalesce(score, zero)).cast(VALUE))
+    complete = F.size("lines") > 0
+    for key in TOTAL_KEYS:
+        complete &= F.col(key).isNotNull()
+    return lined.select(
+        *[F.col(c) for c in df.columns],
+        "lines",
+        F.when(complete, total).alias("total_score"),
+        F.when(complete, F.array_max(F.transform("lines", lambda entry: entry["missing_data"]))).alias("missing_data"),
+    )
+
+
+def lines_of(scored: DataFrame) -> DataFrame:
+    """The lines of `score_in_row` as rows, for storing: one per score, one of 0 without any."""
+    each = scored.select(*TOTAL_KEYS, F.explode("lines").alias("line"))
+    score = F.explode_outer("line.scores").alias("score")
+    rows = each.select(*TOTAL_KEYS, "line.metric", "line.value", score, "line.missing_data")
+    return rows.withColumn("score", F.coalesce("score", F.lit(0).cast(VALUE)))
+
+
+def level_in_row(scored: DataFrame, tiers: DataFrame) -> DataFrame:
+    """Adds `strat_level` and `svc_hrs_req` for the total; children under six are high, their hours
+    unchanged. Tiers in force that overlap at a total are an error, as one row has one level."""
+    joined = scored.join(
+        _ranges_by_key(tiers, ["strat_level", "svc_hrs_req"], "_tiers"), ["program", "age_group"], "left"
+    )
+    held = F.filter("_tiers", lambda entry: _holds(entry, F.col("total_score"), F.col("calc_date")))
+    overlap = F.raise_error(F.lit("tiers of one program and age group overlap"))
+    found = F.when(F.size("_held") > 1, overlap.cast(_entry_type(tiers))).otherwise(F.get("_held", F.lit(0)))
+    young = F.col("age") < YOUNG_AGE
+    return joined.withColumn("_held", held).withColumn("_tier", found).select(
+        *[F.col(c) for c in scored.columns],
+        F.when(young, YOUNG_LEVEL).otherwise(F.col("_tier.strat_level")).alias("strat_level"),
+        F.col("_tier.svc_hrs_req").alias("svc_hrs_req"),
+    )
+
+
+def _entry_type(tiers: DataFrame) -> T.StructType:
+    names = ["range_low", "range_high", "strat_level", "svc_hrs_req", "start_date", "end_date"]
+    return T.StructType([tiers.schema[name] for name in names])
+
+
 def assign_level(pop: DataFrame, tiers: DataFrame) -> DataFrame:
     """Attach totals and tiers; children under six are high, their hours unchanged."""
     leveled = attach(pop, tiers, TOTAL_KEYS)

@@ -19,7 +19,7 @@ from doseline.sources.versions import read_state
 
 Tables = dict[str, DataFrame]
 STATE = "stratum_state"  # of settled strata, among the tables where there is one
-STAGED = ["population", "score_lines", "complete", "strata", "scores", "ratios", "shadow", "replaced", "state"]
+STAGED = ["population", "scored", "complete", "strata", "scores", "ratios", "shadow", "replaced", "state"]
 
 
 @dataclass(frozen=True)
@@ -109,12 +109,9 @@ def run_quarter(
     inputs = keep(with_inputs(pop, tables, calc_date, options), "inputs")
 
     metrics = scoring.metric_names(tables["cd_stratum_metric"], calc_date, inputs.columns)
-    lines = scoring.score_lines(
-        scoring.to_score_input(inputs, metrics), tables["cd_stratum_pop_model"]
-    )
-    lines = keep(lines, "score_lines")
-    tiers = scoring.tier_lookup(scoring.total_score(lines), tables["cd_stratum_tier"])
-    leveled = scoring.assign_level(inputs, tiers)
+    scored = keep(scoring.score_in_row(inputs, metrics, tables["cd_stratum_pop_model"]), "scored")
+    lines = scoring.lines_of(scored)
+    leveled = scoring.level_in_row(scored.drop("lines"), tables["cd_stratum_tier"])
 
     ratios = dosage.dose_ratio(
         pop, history, tables["cd_stratum_tier"], tables["au_master"], tables["ea_cpt_service"],
@@ -265,4 +262,5 @@ def run_and_publish(
 def staged_rows(spark: SparkSession, run: runs.Run) -> Tables:
     """What a staged run has computed, without the stratum table as a whole."""
     result = {name: spark.read.parquet(f"{run.stages}/{name}") for name in STAGED}
-    return {**result, "levels": scoring.level_counts(result["complete"])}
+    lines = scoring.lines_of(result.pop("scored"))
+    return {**result, "score_lines": lines, "levels": scoring.level_counts(result["complete"])}

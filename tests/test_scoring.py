@@ -1,7 +1,9 @@
 from __future__ import annotations
 
+from datetime import date, timedelta
 from decimal import Decimal as Dec
 
+import numpy as np
 import pytest
 from conftest import day, rows
 
@@ -88,3 +90,53 @@ def test_tiers_and_young_children(inputs, make, frame):
     ]
     assert rows(scoring.level_counts(leveled)) == [("H", 1), ("L", 1)]
     assert day(None) is None
+
+
+def test_scores_in_the_row_equal_those_of_lines(inputs, model, make):
+    tiers = make("cd_stratum_tier", ("400", "A", 0, 5, "L", 2.5, *ALWAYS), ("400", "A", 5.001, 20, "M", 6, *ALWAYS))
+    metrics = ["LOCUS", "HMLES"]
+    lines = scoring.score_lines(scoring.to_score_input(inputs, metrics), model)
+    scored = scoring.score_in_row(inputs, metrics, model)
+    assert scored.count() == inputs.count()
+    assert rows(scoring.lines_of(scored).select(*lines.columns)) == rows(lines)
+    want = scoring.assign_level(inputs, scoring.tier_lookup(scoring.total_score(lines), tiers))
+    columns = ("kcid", "auth_no", "total_score", "missing_data", "strat_level", "svc_hrs_req")
+    got = scoring.level_in_row(scored.drop("lines"), tiers)
+    assert rows(got, *columns) == rows(want, *columns) and got.count() == 4
+    plan = scoring.score_in_row(inputs, metrics, model)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and plan.count("Aggregate") == 1  # of the model
+
+
+def test_random_scores_in_the_row(frame, make):
+    draw = np.random.default_rng(4)
+    flags, metrics = ["N", "Y", None], ["M1", "M2", "M3"]
+
+    def entry():
+        low = int(draw.integers(0, 20))
+        first = date(2020, 1, 1) + timedelta(days=int(draw.integers(0, 300)))
+        return (
+            str(draw.choice(["400", "401"])), str(draw.choice(["A", "C"])), str(draw.choice(metrics + ["M9"])) + "  ",
+            low, low + int(draw.integers(0, 9)), int(draw.integers(1, 9)), first, first + timedelta(days=200),
+        )
+
+    model = make("cd_stratum_pop_model", *[entry() for _ in range(60)])
+    data = [
+        (i, i, str(draw.choice(["400", "401", "402"])), [None, "A", "C"][draw.integers(3)],
+         date(2020, 1, 1) + timedelta(days=int(draw.integers(0, 500))), 9,
+         *[v for _ in metrics for v in (None if draw.random() < 0.1 else int(draw.integers(0, 30)), flags[draw.integers(3)])])
+        for i in range(200)
+    ]
+    columns = ", ".join(f"{m} int, {m}_missing_data string" for m in metrics)
+    people = frame(f"kcid long, auth_no long, program string, age_group string, calc_date date, age int, {columns}", *data)
+    lines = scoring.score_lines(scoring.to_score_input(people, metrics), model)
+    scored = scoring.score_in_row(people, metrics, model)
+    assert rows(scoring.lines_of(scored).select(*lines.columns)) == rows(lines) != []
+    totals = scoring.total_score(lines)
+    known = scored.where("total_score IS NOT NULL")
+    assert rows(known, *totals.columns) == rows(totals)
+
+
+def test_overlapping_tiers_are_an_error(inputs, model, make):
+    tiers = make("cd_stratum_tier", ("400", "A", 0, 20, "L", 2.5, *ALWAYS), ("400", "A", 5, 20, "M", 6, *ALWAYS))
+    with pytest.raises(Exception, match="overlap"):
+        scoring.level_in_row(scoring.score_in_row(inputs, ["LOCUS"], model), tiers).collect()
