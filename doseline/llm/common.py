@@ -51,6 +51,13 @@ def row_key(id_col: str, text_col: str) -> Column:
     return F.concat_ws(":", sha, F.col(id_col).cast("string"))
 
 
+def beside(docs: DataFrame, **columns: Column) -> DataFrame:
+    """The rows of `docs`, each packed whole in one column `row`, beside working columns made from
+    them: none of these can clash with a caller's column, which `select("row.*")` brings back."""
+    working = [column.alias(name) for name, column in columns.items()]
+    return docs.select(F.struct(F.col("*")).alias("row"), *working)
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir. Unset, a temporary one, in local mode only."""
     root = spark.conf.get("spark.checkpoint.dir", None)

@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from doseline.llm.common import row_key
+from doseline.llm.common import beside, row_key
 
 # Word offsets a seed compares; the others are ignored. Together they hit every window of
 # the lengths below with as many substitutions as `allowed` grants, at any places.
 MASKS = ((0, 1, 2, 3, 4), (0, 1, 2, 5, 6))
 WINDOW = 13
-LEAST_WORDS = 5
+LEAST_WORDS = 5  # of an overlap that masks are laid on; shorter items are compared whole
+# Scripts written without blanks between words: each of their letters counts as a word.
+UNSPACED = r"([\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}])"
 SEGMENT = 244
 BROADCAST_SEEDS = 1_000_000  # rows of 24 bytes; more are joined by a shuffle
 
@@ -22,18 +24,29 @@ def allowed(window: Column) -> Column:
 
 
 def words_of(text: Column) -> Column:
-    """Lower-case runs of letters and digits."""
-    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), "")
+    """Lower-case runs of letters and digits, and single letters of scripts without blanks."""
+    spaced = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), UNSPACED, " $1 ")
+    return F.array_remove(F.split(spaced, r"[^\p{L}\p{N}]+"), "")
 
 
-def seeds(words: Column, at: Column, masks: tuple[tuple[int, ...], ...] = MASKS) -> Column:
-    """Hash of each mask laid on a position, null where it would stand out."""
+def masks_for(lengths: list[int]) -> dict[int, tuple[int, ...]]:
+    """The masks by number, and one under -n for whole items of n words."""
+    return {**dict(enumerate(MASKS)), **{-n: tuple(range(n)) for n in lengths}}
+
+
+def seeds(words: Column, at: Column, masks: dict[int, tuple[int, ...]], window: Column | None = None) -> Column:
+    """Hash of each mask laid on a position, null where it would stand out. An item, which has a
+    `window`, takes the mask of its length if it is short, and else the others."""
+
+    def fits(number: int, mask: tuple[int, ...]) -> Column:
+        inside = at + mask[-1] < F.size(words)
+        if window is None:
+            return inside
+        return inside & (window == -number if number < 0 else window >= LEAST_WORDS)
+
     return F.array(*[
-        F.when(
-            at + mask[-1] < F.size(words),
-            F.xxhash64(F.lit(number), *[F.get(words, at + k) for k in mask]),
-        )
-        for number, mask in enumerate(masks)
+        F.when(fits(number, mask), F.xxhash64(F.lit(number), *[F.get(words, at + k) for k in mask]))
+        for number, mask in masks.items()
     ])
 
 
@@ -49,10 +62,10 @@ def segments(frame: DataFrame) -> DataFrame:
     return frame.select(*others, F.explode(pieces).alias("_piece")).select(*others, "_piece.base", "_piece.words")
 
 
-def planted(pieces: DataFrame) -> DataFrame:
+def planted(pieces: DataFrame, masks: dict[int, tuple[int, ...]], window: Column | None = None) -> DataFrame:
     """A row per seed of the pieces' `words`: its place `at` in the piece, and hash `seed`."""
     placed = pieces.select("*", F.posexplode("words").alias("at", "_word")).drop("_word")
-    placed = placed.select("*", F.explode(seeds(F.col("words"), F.col("at"))).alias("seed"))
+    placed = placed.select("*", F.explode(seeds(F.col("words"), F.col("at"), masks, window)).alias("seed"))
     return placed.where("seed IS NOT NULL")
 
 
@@ -64,7 +77,7 @@ def overlap_start(*names: str) -> Column:
     the words that agree. They are at most `WINDOW` in number and in length.
     """
     words, at, item_words, item_at, window = map(F.col, names)
-    low = F.greatest(F.lit(0), item_at - at, item_at + LEAST_WORDS - window)
+    low = F.greatest(F.lit(0), item_at - at, item_at + F.least(F.lit(LEAST_WORDS), window) - window)
     high = F.least(item_at, F.size(item_words) - window, F.size(words) - window + item_at - at)
 
     def agrees(start: Column) -> Column:
@@ -92,27 +105,32 @@ def contaminated(
     or all of a shorter one, that the document has with at most 2 words substituted (1 in 8
     to 12 words, none in fewer). `start_word` is where the first one starts. Every window of
     both sides is searched: seeds of all positions are joined by hash, and each hit is
-    verified word by word.
+    verified word by word. Items of 1 to 4 words are found where a document has them whole, by
+    a hash of as many words; documents are hashed so only for lengths that occur among the
+    items. Letters of scripts without blanks between words are words.
 
     Seeds of the items are broadcast if there are at most `broadcast_seeds`, which is
     counted first; hits are then verified where they are found, without a shuffle of texts.
     Otherwise seeds are joined by a shuffle, and the pieces with hits are looked up again.
 
-    Null texts are empty. Items of fewer than 5 words are not searched. Rows that repeat an
+    Null texts are empty. Items without a word are in no document. Rows that repeat an
     id give one result; a null id is an id of its own. Other columns are not read; empty
     tables give an empty result.
     """
     targets = items.select(F.col(item_col).alias("_item"), words_of(F.col(item_text_col)).alias("words"))
-    targets = targets.where(F.size("words") >= LEAST_WORDS).distinct()
+    targets = targets.where(F.size("words") > 0).distinct()
+    short = targets.where(F.size("words") < LEAST_WORDS).select(F.size("words").alias("n")).distinct()
+    masks = masks_for(sorted(row.n for row in short.collect()))  # at most four lengths
     targets = targets.withColumn("_window", F.least(F.lit(WINDOW), F.size("words")))
     targets = segments(targets).withColumnsRenamed({"base": "_item_base", "words": "_item_words"})
-    item_seeds = planted(targets.select("_item", "_item_base", F.col("_item_words").alias("words")))
+    laid = targets.select("_item", "_item_base", F.col("_item_words").alias("words"), "_window")
+    item_seeds = planted(laid, masks, F.col("_window"))
     item_seeds = item_seeds.select("_item", "_item_base", F.col("at").alias("_item_at"), "seed")
     corpus = segments(docs.select(F.col(id_col).alias("_id"), words_of(F.col(text_col)).alias("words")))
     if item_seeds.limit(broadcast_seeds + 1).count() <= broadcast_seeds:
-        hits = planted(corpus).join(F.broadcast(item_seeds), "seed")
+        hits = planted(corpus, masks).join(F.broadcast(item_seeds), "seed")
     else:
-        found = planted(corpus).select(F.col("_id").alias("_hit"), F.col("base").alias("_hit_base"), "at", "seed")
+        found = planted(corpus, masks).select(F.col("_id").alias("_hit"), F.col("base").alias("_hit_base"), "at", "seed")
         found = found.join(item_seeds, "seed").distinct()
         here = F.col("_id").eqNullSafe(F.col("_hit")) & (F.col("base") == F.col("_hit_base"))
         hits = corpus.join(found, here)
@@ -136,7 +154,8 @@ def drop_contaminated(
 ) -> DataFrame:
     """The rows of `docs` that overlap no item, with all their columns. Each row is judged by
     its own text, whatever others share its id."""
-    rows = docs.withColumn("_row", row_key(id_col, text_col))
-    found = contaminated(rows.select("_row", F.col(text_col).alias("_text")), items, "_row", "_text", item_col, item_text_col)
-    found = found.select(F.col("_row").alias("_found")).distinct()
-    return rows.join(found, F.col("_row") == F.col("_found"), "left_anti").drop("_row")
+    rows = beside(docs, key=row_key(id_col, text_col), text=F.col(text_col))
+    named = items.select(F.col(item_col).alias("item"), F.col(item_text_col).alias("text"))
+    found = contaminated(rows.select("key", "text"), named, "key", "text", "item", "text")
+    found = found.select(F.col("key").alias("found")).distinct()
+    return rows.join(found, F.col("key") == F.col("found"), "left_anti").select("row.*")

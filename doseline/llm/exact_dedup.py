@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from doseline.llm.common import beside
+
 # Any run of white space other than one single blank; a single blank stays as it is.
 UNEVEN_SPACE = r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+"
 
@@ -67,11 +69,13 @@ def exact_groups(
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `docs` that stay, with all their columns; of repeated rows one stays."""
 
-    def key(sha: Column) -> Column:
-        """Id and text in one, so that the rows found are already dealt by what repeats."""
-        return F.concat_ws(":", sha, F.col(id_col).cast("string"))
+    def key(sha: str, own: str) -> Column:
+        """Text and id in one, so that the rows found are already dealt by what repeats."""
+        return F.concat_ws(":", sha, F.col(own).cast("string"))
+
+    groups = exact_groups(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "id", "text")
 
-    stays = exact_groups(docs, id_col, text_col).where("kept")
-    stays = stays.select(key(F.col("text_sha256")).alias("_stays"))
-    rows = docs.withColumn("_row", key(F.sha2(normal_text(F.col(text_col)), 256)))
-    return rows.join(stays, F.col("_row") == F.col("_stays"), "left_semi").dropDuplicates(["_row"]).drop("_row")
+    stays = groups.where("kept").select(key("text_sha256", "id").alias("stays"))
+    rows = beside(docs, sha=F.sha2(normal_text(F.col(text_col)), 256), id=F.col(id_col))
+    rows = rows.select("row", key("sha", "id").alias("key"))
+    return rows.join(stays, F.col("key") == F.col("stays"), "left_semi").dropDuplicates(["key"]).select("row.*")

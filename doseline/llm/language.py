@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from doseline.llm.common import keep, row_key, struct, text_blocks
+from doseline.llm.common import beside, keep, row_key, struct, text_blocks
 
 UNKNOWN_LANGUAGE = "und"
 TRAINING_DOCS = 300  # of each language
@@ -321,8 +321,8 @@ def drop_unknown_languages(
     all their columns. Each row is judged by its own text, whatever others share its id."""
     taught = docs if learn is None else docs.where(learn)
     model = train(taught, path, id_col, text_col, lang_col, most, rounds)
-    rows = docs.withColumn("_row", row_key(id_col, text_col))
-    read = read_rows(rows, model, "_row", text_col)
+    rows = beside(docs, key=row_key(id_col, text_col), text=F.col(text_col))
+    read = read_rows(rows, model, "key", "text")
     known = read.where((F.col("lang_pred") != UNKNOWN_LANGUAGE) & (F.col("score") >= least))
-    known = known.select(F.col("_row").alias("_known")).distinct()
-    return rows.join(known, F.col("_row") == F.col("_known"), "left_semi").drop("_row")
+    known = known.select(F.col("key").alias("known")).distinct()
+    return rows.join(known, F.col("key") == F.col("known"), "left_semi").select("row.*")

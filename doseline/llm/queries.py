@@ -166,7 +166,7 @@ FROM ({source}), ({CRC_TABLE})
 ORACLE_SQL: dict[str, str] = {
     "op6_mixture": r"""
 WITH d AS (
-  SELECT doc_id, source,
+  SELECT doc_id, source, md5(coalesce(text, '')) AS digest,
          coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size
   FROM documents
 ), s AS (
@@ -188,14 +188,19 @@ WITH d AS (
 ), r AS (
   SELECT d.doc_id, d.size, t.source_size, t.target,
     CASE WHEN t.source_size = 0 THEN 0.0 ELSE t.target / t.source_size END AS rate,
-    ('0x' || substr(md5('17:' || coalesce(d.doc_id::VARCHAR, 'null')), 1, 13))::BIGINT::DOUBLE
-      / 4503599627370496.0 AS u
+    ('0x' || substr(md5('17:' || coalesce(d.doc_id::VARCHAR, 'null') || ':' || digest), 1, 13))::BIGINT::DOUBLE
+      / 4503599627370496.0 AS u,
+    count(*) OVER same AS n, row_number() OVER same AS k
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+  WINDOW same AS (PARTITION BY d.doc_id, d.source, digest)
+), e AS (
+  SELECT *, n * (rate - floor(rate)) AS due FROM r
+), c AS (
+  SELECT *, (floor(rate) + CASE WHEN k <= floor(due) + CASE WHEN u < due - floor(due) THEN 1 ELSE 0 END THEN 1 ELSE 0 END)::BIGINT AS copies
+  FROM e
 )
-SELECT doc_id, size, source_size, target,
-  (floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END)::BIGINT AS copies,
-  size * (floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END)::BIGINT AS taken
-FROM r
+SELECT doc_id, size, source_size, target, copies, size * copies AS taken
+FROM c
 """,
     "op7_warc": r"""
 WITH p AS (
@@ -211,15 +216,17 @@ FROM p LEFT JOIN f USING (payload_digest)
 """,
     "op9_decontamination": r"""
 WITH d AS (
-  SELECT DISTINCT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w
+  SELECT DISTINCT doc_id, list_filter(string_split_regex(regexp_replace(lower(coalesce(text, '')),
+    '([\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}])', ' \1 ', 'g'), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w
   FROM documents
 ), b AS (
-  SELECT DISTINCT item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w
+  SELECT DISTINCT item_id, list_filter(string_split_regex(regexp_replace(lower(coalesce(text, '')),
+    '([\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}])', ' \1 ', 'g'), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w
   FROM benchmark
 ), i AS (
   SELECT item_id, w, len(w) AS n, least(13, len(w)) AS win,
          greatest(0, (least(13, len(w)) - 3) // 5) AS subs
-  FROM b WHERE len(w) >= 5
+  FROM b WHERE len(w) >= 1
 ), dw AS (SELECT doc_id, len(w) AS n, unnest(w) AS word, unnest(range(len(w))) AS at FROM d),
 iw AS (SELECT item_id, n AS item_n, win, subs, unnest(w) AS word, unnest(range(n)) AS at FROM i),
 diagonals AS (

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from doseline.llm.common import BYTES_AT_ONCE, keep, row_key, text_blocks
+from doseline.llm.common import BYTES_AT_ONCE, beside, keep, row_key, text_blocks
 from doseline.llm.components import components
 
 BITS = 64
@@ -294,9 +294,9 @@ def drop_near_copies(
     """One document of each component, with all its columns: the one that names it. Of
     several texts under that id, or under none, the one with the smallest hash stays; rows
     repeated whole stay together."""
-    order = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col("_row").alias("row"))
-    rows = docs.withColumn("_row", row_key(id_col, text_col))
-    keyed = rows.select(order.alias("_key"), F.col(text_col).alias("_text"))
-    near = near_copies(keyed, "_key", "_text", shingle, radius, blocks)
-    stays = near.where(F.col("_key") == F.col("component_id")).select(F.col("_key.row").alias("_stays"))
-    return rows.join(stays.distinct(), F.col("_row") == F.col("_stays"), "left_semi").drop("_row")
+    rows = beside(docs, id=F.col(id_col), text=F.col(text_col), key=row_key(id_col, text_col))
+    order = F.struct(F.col("id").isNull().alias("none"), "id", F.col("key").alias("row"))
+    keyed = rows.select(order.alias("order"), "text")
+    near = near_copies(keyed, "order", "text", shingle, radius, blocks)
+    stays = near.where(F.col("order") == F.col("component_id")).select(F.col("order.row").alias("stays"))
+    return rows.join(stays.distinct(), F.col("key") == F.col("stays"), "left_semi").select("row.*")

@@ -24,11 +24,10 @@ def words(text):
 
 
 def sizes_and_copies(docs):
-    """Copies of each (id, source, text), by the rules of the mixture."""
-    size = {d: len(re.findall(r"[^\x20\x09-\x0D]+", t or "")) for d, _, t in docs}
+    """Copies of all rows of each (id, source, text), by the rules of the mixture."""
     total = Counter()
-    for d, source, _ in docs:
-        total[source] += size[d]
+    for _, source, text in docs:
+        total[source] += len(re.findall(r"[^\x20\x09-\x0D]+", text or ""))
     order = sorted(total, key=lambda s: (s is None, s))
     weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(order)}
     target, open_ones, rest = {}, set(order), sum(total.values())
@@ -43,10 +42,12 @@ def sizes_and_copies(docs):
         open_ones -= above
     target |= share
     out = {}
-    for d, source, _ in docs:
+    for (d, source, text), n in Counter((d, source, text or "") for d, source, text in docs).items():
         rate = target[source] / total[source] if total[source] else 0
-        draw = int(hashlib.md5(f"17:{d}".encode()).hexdigest()[:13], 16) / 16**13
-        out[d] = math.floor(rate) + (draw < rate - math.floor(rate))
+        digest = hashlib.md5(text.encode()).hexdigest()
+        draw = int(hashlib.md5(f"17:{'null' if d is None else d}:{digest}".encode()).hexdigest()[:13], 16) / 16**13
+        due = n * (rate - math.floor(rate))
+        out[d, source, text] = n * math.floor(rate) + math.floor(due) + (draw < due - math.floor(due))
     return out, target, total
 
 
@@ -73,7 +74,7 @@ def test_pipeline_equals_brute_force(spark):
     copies, _, _ = sizes_and_copies([(d, docs[d].source, docs[d].text) for d in left])
     result = corpus_pipeline.run(spark, SMALL)
     assert result.columns == frame.columns
-    assert Counter(r.doc_id for r in result.collect()) == Counter({d: n for d, n in copies.items() if n})
+    assert Counter(r.doc_id for r in result.collect()) == Counter({d: n for (d, _, _), n in copies.items() if n})
     assert {tuple(r) for r in result.collect()} <= {tuple(r) for r in docs.values()}
 
 
@@ -117,7 +118,14 @@ def test_texts_that_share_every_hash_are_never_merged(spark, monkeypatch):
 
 def test_mixture_of_odd_rows(spark):
     got = mixture.mix_counts(odd(spark)).collect()
-    copies, target, total = sizes_and_copies([r[:3] for r in ROWS if r[0] is not None] + [("null", "s", "a b c"), ("null", "t", "only")])
+    copies, _, _ = sizes_and_copies([(r[0], r[2], r[1]) for r in ROWS])
+    dealt = Counter()
+    for r in got:
+        dealt[r.doc_id, r.source, r.size] += r.copies
+    want = Counter()
+    for (d, source, text), n in copies.items():
+        want[d, source, len(text.split())] += n
+    assert dealt == want
     assert len(got) == len(ROWS)
     for r in got:
         assert r.taken == r.size * r.copies <= 3 * r.size and r.source_size >= r.size
@@ -134,7 +142,44 @@ def test_mixture_targets(spark):
     got = {r.doc_id: r for r in mixture.mix_counts(frame).collect()}
     for d, source, _ in docs:
         assert abs(got[d].target - target[source]) < 1e-6 and got[d].source_size == total[source]
-        assert got[d].copies == copies[d]
+        assert got[d].copies == copies[d, source, "w " * (d + 1)]
+
+
+def test_rows_without_ids_and_repeated_rows_draw_apart(spark):
+    """Each source comes near its target, whether or not its rows can be told apart."""
+    rows = [(None, "a", f"w{i} w w w w", i) for i in range(2_000)] + [(None, "b", "same five words in all", i % 3) for i in range(1_000)]
+    rows += [(7, "c", "w w w w w", 0)] * 1_000 + [(i, "d", "w " * 5, 0) for i in range(7_000)]
+    frame = spark.createDataFrame(rows, "doc_id long, source string, text string, n int")
+    got = mixture.mix_counts(frame).collect()
+    taken, target = Counter(), {}
+    for r in got:
+        taken[r.source] += r.taken
+        target[r.source] = r.target
+    for source in target:
+        assert abs(taken[source] - target[source]) <= 0.02 * target[source], (source, taken, target)
+    want = Counter()
+    for r in got:
+        want[r.source] += r.copies
+    mixed = mixture.mix(frame).collect()
+    assert Counter(r.source for r in mixed) == want
+    assert max(Counter(r for r in mixed if r.source == "a").values()) <= 3
+    assert sorted(map(tuple, mixture.mix(frame.repartition(5)).collect()), key=str) == sorted(map(tuple, mixed), key=str)
+
+
+def test_no_column_of_a_caller_is_lost(spark):
+    """Whatever its name, in any stage."""
+    names = ["key", "id", "sha", "found", "known", "stays", "order", "row", "digest", "n", "copies", "part", "rate", "copy",
+             "_row", "_ROW2", "_source", "_copy", "_rate", "_stays", "Size", "of_source", "same_id", "equal", "before", "_text"]
+    rows = [(1, "the cat and the dog went home", "en", "s", *names), (2, "the cow", "en", "t", *names)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, " + ", ".join(f"`{n}` string" for n in names))
+    items = spark.createDataFrame([(1, "none of these words")], "item_id long, text string")
+    taught = frame.unionByName(frame.withColumn("lang", frame.source))
+    for out in (
+        language.drop_unknown_languages(taught, PATH, least=0.0), exact_dedup.drop_exact_copies(frame), simhash.drop_near_copies(frame),
+        decontamination.drop_contaminated(frame, items), mixture.mix(frame),
+    ):
+        assert out.columns == frame.columns and out.schema == frame.schema
+        assert {r[4:] for r in out.collect()} == {tuple(names)}
 
 
 def rows_of(frame):
