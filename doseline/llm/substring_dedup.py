@@ -15,6 +15,7 @@ at boundaries. Runs of matched windows, whatever their sources, are removed.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 from functools import partial
 from itertools import compress
@@ -206,6 +207,22 @@ def ask(ids: list[int], texts: list[bytes], window: int, blocks: int) -> Iterato
     )
 
 
+def pack(data: bytes | None) -> bytes | None:
+    """A text as it travels: Spark's own codec, for shuffled blocks, leaves most of its size."""
+    return zlib.compress(data, 1) if data is not None else None
+
+
+def unpack(data: bytes | None) -> bytes:
+    return zlib.decompress(data) if data is not None else b""
+
+
+def pack_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, text), the text packed."""
+    for batch in batches:
+        packed = pa.array((pack(text.as_py()) for text in batch.column(1)), pa.binary())
+        yield pa.RecordBatch.from_arrays([batch.column(0), packed], schema=batch.schema)
+
+
 def ask_batches(batches: Iterator[pa.RecordBatch], window: int, blocks: int) -> Iterator[pa.RecordBatch]:
     """Documents (id, text), a chunk of about CHUNK_BYTES at a time."""
     ids, texts, size = [], [], 0
@@ -301,9 +318,9 @@ def check_batches(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa
             if number != own:
                 own, held = number, []
             if text.is_valid:
-                held.append(b" %b " % b" ".join(text.as_py().split()))
+                held.append(b" %b " % b" ".join(unpack(text.as_py()).split()))
                 continue
-            words = words.as_py()
+            words = unpack(words.as_py())
             if any(b" %b " % words in t for t in held):
                 continue
             split = words.split()
@@ -375,11 +392,11 @@ def cut_batches(
     for batch in batches:
         rows, checks = [], []
         for own, text, answers in zip(*batch.columns, strict=True):
-            data, own = text.as_py() or b"", own.as_py()
+            data, own = unpack(text.as_py()), own.as_py()
             keys, owners = (c.to_numpy() for c in answers.values.flatten()) if answers.is_valid else (none, none)
             rows.append(cut(data, keys, window, with_text, NO_ID if own is None else int(own), least))
             if least is None:
-                checks += factors(data, keys, owners, window)
+                checks += ((source, pack(words)) for source, words in factors(data, keys, owners, window))
         columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
         arrays = [pa.array(c, f.type) for c, f in zip(columns, list(schema)[1:], strict=False)]
         blank = [pa.nulls(len(rows), f.type) for f in list(schema)[-2:]]
@@ -400,6 +417,7 @@ def unfounded(rows: DataFrame, checks: DataFrame, window: int) -> list[bytes]:
     texts = rows.where("id IS NOT NULL")
     if owners.limit(BROADCAST_OWNERS + 1).count() <= BROADCAST_OWNERS:
         texts = texts.join(F.broadcast(owners), "id", "left_semi")
+    texts = texts.mapInArrow(pack_batches, texts.schema)
     dealt = texts.select("id", "_text", F.lit(None).cast("binary").alias("words")).unionByName(
         checks.select("id", F.lit(None).cast("binary").alias("_text"), "words")
     )
@@ -425,7 +443,7 @@ def drop_repeats(
     Windows are looked up by hashes of 56 bits within one of `blocks` blocks (as many as
     shuffle partitions unless given); a block is solved at a time, so `blocks` should grow
     with the corpus. What is frequent within a chunk is settled before the shuffle. Texts
-    are shuffled once, to meet the answers; then each factor's words are compared with the
+    are shuffled once, packed, to meet the answers; then each factor's words are compared with the
     text of its source. Windows not found there, which is where hashes have confused two,
     go to the driver; if there are any, all documents are searched for them, word by word,
     and the result is made again with what they are.
@@ -444,7 +462,8 @@ def drop_repeats(
         F.when(F.col("id") != NO_ID, F.col("id")).alias("_id"), F.struct("key", "owner").alias("_answer")
     )
     answers = answers.groupBy("_id").agg(F.collect_list("_answer").alias("_answers"))
-    joined = rows.join(answers, rows[id_col].cast("long").eqNullSafe(answers["_id"]), "left")
+    packed = rows.mapInArrow(pack_batches, rows.schema)
+    joined = packed.join(answers, packed[id_col].cast("long").eqNullSafe(answers["_id"]), "left")
     factor = struct(start=T.LongType(), length=T.LongType())
     schema = struct(
         **{id_col: docs.schema[id_col].dataType},
