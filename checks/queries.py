@@ -18,7 +18,7 @@ from doseline.functions.decimals import from_micro
 from doseline.operators import dosage, intervals, linkage, lookups, population, publish, risk, scoring
 from doseline.plans import quarter
 from doseline.session import Stages, configure
-from doseline.sources import tables
+from doseline.sources import services, tables
 from doseline.sources.schemas import HISTORY
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -578,6 +578,24 @@ def service_hours_daily(t: Proxies) -> DataFrame:
     return daily.select("auth_no", "event_date", from_micro(F.col("micro_hrs")).alias("svc_hrs"))
 
 
+def _kept_hours(t: Proxies) -> DataFrame:
+    """The daily hours of the look-back, kept by month while the services come in three batches."""
+    root = f"{t.stages().root}/services"
+    for number in range(3):
+        part = t["ea_cpt_service"].where(F.pmod(F.hash("auth_no", "event_date"), F.lit(3)) == number)
+        services.add_services(t.spark, part, root, f"batch-{number}")
+        if number < 2:
+            services.refresh_daily_hours(t.spark, root)
+    services.refresh_daily_hours(t.spark, root)
+    return services.read_daily_hours(t.spark, root, SDA_START, SDA_END)
+
+
+@check("kept_daily_hours", SQL["service_hours_daily"])
+def kept_daily_hours(t: Proxies) -> DataFrame:
+    kept = _kept_hours(t).join(t["members"].select("auth_no").distinct(), "auth_no", "left_semi")
+    return kept.select("auth_no", "event_date", from_micro(F.col("micro_hrs")).alias("svc_hrs"))
+
+
 @check(
     "hours_in_interval",
     f"SELECT auth_no, sda_start, sda_end, n_strata, {_milli('hour_units')} AS svc_hrs FROM a_spans",
@@ -645,6 +663,15 @@ def prorated_hours(t: Proxies) -> DataFrame:
     return dosage.prorate(_spanned(t))
 
 
+@check("sda_from_kept_hours", f"SELECT {RATIO_COLUMNS}, {_milli('sda_units')} AS sda FROM a_ratio")
+def sda_from_kept_hours(t: Proxies) -> DataFrame:
+    """The ratio without reading the services, from daily hours kept by month."""
+    return dosage.dose_ratio(
+        t["members"], t["au_stratum"], t["cd_stratum_tier"], t["au_master"],
+        t["ea_cpt_service"].where("false"), SDA_START, SDA_END, keep=t.keep, hours=_kept_hours(t),
+    )
+
+
 @check("sda", f"SELECT {RATIO_COLUMNS}, {_milli('sda_units')} AS sda FROM a_ratio")
 def sda(t: Proxies) -> DataFrame:
     return dosage.dose_ratio(

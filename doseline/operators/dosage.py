@@ -332,17 +332,23 @@ def dose_totals(
     e: date,
     tier_as_of: date | None = None,
     keep: Keep = pass_on,
+    hours: DataFrame | None = None,
 ) -> DataFrame:
     """Per member: own totals, the authorization it continues and that one's totals.
 
     The daily hours, and the totals with their continuation, are each read twice; `keep`
-    may materialize them, so that the service table is scanned once.
+    may materialize them, so that the service table is scanned once. Given the daily `hours` of
+    the window, the service table is not read at all.
     """
     # Only members' hours are asked for, and those of authorizations they may continue,
     # which are the same persons'.
     theirs = limited(auth, members, "kcid")
     asked = theirs.select("auth_no").unionByName(members.select("auth_no"))
-    daily = keep(service_hours(services, s, e, asked), "daily_hours")
+    if hours is None:
+        daily = service_hours(services, s, e, asked)
+    else:
+        daily = hours.join(asked.distinct(), "auth_no", "left_semi")
+    daily = keep(daily, "daily_hours")
     current = with_expected(
         clip_strata(active_strata(members, strata, tiers, auth, s, e, tier_as_of), s, e)
     )
@@ -365,10 +371,11 @@ def dose_ratio(
     min_days: int = MIN_DAYS,
     tier_as_of: date | None = None,
     keep: Keep = pass_on,
+    hours: DataFrame | None = None,
 ) -> DataFrame:
     """The service-dose ratio and its parts for each authorization of the population."""
     members = pop.select(*MEMBER_KEYS).distinct()
-    totals = dose_totals(members, strata, tiers, auth, services, s, e, tier_as_of, keep)
+    totals = dose_totals(members, strata, tiers, auth, services, s, e, tier_as_of, keep, hours)
     return with_ratio(prorate(with_calendar_month(enrolment_span(totals), s)), min_days)
 
 

@@ -64,9 +64,14 @@ def select_population(
         .select("kcid", "auth_no", "agency_id", "start_date", "expire_date", "program")
     )
     case_rates = attributes.select(
-        "kcid", "auth_no", "age_group", "special_population", "language_differential"
+        F.col("kcid").alias("_kcid"), "auth_no", "age_group", "special_population", "language_differential"
     )
-    known = exclude_stratified(due, strata, q_start, q_end).join(case_rates, ["kcid", "auth_no"])
+    # Stratum, case rate and plan are all found by the authorization, so that one partitioning
+    # serves them; as a range the person is no key of the join, which would need another.
+    same_person = F.col("kcid").between(F.col("_kcid"), F.col("_kcid"))
+    open_ones = exclude_stratified(due, strata, q_start, q_end)
+    same = (open_ones["auth_no"] == case_rates["auth_no"]) & same_person
+    known = open_ones.join(case_rates, same).drop(case_rates["auth_no"], "_kcid")
     return attach_person(known, person, plan, p1).select(
         "kcid",
         "auth_no",

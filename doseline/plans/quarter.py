@@ -14,6 +14,7 @@ from doseline.operators import dosage, linkage, population, publish, risk, scori
 from doseline.session import Stages
 from doseline.sources import runs
 from doseline.sources.schemas import HISTORY
+from doseline.sources.services import DAILY, has_batches, read_daily_hours, refresh_daily_hours
 from doseline.sources.tables import append_new_rows, conform, read_table, read_tables, replace_quarters
 from doseline.sources.versions import read_state
 
@@ -92,6 +93,7 @@ def run_quarter(
 
     With the state of the stored strata among the tables, linking reads of them those that
     await their link and the quarters it changes; without, it is made from all of them.
+    With the daily hours of the look-back among them, the services are not read.
     `after` are the highest stratum and ratio id in use, sought in the tables unless given.
 
     `keep` materializes a step under a name; by default it writes to spark.checkpoint.dir.
@@ -116,7 +118,7 @@ def run_quarter(
     ratios = dosage.dose_ratio(
         pop, history, tables["cd_stratum_tier"], tables["au_master"], tables["ea_cpt_service"],
         periods.sda_start, periods.sda_end, tier_as_of=options.tier_as_of,
-        keep=keep,
+        keep=keep, hours=tables.get(DAILY),
     )
     complete = keep(dosage.with_sda(leveled, ratios), "complete")
 
@@ -227,6 +229,10 @@ def stage_quarter(
         run = runs.record(spark, root, reserved)
     state = read_state(spark, f"{root}/au_stratum", options.linked_since)
     known = tables if state is None else {**tables, STATE: state}
+    if inputs is None and has_batches(spark, root):
+        periods = Periods.of(run.calc_date)
+        refresh_daily_hours(spark, root)
+        known = {**known, DAILY: read_daily_hours(spark, root, periods.sda_start, periods.sda_end)}
     dated = replace(options, as_of=run.as_of, now=run.now)
     run_quarter(spark, known, run.calc_date, dated, stages.keep, (run.after_stratum_id, run.after_ratio_id))
     return runs.advance(spark, root, run, runs.STAGED, stages.root)

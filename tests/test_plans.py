@@ -110,3 +110,13 @@ def test_filters_reach_the_scan_of_an_ingested_table(spark, tmp_path, table, bui
     found = scan.split("PushedFilters:")[1].split("ReadSchema")[0]
     spark.conf.unset("spark.sql.maxMetadataStringLength")
     assert all(p in found for p in pushed), found
+
+
+def test_population_is_dealt_by_authorization_once_and_by_person_once(spark):
+    """Strata, case rates and plans meet it by authorization, person and Medicaid id by person."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        tree = QUERIES["population"](spark, SMALL)._jdf.queryExecution().executedPlan().treeString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert tree.count("Exchange hashpartitioning") <= 7 and "hashpartitioning(kcid, auth_no" not in tree
