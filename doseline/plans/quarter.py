@@ -229,7 +229,7 @@ def stage_quarter(
         run = runs.record(spark, root, reserved)
     state = read_state(spark, f"{root}/au_stratum", options.linked_since)
     known = tables if state is None else {**tables, STATE: state}
-    if inputs is None and has_batches(spark, root):
+    if DAILY not in tables and has_batches(spark, root):
         periods = Periods.of(run.calc_date)
         refresh_daily_hours(spark, root)
         known = {**known, DAILY: read_daily_hours(spark, root, periods.sda_start, periods.sda_end)}
@@ -256,7 +256,8 @@ def run_and_publish(
     finished before that of another starts, and one job works on a `root` at a time.
 
     `inputs` take the place of tables under `root`; the history tables are always read there.
-    Returns what `run_quarter` does, with the stratum table as it is stored.
+    Where services were added in batches, the daily hours kept of them are brought up to date
+    and read in their stead. Returns what `run_quarter` does, with the stratum table as it is stored.
     """
     run = stage_quarter(spark, root, calc_date, options, stages, inputs)
     result = staged_rows(spark, run)

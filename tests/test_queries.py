@@ -18,7 +18,7 @@ from doseline.operators import linkage
 from doseline.plans import quarter
 from doseline.plans.quarter import Options, publish_quarter, run_and_publish, run_quarter
 from doseline.session import Stages
-from doseline.sources import runs, versions
+from doseline.sources import runs, services, versions
 from doseline.sources.tables import append_rows, read_table
 
 SMALL = "/root/testdata/sf0.001"
@@ -222,8 +222,10 @@ def test_a_job_run_again_after_it_died_ends_as_if_it_had_not(spark, world, finis
 
 
 def test_two_quarters_one_after_the_other(spark, world, finished):
-    """The second run links to what the first one stored, and its state stands for all strata."""
+    """The second run links to what the first one stored, and its state stands for all strata. It
+    takes the hours of its look-back from those kept by month."""
     root, _ = finished
+    services.add_services(spark, world["ea_cpt_service"], root, "all")
     inputs = {name: df for name, df in world.items() if name not in HISTORY_TABLES}
     first = read_table(spark, root, "au_stratum")
     state = versions.read_state(spark, f"{root}/au_stratum", SINCE)
@@ -231,7 +233,11 @@ def test_two_quarters_one_after_the_other(spark, world, finished):
     history = {name: read_table(spark, root, name) for name in HISTORY_TABLES}
     day, options = date(1999, 4, 15), Options(linked_since=SINCE, reset_quarter=None)
     want = run_quarter(spark, {**inputs, **history}, day, options)  # knows no state
+    inputs["ea_cpt_service"] = world["ea_cpt_service"].limit(0)
     got = run_and_publish(spark, root, day, options, Stages(spark), inputs)
     assert rows(got["au_stratum"]) == rows(want["au_stratum"])
+    ratios = ("auth_no", "svc_hrs", "sda", "prev_auth_no")
+    assert rows(got["ratios"], *ratios) == rows(want["ratios"], *ratios)
+    assert got["ratios"].where("svc_hrs > 0").count() > 0
     assert rows(got["state"]) == rows(linkage.settled_strata(got["au_stratum"], SINCE))
     assert got["au_stratum"].where("start_date = DATE '1999-04-01' AND stratum_sda_id IS NOT NULL").count() > 0
