@@ -217,30 +217,24 @@ def pay_multiplier(df: DataFrame, ratios: DataFrame, corridor: DataFrame) -> Dat
     """1.00 for full pay, else the corridor's multiplier for focus, age and ratio.
 
     The corridor lists programs, several of one focus; equal lines count once. Where
-    corridors overlap, the highest multiplier is taken.
+    corridors overlap, the highest multiplier is taken. Each row meets the lines of its focus and
+    age at once, as one array, so that it stays one row and nothing is ranked. A ratio id
+    that occurs twice counts once, with its higher ratio.
     """
-    sda = ratios.select("stratum_sda_id", F.col("sda").alias("new_sda"))
+    sda = ratios.groupBy("stratum_sda_id").agg(F.max("sda").alias("new_sda"))
     found = lookup(df, sda, "new_stratum_sda_id", "stratum_sda_id", "au_stratum_id")
     lines = corridor.select(
         tx_focus(F.col("program")).alias("_focus"),
         F.col("age_group").alias("_age"),
-        "sda_low",
-        "sda_high",
-        F.col("sda_pay_multiplier").cast(MULTIPLIER).alias("_multiplier"),
-    ).distinct()
-    inside = (
-        (F.col("tx_focus") == F.col("_focus"))
-        & (F.col("age_group") == F.col("_age"))
-        & F.col("new_sda").between(F.col("sda_low"), F.col("sda_high"))
+        F.struct("sda_low", "sda_high", F.col("sda_pay_multiplier").cast(MULTIPLIER).alias("multiplier")).alias("_line"),
     )
+    lines = lines.groupBy("_focus", "_age").agg(F.collect_set("_line").alias("_lines"))
+    same = (F.col("tx_focus") == F.col("_focus")) & (F.col("age_group") == F.col("_age"))
+    held = F.filter("_lines", lambda line: F.col("new_sda").between(line["sda_low"], line["sda_high"]))
+    best = F.array_max(F.transform(held, lambda line: line["multiplier"]))
     full = F.lit(1).cast(MULTIPLIER)
-    paid = F.when(F.col("new_sda_rule").isin(FULL_PAY), full).otherwise(
-        F.coalesce("_multiplier", full)
-    )
-    priced = found.join(lines, inside, "left").select(
-        *found.columns, paid.alias("new_sda_pay_multiplier")
-    )
-    return latest_by(priced, ["au_stratum_id"], [F.desc("new_sda_pay_multiplier")])
+    paid = F.when(F.col("new_sda_rule").isin(FULL_PAY), full).otherwise(F.coalesce(best, full))
+    return found.join(lines, same, "left").select(*found.columns, paid.alias("new_sda_pay_multiplier"))
 
 
 def link_strata(

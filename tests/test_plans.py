@@ -120,3 +120,14 @@ def test_population_is_dealt_by_authorization_once_and_by_person_once(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert tree.count("Exchange hashpartitioning") <= 7 and "hashpartitioning(kcid, auth_no" not in tree
+
+
+@pytest.mark.parametrize(("name", "most"), [("payment_rule", 12), ("pay_multiplier", 12), ("levels_in_row", 4)])
+def test_no_more_exchanges_than_needed(spark, name, most):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        tree = QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().treeString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # Of levels_in_row only the configuration and the rows that meet it are dealt.
+    assert tree.count("Exchange hashpartitioning") <= most, tree
