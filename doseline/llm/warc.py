@@ -12,7 +12,8 @@ import hashlib
 from bisect import bisect_left
 from collections.abc import Iterator
 from functools import partial
-from urllib.parse import urlsplit
+from itertools import batched
+from urllib.parse import unquote_plus, urlsplit
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -61,6 +62,11 @@ def header(name: str, value: Column) -> Column:
     return F.coalesce(F.concat(F.lit(f"{name}: "), value, F.lit(CRLF)), F.lit(""))
 
 
+def page_uri(page: Column) -> Column:
+    """An id as a record id, percent-encoded, so that it cannot end its header or its brackets."""
+    return F.concat(F.lit(f"<{PAGE}"), F.url_encode(page.cast("string")), F.lit(">"))
+
+
 def records(
     pages: DataFrame, id_col: str, url_col: str, html_col: str, date_col: str | None, least: int
 ) -> DataFrame:
@@ -89,12 +95,12 @@ def records(
     block = F.when(revisit, http).otherwise(F.concat(http, "_html"))
     head = F.concat(
         F.lit(f"{VERSION}{CRLF}WARC-Type: "), F.when(revisit, "revisit").otherwise("response"), F.lit(CRLF),
-        header("WARC-Record-ID", F.concat(F.lit(f"<{PAGE}"), F.col("_id").cast("string"), F.lit(">"))),
+        header("WARC-Record-ID", page_uri(F.col("_id"))),
         header("WARC-Date", F.col("_date")),
         header("WARC-Target-URI", F.col("_url")),
         header("WARC-Payload-Digest", F.concat(F.lit("sha256:"), "_digest")),
         header("WARC-Profile", F.when(revisit, PROFILE)),
-        header("WARC-Refers-To", F.when(revisit, F.concat(F.lit(f"<{PAGE}"), F.col("_first").cast("string"), F.lit(">")))),
+        header("WARC-Refers-To", F.when(revisit, page_uri(F.col("_first")))),
         F.lit(f"Content-Type: {HTTP_TYPE}{CRLF}Content-Length: "), F.octet_length(block).cast("string"),
         F.lit(CRLF + CRLF),
     )
@@ -119,7 +125,7 @@ def fields(lines: bytes) -> dict[str, str]:
 
 
 def page_of(uri: str | None) -> str | None:
-    return uri.strip("<>").removeprefix(PAGE) if uri else None
+    return unquote_plus(uri.removeprefix(f"<{PAGE}").removesuffix(">")) if uri else None
 
 
 def parse(archive: str, data: bytes) -> Iterator[dict]:
@@ -224,9 +230,9 @@ def merge_batches(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Itera
     """Slices, sorted by range, to the range's captures in order."""
 
     def merged(number: int, slices: list[list[dict]]) -> Iterator[pa.RecordBatch]:
-        rows = [{"range_no": number, "position": i, **c} for i, c in enumerate(LoserTree([iter(s) for s in slices]))]
-        for at in range(0, len(rows), RECORDS_PER_FILE):
-            yield pa.RecordBatch.from_pylist(rows[at : at + RECORDS_PER_FILE], schema=schema)
+        rows = ({"range_no": number, "position": i, **c} for i, c in enumerate(LoserTree([iter(s) for s in slices])))
+        for some in batched(rows, RECORDS_PER_FILE):
+            yield pa.RecordBatch.from_pylist(list(some), schema=schema)
 
     number, slices = None, []
     for batch in batches:
@@ -271,12 +277,14 @@ def archive_pages(
 
     Null html is an empty payload, a null URL is left out of its record, and a null id has no
     record id; in a group with other ids it refers to the smallest. Rows that repeat the
-    smallest id of a group are each written out. Other columns are not read; an empty table
-    gives an empty result.
+    smallest id of a group are each written out. Ids of any text come back as they were. Other
+    columns are not read, and an id named like a column of the history takes its place; an
+    empty table gives an empty result.
     """
     spark = pages.sparkSession
     folder = folder or new_folder(spark, "archives")
     write_archives(pages, folder, id_col, url_col, html_col, date_col, least)
     kind = pages.schema[id_col].dataType
-    history = capture_history(spark, folder)
-    return history.withColumns({"refers_to": F.col("refers_to").cast(kind), id_col: F.col("page").cast(kind)}).drop("page")
+    history = capture_history(spark, folder).withColumn("refers_to", F.col("refers_to").cast(kind))
+    others = [name for name in history.columns if name not in ("page", id_col)]
+    return history.select(*others, F.col("page").cast(kind).alias(id_col))

@@ -66,6 +66,17 @@ def test_odd_rows(spark):
     assert warc.archive_pages(pages.limit(0)).count() == 0
 
 
+def test_ids_of_any_text_and_name(spark):
+    ids = ["<k>", "a\r\nWARC-Type: x", " b +%2B ", "urn:page:", "é>", "", None]
+    pages = spark.createDataFrame([(i, f"http://e.org/{n}", "same " * 50) for n, i in enumerate(ids)], "page string, url string, html string")
+    got = warc.archive_pages(pages, id_col="page").collect()
+    first = min(i for i in ids if i is not None)
+    assert sorted((r.page, r.record_type, r.refers_to) for r in got if r.page is not None) == sorted(
+        (i, "response" if i == first else "revisit", None if i == first else first) for i in ids if i is not None
+    )
+    assert [(r.record_type, r.refers_to) for r in got if r.page is None] == [("revisit", first)]
+
+
 def test_damage_is_found():
     data = b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Date: d\r\nWARC-Payload-Digest: sha256:00\r\nContent-Length: 9\r\n\r\nH: 1\r\n\r\nx\r\n\r\n"
     with pytest.raises(ValueError, match="damaged"):
