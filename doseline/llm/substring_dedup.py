@@ -34,6 +34,7 @@ from doseline.llm.common import keep, struct, text_blocks
 WINDOW = 13
 CHUNK_BYTES = 3 << 20
 ANSWERS_AT_ONCE = 500_000
+ROWS_AT_ONCE = 500
 HASHED_BYTES = 2 << 20
 KEY_BYTES = 7
 KEY_MASK = np.uint64((1 << 8 * KEY_BYTES) - 1)
@@ -216,9 +217,16 @@ def unpack(data: bytes | None) -> bytes:
     return zlib.decompress(data) if data is not None else b""
 
 
+def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in parts, so that little is made of one before it is passed on."""
+    for batch in batches:
+        for at in range(0, len(batch), ROWS_AT_ONCE):
+            yield batch.slice(at, ROWS_AT_ONCE)
+
+
 def pack_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(id, text), the text packed."""
-    for batch in batches:
+    for batch in pieces(batches):
         packed = pa.array((pack(text.as_py()) for text in batch.column(1)), pa.binary())
         yield pa.RecordBatch.from_arrays([batch.column(0), packed], schema=batch.schema)
 
@@ -389,7 +397,7 @@ def cut_batches(
 ) -> Iterator[pa.RecordBatch]:
     """Results and, unless windows have been compared before, the factors they rest on."""
     none = np.zeros(0, np.int64)
-    for batch in batches:
+    for batch in pieces(batches):
         rows, checks = [], []
         for own, text, answers in zip(*batch.columns, strict=True):
             data, own = unpack(text.as_py()), own.as_py()
