@@ -968,6 +968,48 @@ def rerun_strata(t: Proxies) -> DataFrame:
     return _published_again(t, "au_stratum")
 
 
+LATER_STATUS = "auth_no % 5 = 0"  # authorizations that are delivered again, closed, after the quarter's run
+
+
+def _received(t: Proxies) -> str:
+    """A folder with the authorizations received in three deliveries: before the quarter's run every
+    third a second time, and after it some closed."""
+    root = f"{t.stages().root}/received"
+    auth = t["au_master"]
+    tables.ingest_table(auth.withColumn("status_code", F.expr("IF(auth_no % 3 = 0, 'XX', status_code)")), root, "au_master")
+    tables.add_changes(t.spark, auth.where("auth_no % 3 = 0"), root, "au_master", CALC - timedelta(days=9))
+    closed = auth.where(LATER_STATUS).withColumns({"status_code": F.lit("CN"), "data_status": F.lit("ID")})
+    tables.add_changes(t.spark, closed, root, "au_master", CALC + timedelta(days=30))
+    return root
+
+
+@check(
+    "authorizations_as_of",
+    f"""SELECT auth_no, kcid, CASE WHEN {LATER_STATUS} THEN 'CN' ELSE status_code END AS status_code,
+    status_code AS status_then FROM auth""",
+)
+def authorizations_as_of(t: Proxies) -> DataFrame:
+    """Every authorization with its status by now and on the day of the run."""
+    root = _received(t)
+    then = tables.read_table(t.spark, root, "au_master", as_of=CALC)
+    now = tables.read_table(t.spark, root, "au_master").select("auth_no", "kcid", "status_code")
+    return now.join(then.select("auth_no", F.col("status_code").alias("status_then")), "auth_no", "full")
+
+
+@check("population_as_of", f"SELECT {POP_COLUMNS} FROM pop")
+def population_as_of(t: Proxies) -> DataFrame:
+    """The population of the quarter selected again after authorizations in it were closed."""
+    then = tables.read_table(t.spark, _received(t), "au_master", as_of=CALC)
+    return quarter.population_of({**t.all(), "au_master": then}, dates.Periods.of(CALC), CALC)
+
+
+@check("population_by_now", f"SELECT {POP_COLUMNS} FROM pop WHERE NOT {LATER_STATUS}")
+def population_by_now(t: Proxies) -> DataFrame:
+    """The same from the latest authorizations: those closed since are gone."""
+    now = tables.read_table(t.spark, _received(t), "au_master")
+    return quarter.population_of({**t.all(), "au_master": now}, dates.Periods.of(CALC), CALC)
+
+
 def oracle_queries() -> dict[str, str]:
     """The SQL of every check, complete with the views it needs."""
     return {name: oracle.resolve(sql) for name, sql in SQL.items()}

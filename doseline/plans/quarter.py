@@ -15,8 +15,8 @@ from doseline.session import Stages
 from doseline.sources import runs
 from doseline.sources.schemas import HISTORY
 from doseline.sources.services import DAILY, has_batches, read_daily_hours, refresh_daily_hours
-from doseline.sources.tables import append_new_rows, conform, read_table, read_tables, replace_quarters
-from doseline.sources.versions import read_state
+from doseline.sources.tables import CHANGING, append_new_rows, conform, read_table, read_tables, replace_quarters
+from doseline.sources.versions import read_state, read_versioned
 
 Tables = dict[str, DataFrame]
 STATE = "stratum_state"  # of settled strata, among the tables where there is one
@@ -229,6 +229,8 @@ def stage_quarter(
         run = runs.record(spark, root, reserved)
     state = read_state(spark, f"{root}/au_stratum", options.linked_since)
     known = tables if state is None else {**tables, STATE: state}
+    if inputs is None:
+        known |= {name: read_table(spark, root, name, as_of=run.as_of) for name in CHANGING}
     if DAILY not in tables and has_batches(spark, root):
         periods = Periods.of(run.calc_date)
         refresh_daily_hours(spark, root)
@@ -255,7 +257,8 @@ def run_and_publish(
     changed since. So no authorization gets a second record. The run of one quarter must be
     finished before that of another starts, and one job works on a `root` at a time.
 
-    `inputs` take the place of tables under `root`; the history tables are always read there.
+    `inputs` take the place of tables under `root`; the history tables are always read there, and
+    those received as changes as they stood on the run's day.
     Where services were added in batches, the daily hours kept of them are brought up to date
     and read in their stead. Returns what `run_quarter` does, with the stratum table as it is stored.
     """
@@ -266,6 +269,59 @@ def run_and_publish(
     return {**result, "au_stratum": read_table(spark, root, "au_stratum")}
 
 
+def tables_of_run(
+    spark: SparkSession, root: str, run: runs.Run, since: date, inputs: Tables | None = None
+) -> Tables:
+    """The tables under `root` as a finished run found them.
+
+    Those received as changes stand as on its day. The strata are those before its version was
+    switched in, with the state kept of them; ratios and shadow rows are those with ids in use
+    before it, or without an id. Tables that carry no dates of receipt (services, assessments,
+    claims, stays) are as they are now.
+    """
+    folder, schema = f"{root}/au_stratum", HISTORY["au_stratum"]
+    ratios, shadow = (read_table(spark, root, name) for name in ("au_stratum_sda", "au_stratum_shadow"))
+    tables = {
+        **(inputs or read_tables(spark, root, run.as_of)),
+        "au_stratum": read_versioned(spark, folder, schema, run.name).select(*schema.fieldNames()),
+        "au_stratum_sda": ratios.where(F.coalesce("stratum_sda_id", F.lit(0)) <= run.after_ratio_id),
+        "au_stratum_shadow": shadow.where(F.coalesce("au_stratum_id", F.lit(0)) <= run.after_stratum_id),
+    }
+    state = read_state(spark, folder, since, run.name)
+    return tables if state is None else {**tables, STATE: state}
+
+
+def replay_quarter(
+    spark: SparkSession,
+    root: str,
+    quarter: date,
+    options: Options = Options(),
+    stages: Stages | None = None,
+    inputs: Tables | None = None,
+) -> Tables:
+    """Compute the last finished run of a quarter again, from the tables as that run found them
+    and with its dates, stamp and first ids; publishes nothing.
+
+    What was published can so be explained after authorizations have changed: the population is
+    that of its day, whatever statuses hold now. The rows for the shadow table are not among the
+    results, as older strata that the run copied there are in it by now. `inputs` take the place
+    of tables under `root`, but for the history tables.
+    """
+    run = runs.last_run(spark, root, quarter)
+    if run is None or run.step != runs.DONE:
+        raise ValueError(f"no run of {quarter} is finished")
+    tables = tables_of_run(spark, root, run, options.linked_since, inputs)
+    if DAILY not in tables and has_batches(spark, root):
+        periods = Periods.of(run.calc_date)
+        refresh_daily_hours(spark, root)
+        tables[DAILY] = read_daily_hours(spark, root, periods.sda_start, periods.sda_end)
+    dated = replace(options, as_of=run.as_of, now=run.now)
+    keep = (stages or Stages(spark)).keep
+    result = run_quarter(spark, tables, run.calc_date, dated, keep, (run.after_stratum_id, run.after_ratio_id))
+    del result["shadow"]
+    return result
+
+
 def staged_rows(spark: SparkSession, run: runs.Run) -> Tables:
     """What a staged run has computed, without the stratum table as a whole."""
     result = {name: spark.read.parquet(f"{run.stages}/{name}") for name in STAGED}

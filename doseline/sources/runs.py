@@ -50,12 +50,14 @@ class Run:
         return f"{self.quarter.isoformat()}-{self.attempt}"
 
 
-def last_run(spark: SparkSession, root: str) -> Run | None:
-    """The latest run under `root` at the last step it reached. Attempts are numbered over all
-    quarters, and only one run at a time is under way."""
+def last_run(spark: SparkSession, root: str, quarter: date | None = None) -> Run | None:
+    """The latest run under `root`, or of one quarter, at the last step it reached. Attempts are
+    numbered over all quarters, and only one run at a time is under way."""
     log = read_if_there(spark, f"{root}/{FOLDER}", LOG)
     if log is None:
         return None
+    if quarter is not None:
+        log = log.where(F.col("quarter") == quarter)
     order = F.struct("attempt", F.array_position(F.array(*map(F.lit, (RESERVED, STAGED, DONE))), F.col("step")))
     found = log.select(F.max_by(F.struct(*LOG.fieldNames()), order).alias("run")).first().run
     return Run(**found.asDict()) if found else None

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from doseline.session import Stages
+from doseline.sources import runs
+from doseline.sources.changes import deliver, read_as_of
 from doseline.sources.schemas import HISTORY, TABLES
 from doseline.sources.versions import read_pointer, read_versioned, replace_versions
 
@@ -21,6 +23,16 @@ PARTITIONED = ["au_stratum", "au_stratum_sda", "au_stratum_shadow"]
 # Those of them whose quarters are replaced.
 VERSIONED = ["au_stratum"]
 
+# Inputs of one row per key, which may be received as dated changes.
+CHANGING = {
+    "au_master": ["auth_no"],
+    "crisis_au_master": ["auth_no"],
+    "au_initial_plan": ["auth_no"],
+    "case_rate": ["kcid", "auth_no"],
+    "g_person": ["kcid"],
+    "g_p1_client": ["kcid"],
+}
+
 # What tells the appended rows apart. Scores may lack an id, and then share their run's stamp.
 KEYS = {
     "au_stratum_score": ["au_stratum_id", "metric", "post_stamp"],
@@ -52,12 +64,45 @@ def ingest_table(df: DataFrame, root: str, table: str) -> None:
     writer.parquet(f"{root}/{table}")
 
 
-def read_table(spark: SparkSession, root: str, table: str, fmt: str = "parquet") -> DataFrame:
-    """An ingested table under `root`; a history table may not exist yet."""
+def add_changes(spark: SparkSession, df: DataFrame, root: str, table: str, received: date) -> None:
+    """Take in the rows of a table that are new or changed, as of the end of a day.
+
+    They take the place of those with their keys from that day on, while earlier days stay as
+    they were. A day that a run of the job has read is complete: a delivery dated on or before
+    it is an error, as the run could not be made again.
+    """
+    run = runs.last_run(spark, root)
+    if run and run.as_of >= received:
+        raise ValueError(f"a run has read the tables of {run.as_of}; date the delivery later")
+    deliver(trim_codes(conform(df, table)), _changing(root, table), received)
+
+
+def fold_changes(spark: SparkSession, root: str, table: str, received: date) -> None:
+    """Write the table as it stood at the end of a day in whole, so that reading that day or later
+    ones starts there. Earlier days are still read as before."""
+    folder = _changing(root, table)
+    deliver(read_table(spark, root, table, as_of=received), folder, received, whole=True)
+
+
+def _changing(root: str, table: str) -> str:
+    if table not in CHANGING:
+        raise ValueError(f"{table} is not received as changes, only {', '.join(CHANGING)}")
+    return f"{root}/{table}"
+
+
+def read_table(
+    spark: SparkSession, root: str, table: str, fmt: str = "parquet", as_of: date | None = None
+) -> DataFrame:
+    """An ingested table under `root`; a history table may not exist yet. One received as
+    changes is read as it stood at the end of the day `as_of`, by default the last."""
     schema = TABLES[table]
     if table in VERSIONED and fmt == "parquet":
         df = read_versioned(spark, f"{root}/{table}", schema)
         return spark.createDataFrame([], schema) if df is None else df.select(*schema.fieldNames())
+    if table in CHANGING and fmt == "parquet":
+        df = read_as_of(spark, f"{root}/{table}", schema, CHANGING[table], as_of)
+        if df is not None:
+            return df
     reader = spark.read.format(fmt).schema(schema)
     try:
         df = reader.load(f"{root}/{table}")
@@ -68,9 +113,9 @@ def read_table(spark: SparkSession, root: str, table: str, fmt: str = "parquet")
     return df.select(*schema.fieldNames())
 
 
-def read_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """Every declared table under one folder."""
-    return {name: read_table(spark, root, name) for name in TABLES}
+def read_tables(spark: SparkSession, root: str, as_of: date | None = None) -> dict[str, DataFrame]:
+    """Every declared table under one folder; those received as changes as they stood on a day."""
+    return {name: read_table(spark, root, name, as_of=as_of) for name in TABLES}
 
 
 def append_rows(df: DataFrame, root: str, table: str) -> None:

@@ -49,9 +49,15 @@ def read_if_there(spark: SparkSession, path: str, schema: T.StructType) -> DataF
         raise
 
 
-def read_pointer(spark: SparkSession, folder: str) -> Pointer:
-    """The newest pointer of a table's folder; an empty one where no quarter was ever replaced."""
+def read_pointer(spark: SparkSession, folder: str, before: str | None = None) -> Pointer:
+    """The newest pointer of a table's folder, or the one in force when a version was switched in;
+    an empty one where no quarter had been replaced."""
     log = read_if_there(spark, f"{folder}/_pointer", POINTER)
+    if before is not None:
+        first = log.where(F.col("version") == before).agg(F.min("seq")).first()[0] if log is not None else None
+        if first is None:
+            raise ValueError(f"{folder} has no version {before}")
+        log = log.where(F.col("seq") < first)
     seq = log.agg(F.max("seq")).first()[0] if log is not None else None
     if seq is None:
         return Pointer()
@@ -67,9 +73,12 @@ def _switch(spark: SparkSession, folder: str, pointer: Pointer) -> None:
     spark.createDataFrame(rows, POINTER).coalesce(1).write.mode("append").parquet(f"{folder}/_pointer")
 
 
-def read_versioned(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame | None:
-    """A table as its pointer shows it, or None if there is no such folder."""
-    pointer = read_pointer(spark, folder)
+def read_versioned(
+    spark: SparkSession, folder: str, schema: T.StructType, before: str | None = None
+) -> DataFrame | None:
+    """A table as its pointer shows it, or did before a version was switched in; None if there is
+    no such folder."""
+    pointer = read_pointer(spark, folder, before)
     base = read_if_there(spark, folder, schema)
     if not pointer.versions:
         return base
@@ -85,9 +94,11 @@ def read_versioned(spark: SparkSession, folder: str, schema: T.StructType) -> Da
     return base.select(*schema.fieldNames()).unionByName(current.select(*schema.fieldNames()))
 
 
-def read_state(spark: SparkSession, folder: str, since: date) -> DataFrame | None:
+def read_state(
+    spark: SparkSession, folder: str, since: date, before: str | None = None
+) -> DataFrame | None:
     """The state written with the version in force, if there is one for `since`."""
-    pointer = read_pointer(spark, folder)
+    pointer = read_pointer(spark, folder, before)
     if pointer.state is None or pointer.since != since:
         return None
     return spark.read.parquet(f"{folder}/_state/version={pointer.state}")
