@@ -968,6 +968,18 @@ def rerun_strata(t: Proxies) -> DataFrame:
     return _published_again(t, "au_stratum")
 
 
+@check("population_bucketed", f"SELECT {POP_COLUMNS} FROM pop")
+def population_bucketed(t: Proxies) -> DataFrame:
+    """The population from tables that were dealt by their keys when they were ingested."""
+    root = f"{t.stages().root}/bucketed"
+    buckets = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    names = ("au_master", "au_initial_plan", "case_rate", "g_person", "g_p1_client")
+    for name in names:
+        tables.ingest_table(t[name], root, name, buckets)
+    dealt = {name: tables.read_table(t.spark, root, name) for name in names}
+    return quarter.population_of({**t.all(), **dealt}, dates.Periods.of(CALC), CALC)
+
+
 LATER_STATUS = "auth_no % 5 = 0"  # authorizations that are delivered again, closed, after the quarter's run
 
 

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from doseline.operators.lookups import latest_by
+from doseline.sources.buckets import layout_of, read_whole, write_bucketed
 from doseline.sources.versions import read_if_there
 
 CHANGES, LOG = "_changes", "_deliveries"
@@ -57,14 +58,19 @@ def deliveries(spark: SparkSession, folder: str) -> list[Delivery]:
 
 def deliver(df: DataFrame, folder: str, received: date, whole: bool = False) -> None:
     """Write a delivery in the table's columns and put it last in the log. Its day may not lie
-    before that of another, nor be one that has been folded, since both have been read already."""
+    before that of another, nor be one that has been folded, since both have been read already.
+    A whole table is dealt into buckets as the ingested one is."""
     spark = df.sparkSession
     known = deliveries(spark, folder)
     late = [d for d in known if d.received > received or (d.whole and d.received == received)]
     if late:
         raise ValueError(f"the rows of {late[-1].received} are complete; date the delivery later")
     new = Delivery(known[-1].seq + 1 if known else 1, received, uuid.uuid4().hex, whole)
-    df.write.parquet(new.folder(folder))
+    layout = layout_of(spark, folder) if whole else None
+    if layout is None:
+        df.write.parquet(new.folder(folder))
+    else:
+        write_bucketed(df, new.folder(folder), *layout[1:])
     line = spark.createDataFrame([astuple(new)], DELIVERED)
     line.coalesce(1).write.mode("append").parquet(f"{folder}/{LOG}")
 
@@ -85,10 +91,10 @@ def read_as_of(
     start = max((i for i, d in enumerate(known) if d.whole), default=None)
     names = schema.fieldNames()
     if start is None:
-        whole = read_if_there(spark, folder, schema)
+        whole = read_whole(spark, folder, schema)
         parts = known
     else:
-        whole = spark.read.schema(schema).parquet(known[start].folder(folder))
+        whole = read_whole(spark, known[start].folder(folder), schema)
         parts = known[start + 1 :]
     if whole is None or not parts:
         return whole if whole is None else whole.select(*names)

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from doseline.session import Stages
 from doseline.sources import runs
+from doseline.sources.buckets import read_whole, write_bucketed
 from doseline.sources.changes import deliver, read_as_of
 from doseline.sources.schemas import HISTORY, TABLES
 from doseline.sources.versions import read_pointer, read_versioned, replace_versions
@@ -33,6 +34,18 @@ CHANGING = {
     "g_p1_client": ["kcid"],
 }
 
+# The key that tables with few rows per key are joined on most, for dealing them into buckets.
+BUCKET_KEYS = {
+    "au_master": "auth_no",
+    "au_initial_plan": "auth_no",
+    "case_rate": "auth_no",
+    "crisis_au_master": "auth_no",
+    "ip_master": "auth_no",
+    "ma_cond_ass": "auth_no",
+    "g_person": "kcid",
+    "g_p1_client": "kcid",
+}
+
 # What tells the appended rows apart. Scores may lack an id, and then share their run's stamp.
 KEYS = {
     "au_stratum_score": ["au_stratum_id", "metric", "post_stamp"],
@@ -52,13 +65,20 @@ def conform(df: DataFrame, table: str) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType) for f in TABLES[table].fields])
 
 
-def ingest_table(df: DataFrame, root: str, table: str) -> None:
+def ingest_table(df: DataFrame, root: str, table: str, buckets: int | None = None) -> None:
     """Write a table as the library reads it: declared columns and types, codes trimmed.
 
     Trimmed here once, codes can be compared as they are stored, so that filters on them
-    reach the scan.
+    reach the scan. Given a number of `buckets`, a table of BUCKET_KEYS is dealt by its key
+    here once, and is not shuffled for joins on it.
     """
-    writer = trim_codes(conform(df, table)).write.mode("overwrite")
+    clean = trim_codes(conform(df, table))
+    if buckets:
+        if table not in BUCKET_KEYS:
+            raise ValueError(f"{table} has no key to deal it by, only {', '.join(BUCKET_KEYS)} have")
+        write_bucketed(clean, f"{root}/{table}", BUCKET_KEYS[table], buckets)
+        return
+    writer = clean.write.mode("overwrite")
     if table in PARTITIONED:
         writer = writer.partitionBy("start_date")
     writer.parquet(f"{root}/{table}")
@@ -103,6 +123,10 @@ def read_table(
         df = read_as_of(spark, f"{root}/{table}", schema, CHANGING[table], as_of)
         if df is not None:
             return df
+    if table in BUCKET_KEYS and fmt == "parquet":
+        df = read_whole(spark, f"{root}/{table}", schema)
+        if df is not None:
+            return df.select(*schema.fieldNames())
     reader = spark.read.format(fmt).schema(schema)
     try:
         df = reader.load(f"{root}/{table}")
