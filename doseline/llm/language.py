@@ -29,13 +29,17 @@ ROUNDS = 2
 SMOOTHING = 0.05
 SEED = 7
 MARK = "▁"  # stands before a word's first letter in the vocabulary
-PART = 32  # characters; longer words are read in parts, so that products stay in range
+SHORT = 32  # characters with the mark; the products of longer words are kept in range by scaling
+RESCALED = 8  # places of a long word between two scalings
 TINY = 1e-300
 WORDS_AT_ONCE = 5_000
+LONG_AT_ONCE = 512
+PLACES_AT_ONCE = 4_096  # of all long words read together
 TABLE_BITS = 17
 TABLE = 1 << TABLE_BITS
 FACTOR, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 KNOWN_WORDS = 200_000
+KNOWN_CHARACTERS = 8_000_000
 DOCS_AT_ONCE = 1_024
 LETTER = regex.compile(r"\p{L}")
 
@@ -53,7 +57,7 @@ class Pieces:
         texts = {model.id_to_piece(i): i for i in range(model.vocab_size()) if not any(f(i) for f in no_text)}
         self.size = max(texts.values()) + 1
         self.longest = max(map(len, texts))
-        self.powers = np.r_[np.uint64(1), np.full(PART, FACTOR).cumprod(dtype=np.uint64)]
+        self.powers = np.r_[np.uint64(1), np.full(self.longest, FACTOR).cumprod(dtype=np.uint64)]
         self.keys = np.zeros(TABLE, np.uint64)
         self.ids = np.full(TABLE, -1, np.int64)
         for text, number in texts.items():
@@ -109,6 +113,17 @@ class Pieces:
                     ends.append((low, ids))
                 yield np.array(some), length, ends
 
+    def ending(self, prefixes: np.ndarray, first: int, last: int) -> np.ndarray:
+        """Ids of the pieces that end at the places after `first` up to `last` of words given by the
+        hashes of their prefixes: word by place by start, the longest piece first."""
+        sizes = np.arange(self.longest, 0, -1)
+        ends = np.arange(first + 1, last + 1)[:, None]
+        starts = np.maximum(ends - sizes, 0)
+        keys = prefixes[:, ends] - prefixes[:, starts] * self.powers[sizes] + sizes.astype(np.uint64)
+        ids = np.where(ends >= sizes, self.find(keys), -1)
+        np.maximum(ids[:, :, -1], 0, out=ids[:, :, -1])
+        return ids
+
 
 @lru_cache(maxsize=2)
 def vocabulary(path: str) -> Pieces:
@@ -126,9 +141,96 @@ def forward(many: int, ends: list[tuple[int, np.ndarray]], chance: np.ndarray) -
     return alpha
 
 
-def parts(word: str) -> list[str]:
-    marked = MARK + word
-    return [marked[i : i + PART] for i in range(0, len(marked), PART)]
+class LongWords:
+    """Words of some length read together, a stretch of places at a time.
+
+    A place needs the sums of no more places before it than the longest piece has characters.
+    Those are kept, scaled by word and language, from one stretch to the next, so memory does not
+    grow with the words beyond their prefixes' hashes. Shorter words are filled up; what lies
+    after a word's end is not read.
+    """
+
+    def __init__(self, pieces: Pieces, words: list[str], chance: np.ndarray):
+        self.pieces, self.chance = pieces, chance
+        self.lengths = np.array([len(w) for w in words])
+        most = int(self.lengths.max())
+        self.prefixes = pieces.hashes([w.ljust(most, "\0") for w in words])
+        step = max(RESCALED, PLACES_AT_ONCE // len(words))
+        self.stretches = [(at, min(at + step, most)) for at in range(0, most, step)]
+        # The sums at the last places, the empty beginning being certain, and their scale.
+        window = np.zeros((len(words), pieces.longest, chance.shape[1]))
+        window[:, -1] = 1
+        self.start = window, np.zeros((len(words), chance.shape[1]))
+
+    def advance(self, state: tuple, first: int, last: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, tuple]:
+        """Ids and chances of the pieces that end in a stretch, logarithms of the sums up to its
+        places, and the state after it."""
+        ids = self.pieces.ending(self.prefixes, first, last)
+        chances = self.chance[ids]
+        (window, scale), longest = state, self.pieces.longest
+        line = np.concatenate([window, np.empty((len(ids), last - first, window.shape[2]))], axis=1)
+        sums, scales = np.empty_like(line[:, longest:]), np.empty_like(line[:, longest:])
+        for i in range(last - first):
+            sums[:, i] = line[:, i + longest] = (line[:, i : i + longest] * chances[:, i]).sum(axis=1)
+            scales[:, i] = scale
+            if i % RESCALED == RESCALED - 1:
+                recent = line[:, i + 1 : i + 1 + longest]
+                top = recent.max(axis=1)
+                recent /= top[:, None]
+                scale = scale + np.log(top)
+        return ids, chances, np.log(sums) + scales, (line[:, last - first :].copy(), scale)
+
+    def ended(self, first: int, last: int) -> np.ndarray:
+        return np.nonzero((self.lengths > first) & (self.lengths <= last))[0]
+
+    def scores(self) -> np.ndarray:
+        """Logarithm of each word's probability in each language."""
+        out, state = np.zeros(self.start[1].shape), self.start
+        for first, last in self.stretches:
+            _, _, logs, state = self.advance(state, first, last)
+            done = self.ended(first, last)
+            out[done] = logs[done, self.lengths[done] - first - 1]
+        return out
+
+    def expected(self, counts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Ids of pieces and how often each is expected by language, in words seen `counts` times.
+
+        How often a place is passed is divided among the pieces that end there, by their part of
+        the sum up to it, from the last place back. Only sums of near places are compared.
+        """
+        states = [self.start]
+        for stretch in self.stretches[:-1]:
+            states.append(self.advance(states[-1], *stretch)[3])
+        longest = self.pieces.longest
+        carried = np.zeros_like(self.start[0])
+        for (first, last), state in zip(self.stretches[::-1], states[::-1], strict=True):
+            ids, chances, logs, _ = self.advance(state, first, last)
+            with np.errstate(divide="ignore"):
+                line = np.concatenate([np.log(state[0]) + state[1][:, None], logs], axis=1)
+            before = np.lib.stride_tricks.sliding_window_view(line[:, :-1], longest, axis=1)
+            shares = chances * np.exp(before.transpose(0, 1, 3, 2) - logs[:, :, None])
+            passed = np.zeros_like(line)
+            passed[:, last - first :] += carried
+            done = self.ended(first, last)
+            passed[done, longest + self.lengths[done] - first - 1] += counts[done]
+            for i in range(last - first - 1, -1, -1):
+                shares[:, i] *= passed[:, i + longest, None]
+                passed[:, i : i + longest] += shares[:, i]
+            carried = passed[:, :longest]
+            has = ids >= 0
+            yield ids[has], shares[has]
+
+
+def by_size(words: list[str]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Places of the short words, and of the long ones in groups of similar length."""
+    sizes = np.array([len(w) for w in words], np.int64)
+    long = np.nonzero(sizes > SHORT)[0]
+    groups: list[list[int]] = []
+    for i in long[np.argsort(sizes[long], kind="stable")]:
+        if not groups or len(groups[-1]) == LONG_AT_ONCE or sizes[i] > 1.5 * sizes[groups[-1][0]]:
+            groups.append([])
+        groups[-1].append(i)
+    return np.nonzero(sizes <= SHORT)[0], [np.array(g) for g in groups]
 
 
 @dataclass(frozen=True)
@@ -139,14 +241,15 @@ class Model:
 
     def word_scores(self, words: list[str]) -> np.ndarray:
         """Logarithm of each word's probability in each language."""
-        split = [(i, p) for i, w in enumerate(words) for p in parts(w)]
-        owner = np.array([i for i, _ in split], np.int64)
-        found = np.zeros((len(split), len(self.languages)))
-        for rows, length, ends in vocabulary(self.path).lattice([p for _, p in split]):
-            found[rows] = np.log(np.maximum(forward(len(rows), ends, self.chance)[:, length], TINY))
-        total = np.zeros((len(words), len(self.languages)))
-        np.add.at(total, owner, found)
-        return total
+        marked = [MARK + w for w in words]
+        out = np.zeros((len(words), len(self.languages)))
+        pieces = vocabulary(self.path)
+        short, groups = by_size(marked)
+        for rows, length, ends in pieces.lattice([marked[i] for i in short]):
+            out[short[rows]] = np.log(np.maximum(forward(len(rows), ends, self.chance)[:, length], TINY))
+        for group in groups:
+            out[group] = LongWords(pieces, [marked[i] for i in group], self.chance).scores()
+        return out
 
 
 def expected_batches(
@@ -159,13 +262,17 @@ def expected_batches(
         chance = np.r_[np.full((pieces.size, languages), 1 / pieces.size), np.zeros((1, languages))]
     total = np.zeros((pieces.size, languages))
     for batch in batches:
-        split = [(i, p) for i, w in enumerate(batch.column(0).to_pylist()) for p in parts(w)]
-        owner = np.array([i for i, _ in split], np.int64)
-        counts = np.array(batch.column(1).to_pylist(), float).reshape(-1, languages)[owner]
-        for rows, length, ends in pieces.lattice([p for _, p in split]):
+        marked = [MARK + w for w in batch.column(0).to_pylist()]
+        counts = np.array(batch.column(1).to_pylist(), float).reshape(-1, languages)
+        short, groups = by_size(marked)
+        for group in groups:
+            for used, shares in LongWords(pieces, [marked[i] for i in group], chance).expected(counts[group]):
+                for k in range(languages):
+                    total[:, k] += np.bincount(used, shares[:, k], pieces.size)
+        for rows, length, ends in pieces.lattice([marked[i] for i in short]):
             alpha = forward(len(rows), ends, chance)
             beta = np.zeros_like(alpha)
-            beta[:, length] = counts[rows] / np.maximum(alpha[:, length], TINY)
+            beta[:, length] = counts[short[rows]] / np.maximum(alpha[:, length], TINY)
             used, shares = [], []
             for end in range(length, 0, -1):
                 low, ids = ends[end - 1]
@@ -215,15 +322,18 @@ class Reader:
     """Scores texts under a model, remembering words."""
 
     def __init__(self, model: Model):
-        self.model, self.known = model, {}
+        self.model, self.known, self.characters = model, {}, 0
         self.scores = np.zeros((0, len(model.languages)))
 
     def learn(self, words: set[str]) -> None:
         fresh = [w for w in words if w not in self.known]
-        if len(self.known) + len(fresh) > KNOWN_WORDS:
+        new = sum(map(len, fresh))
+        if len(self.known) + len(fresh) > KNOWN_WORDS or self.characters + new > KNOWN_CHARACTERS:
             fresh = list(words)
+            new, self.characters = sum(map(len, fresh)), 0
             self.known.clear()
             self.scores = self.scores[:0]
+        self.characters += new
         first = len(self.known)
         self.known.update(zip(fresh, range(first, first + len(fresh))))
         self.scores = np.vstack([self.scores, self.model.word_scores(fresh)])
@@ -287,7 +397,7 @@ def languages_of(
     `path` is a sentencepiece vocabulary on every node. The model is fitted on at most
     `most` documents of each language among the rows where `learn` holds and the language is
     known; then every whole text is scored in one pass without a shuffle. Words are read one
-    by one, in parts of 32 characters if longer. `score` is the share of the predicted
+    by one and whole, however long. `score` is the share of the predicted
     language in the text's probability.
 
     A text that is null or has no letter, and every text if nothing could be learned, is

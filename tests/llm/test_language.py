@@ -63,6 +63,67 @@ def test_forward_and_backward_equal_all_segmentations():
     assert np.allclose(found, expected)
 
 
+def scalar(word, pieces, chance, counts):
+    """One language at a time, one place at a time, in logarithms: score and expected counts."""
+    marked, n = language.MARK + word, len(language.MARK + word)
+    longest = max(map(len, pieces))
+    scores, expected = [], np.zeros_like(chance)
+    for lang in range(chance.shape[1]):
+        ways = [[] for _ in range(n + 1)]  # pieces that end at a place, with their starts
+        for end in range(1, n + 1):
+            for start in range(max(0, end - longest), end):
+                own = pieces.get(marked[start:end], 0 if end - start == 1 else None)
+                if own is not None:
+                    ways[end].append((start, own, np.log(chance[own, lang])))
+        up, down = np.full(n + 1, -np.inf), np.full(n + 1, -np.inf)
+        up[0] = down[n] = 0
+        for end in range(1, n + 1):
+            up[end] = np.logaddexp.reduce([up[start] + p for start, _, p in ways[end]])
+        for end in range(n, 0, -1):
+            for start, _, p in ways[end]:
+                down[start] = np.logaddexp(down[start], down[end] + p)
+        assert np.isclose(up[n], down[0])
+        for end in range(1, n + 1):
+            for start, own, p in ways[end]:
+                expected[own, lang] += counts[lang] * np.exp(up[start] + p + down[end] - up[n])
+        scores.append(up[n])
+    return scores, expected
+
+
+def test_long_words_are_summed_over_all_segmentations(monkeypatch):
+    """Words around the bound of short ones, of a hundred and of thousands of characters, read
+    together and in stretches, against a scalar dynamic program."""
+    pieces, size = texts_of_pieces(), language.vocabulary(PATH).size
+    draw = np.random.default_rng(4)
+    chance = np.r_[np.exp(draw.uniform(-20, -4, (size, 2))), np.zeros((1, 2))]
+    base = "internationalizationofstraßenbahnhaltestellen漢字かな12/=%"
+    words = ["".join(draw.choice(list(base), n)) for n in (30, 31, 32, 33, 47, 100, 100, 101, 260, 3000)]
+    words += [base * 3, "a" * 200]
+    counts = draw.integers(0, 9, (len(words), 2))
+    want = [scalar(w, pieces, chance, c) for w, c in zip(words, counts, strict=True)]
+    for places in (language.PLACES_AT_ONCE, 40):
+        monkeypatch.setattr(language, "PLACES_AT_ONCE", places)
+        got = language.Model(["p", "q"], chance, PATH).word_scores(words)
+        assert np.allclose(got, [s for s, _ in want], rtol=1e-10)
+        batch = pa.RecordBatch.from_arrays([pa.array(words), pa.array(counts.tolist())], names=["w", "c"])
+        found = np.zeros_like(chance)
+        for out in language.expected_batches(iter([batch]), 2, chance, PATH):
+            for piece, lang, n in zip(*(c.to_pylist() for c in out.columns)):
+                found[piece, lang] += n
+        assert np.allclose(found, sum(e for _, e in want), atol=1e-9)
+
+
+def test_remembered_words_are_bounded(monkeypatch):
+    monkeypatch.setattr(language, "KNOWN_CHARACTERS", 50)
+    size = language.vocabulary(PATH).size
+    chance = np.r_[np.random.default_rng(2).uniform(0.001, 0.01, (size, 2)), np.zeros((1, 2))]
+    reader = language.Reader(language.Model(["p", "q"], chance, PATH))
+    texts = ["the cat " + "x" * 40, "the dog", "y" * 80, "the cat " + "x" * 40]
+    one_by_one = [reader.read([t])[0] for t in texts]
+    assert one_by_one[0] == one_by_one[3] and reader.characters == 46
+    assert np.allclose([s for _, s in reader.read(texts)], [s for _, s in one_by_one])
+
+
 def test_held_out_accuracy(spark):
     docs = {r.doc_id: r for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
     got = QUERIES["op4_language"](spark, SMALL).collect()
