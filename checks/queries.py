@@ -581,8 +581,10 @@ def service_hours_daily(t: Proxies) -> DataFrame:
 def _kept_hours(t: Proxies) -> DataFrame:
     """The daily hours of the look-back, kept by month while the services come in three batches."""
     root = f"{t.stages().root}/services"
+    # The view joins two tables, and each batch reads it twice.
+    received = t.once("received_services", lambda: t["ea_cpt_service"])
     for number in range(3):
-        part = t["ea_cpt_service"].where(F.pmod(F.hash("auth_no", "event_date"), F.lit(3)) == number)
+        part = received.where(F.pmod(F.hash("auth_no", "event_date"), F.lit(3)) == number)
         services.add_services(t.spark, part, root, f"batch-{number}")
         if number < 2:
             services.refresh_daily_hours(t.spark, root)
