@@ -117,21 +117,30 @@ def score_in_row(df: DataFrame, metrics: list[str], model: DataFrame) -> DataFra
     age group, and nothing is shuffled but, beyond the broadcast threshold, the rows by that
     key. A line has the scores of all ranges that hold its value, where there are several.
     """
+    # A row compares a value with the ranges of its metric only, and casts it once.
     model = model.withColumn("metric", F.rtrim("metric"))
-    joined = df.join(_ranges_by_key(model, ["metric", "score"], "_ranges"), ["program", "age_group"], "left")
+
+    def ranges_of(metric: str) -> Column:
+        return F.filter("_ranges", lambda entry: entry["metric"] == metric).alias(f"_of_{metric}")
+
+    ranges = _ranges_by_key(model, ["metric", "score"], "_ranges").select(
+        "program", "age_group", *map(ranges_of, metrics)
+    )
+    joined = df.join(ranges, ["program", "age_group"], "left")
     day = F.col("calc_date")
+    values = joined.withColumns({f"_value_{m}": F.col(m).cast(VALUE) for m in metrics})
+    now = {f"_now_{m}": F.filter(f"_of_{m}", lambda entry: _in_force(entry, day)) for m in metrics}
 
     def line(metric: str) -> Column:
-        value = F.col(metric).cast(VALUE)
-        hits = F.filter("_ranges", lambda entry: (entry["metric"] == metric) & _holds(entry, value, day))
-        return F.struct(
+        value = F.col(f"_value_{metric}")
+        held = F.filter(f"_now_{metric}", lambda entry: value.between(entry["range_low"], entry["range_high"]))
+        found = F.struct(
             F.lit(metric).alias("metric"), value.alias("value"), F.col(f"{metric}_missing_data").alias("missing_data"),
-            F.transform(hits, lambda entry: entry["score"].cast(VALUE)).alias("scores"),
+            F.transform(held, lambda entry: entry["score"].cast(VALUE)).alias("scores"),
         )
+        return F.when(F.size(f"_now_{metric}") > 0, found)
 
-    used = F.transform(F.filter("_ranges", lambda entry: _in_force(entry, day)), lambda entry: entry["metric"])
-    lines = F.filter(F.array(*map(line, metrics)), lambda entry: F.array_contains(F.col("_used"), entry["metric"]))
-    lined = joined.withColumn("_used", F.array_distinct(used)).withColumn("lines", lines)
+    lined = values.withColumns(now).withColumn("lines", F.array_compact(F.array(*map(line, metrics))))
     zero = F.lit(0).cast(VALUE)
     scores = F.flatten(F.transform("lines", lambda entry: entry["scores"]))
     total = F.aggregate(scores, zero, lambda so_far, score: (so_far + F.coalesce(score, zero)).cast(VALUE))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 from datetime import date, datetime, time
 
@@ -38,6 +39,13 @@ class Options:
     substance_inputs: bool = False
 
 
+def side_by_side(*steps: Callable[[], DataFrame]) -> list[DataFrame]:
+    """Steps that do not need each other, at the same time: while one is planned or waits for its
+    last tasks, the others use the cores."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        return [started.result() for started in [pool.submit(step) for step in steps]]
+
+
 def population_of(tables: Tables, periods: Periods, as_of: date) -> DataFrame:
     """The authorizations due in the quarter."""
     return population.select_population(
@@ -108,56 +116,69 @@ def run_quarter(
         after = ids_in_use(tables)
 
     pop = keep(population_of(tables, periods, as_of), "population")
-    inputs = keep(with_inputs(pop, tables, calc_date, options), "inputs")
+    since = options.linked_since
+
+    def score() -> DataFrame:
+        inputs = keep(with_inputs(pop, tables, calc_date, options), "inputs")
+        metrics = scoring.metric_names(tables["cd_stratum_metric"], calc_date, inputs.columns)
+        return keep(scoring.score_in_row(inputs, metrics, tables["cd_stratum_pop_model"]), "scored")
 
-    metrics = scoring.metric_names(tables["cd_stratum_metric"], calc_date, inputs.columns)
-    scored = keep(scoring.score_in_row(inputs, metrics, tables["cd_stratum_pop_model"]), "scored")
+    def dose() -> DataFrame:
+        return dosage.dose_ratio(
+            pop, history, tables["cd_stratum_tier"], tables["au_master"], tables["ea_cpt_service"],
+            periods.sda_start, periods.sda_end, tier_as_of=options.tier_as_of,
+            keep=keep, hours=tables.get(DAILY),
+        )
+
+    def settle() -> DataFrame:
+        state = tables.get(STATE)
+        return keep(linkage.settled_strata(history, since), "settled") if state is None else state
+
+    scored, ratios, state = side_by_side(score, dose, settle)
     lines = scoring.lines_of(scored)
     leveled = scoring.level_in_row(scored.drop("lines"), tables["cd_stratum_tier"])
-
-    ratios = dosage.dose_ratio(
-        pop, history, tables["cd_stratum_tier"], tables["au_master"], tables["ea_cpt_service"],
-        periods.sda_start, periods.sda_end, tier_as_of=options.tier_as_of,
-        keep=keep, hours=tables.get(DAILY),
-    )
     complete = keep(dosage.with_sda(leveled, ratios), "complete")
 
     strata = publish.new_strata(publish.stratum_rows(complete), after[0], now)
-    strata = keep(conform(strata, "au_stratum"), "strata")
     sda = publish.new_sda(publish.sda_rows(complete, options.sda_period), after[1], now)
-    sda = keep(conform(sda, "au_stratum_sda"), "ratios")
-
+    strata, sda = side_by_side(
+        lambda: keep(conform(strata, "au_stratum"), "strata"), lambda: keep(conform(sda, "au_stratum_sda"), "ratios")
+    )
     everything = history.unionByName(strata)
-    ids = publish.stratum_ids_on(everything, periods.pop_start)
-    scores = publish.new_scores(publish.score_rows(lines, ids), now)
-    scores = keep(conform(scores, "au_stratum_score"), "scores")
 
-    all_ratios = tables["au_stratum_sda"].unionByName(sda)
-    since = options.linked_since
-    state = tables.get(STATE)
-    if state is None:
-        state = keep(linkage.settled_strata(history, since), "settled")
-    unsettled = linkage.awaiting_strata(history, since).unionByName(strata)
-    links = linkage.link_strata(
-        unsettled, tables["au_master"], all_ratios, tables["cd_stratum_pay_corridor"], since,
-        keep=keep, endpoints=linkage.endpoints_from_state(state, unsettled, since),
-    )
-    links = keep(links, "links")
+    def store_scores() -> DataFrame:
+        ids = publish.stratum_ids_on(everything, periods.pop_start)
+        scores = publish.new_scores(publish.score_rows(lines, ids), now)
+        return keep(conform(scores, "au_stratum_score"), "scores")
+
+    def link() -> DataFrame:
+        all_ratios = tables["au_stratum_sda"].unionByName(sda)
+        unsettled = linkage.awaiting_strata(history, since).unionByName(strata)
+        links = linkage.link_strata(
+            unsettled, tables["au_master"], all_ratios, tables["cd_stratum_pay_corridor"], since,
+            keep=keep, endpoints=linkage.endpoints_from_state(state, unsettled, since),
+        )
+        return keep(links, "links")
+
+    scores, links = side_by_side(store_scores, link)
     # Few: quarters. Linking touches no others, which are passed through and not read here.
     changed = {row[0] for row in links.select("phs_start_date").distinct().collect()} | {periods.pop_start}
     is_linked = F.col("start_date").isin(sorted(changed))
     linked = linkage.apply_links(everything.where(is_linked), links, now)
     linked = keep(conform(linked, "au_stratum"), "linked")
     state = linkage.combined_states(state, linkage.settled_strata(linked, since))
-    state = keep(state, "state")
     final = everything.where(F.col("start_date").isNull() | ~is_linked).unionByName(linked)
     shadow = publish.shadow_delta(final, tables["au_stratum_shadow"])
-    shadow = keep(conform(shadow, "au_stratum_shadow"), "shadow")
     if options.reset_quarter is not None:
         final = publish.reset_payments(final, options.reset_quarter)
         changed.add(options.reset_quarter)
     is_changed = F.col("start_date").isin(sorted(changed))
-    replaced = keep(conform(final.where(is_changed), "au_stratum"), "replaced")
+    replaced = final.where(is_changed)
+    state, shadow, replaced = side_by_side(
+        lambda: keep(state, "state"),
+        lambda: keep(conform(shadow, "au_stratum_shadow"), "shadow"),
+        lambda: keep(conform(replaced, "au_stratum"), "replaced"),
+    )
 
     return {
         "population": pop,
